@@ -32,8 +32,9 @@ def _bucket_expr(v, cuts: list[float]):
 
 
 def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
-               buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-3) -> DataFrame:
-    """(_col, _v, _rank): descending rank of every distinct value of each column.
+               buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-3, descending: bool = True) -> DataFrame:
+    """(_col, _v, _rank): rank of every distinct value of each column, largest
+    first (``descending``) or smallest first.
 
     ``method="dense"``: ties share a rank, no gaps. ``method="min"``: ties share
     the lowest position, counting rows of ``df`` (pandas ``rank(method='min')``).
@@ -43,6 +44,8 @@ def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns
     ])).alias("_s")).select("_s._col", "_s._v").where(F.col("_v").isNotNull())
+    if not descending:  # rank the negated values, report the originals
+        stacked = stacked.withColumn("_v", -F.col("_v"))
     if method == "dense":
         hist = stacked.distinct().withColumn("_w", F.lit(1).cast("bigint"))
     else:
@@ -56,14 +59,16 @@ def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
     inside = Window.partitionBy("_col", "_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
     local = hist.select("_col", "_v", "_b", F.coalesce(F.sum("_w").over(inside), F.lit(0)).alias("_pre"))
     # at most (#columns x buckets) rows: a proven bound for the broadcast
+    sign = 1.0 if descending else -1.0
     return (local.join(F.broadcast(offsets), ["_col", "_b"])
-            .select("_col", "_v", (F.col("_off") + F.col("_pre") + 1).cast("bigint").alias("_rank")))
+            .select("_col", (F.col("_v") * sign).alias("_v"),
+                    (F.col("_off") + F.col("_pre") + 1).cast("bigint").alias("_rank")))
 
 
 def global_ranks(df: DataFrame, outputs: dict[str, str], method: str = "dense",
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``outputs[col]`` = descending global rank of ``col`` for each column."""
-    ranks = rank_table(df, list(outputs), method, buckets)
+                 buckets: int = DEFAULT_BUCKETS, descending: bool = True) -> DataFrame:
+    """Add ``outputs[col]`` = global rank of ``col`` for each column."""
+    ranks = rank_table(df, list(outputs), method, buckets, descending=descending)
     out = df
     for c, name in outputs.items():
         r = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_v_{name}"),
