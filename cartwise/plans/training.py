@@ -82,10 +82,23 @@ def training_day(logs: Logs, asof) -> DataFrame:
     return assemble(rows, f).withColumn("asof", F.lit(to_day(asof)))
 
 
-def training_rows(logs: Logs, asof_days) -> DataFrame:
-    """Labelled rows over several as-of days, concatenated."""
+def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> DataFrame:
+    """Labelled rows over several as-of days, concatenated.
+
+    With several days each day is checkpointed (reliable, in the shared
+    checkpoint folder) before the union: the lineage of every day is cut, so a
+    lost executor recomputes nothing upstream and each plan stays small.
+    """
     days = [asof_days] if isinstance(asof_days, str) else list(asof_days)
-    return reduce(lambda a, b: a.unionByName(b), [training_day(logs, d) for d in days])
+    if materialize is None:
+        materialize = len(days) > 1
+    parts = []
+    for d in days:
+        part = training_day(logs, d)
+        if materialize and part.sparkSession.sparkContext.getCheckpointDir():
+            part = part.checkpoint()
+        parts.append(part)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def day_buyers(buy_log: DataFrame, active_roles: DataFrame, asof) -> DataFrame:
