@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwise.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -66,8 +68,15 @@ def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
 
 
 def global_ranks(df: DataFrame, outputs: dict[str, str], method: str = "dense",
-                 buckets: int = DEFAULT_BUCKETS, descending: bool = True) -> DataFrame:
-    """Add ``outputs[col]`` = global rank of ``col`` for each column."""
+                 buckets: int = DEFAULT_BUCKETS, descending: bool = True, materialized: bool = False) -> DataFrame:
+    """Add ``outputs[col]`` = global rank of ``col`` for each column.
+
+    The ranked frame is read twice (cut points, then ranks): unless the caller
+    says it is already materialised it is checkpointed first, so its lineage
+    runs once.
+    """
+    if not materialized:
+        df = materialize(df)
     ranks = rank_table(df, list(outputs), method, buckets, descending=descending)
     out = df
     for c, name in outputs.items():

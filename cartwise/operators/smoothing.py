@@ -41,36 +41,73 @@ def count_histograms(counts: DataFrame, imps: str = "imps", clks: str = "clks")
 
 
 def _sums(hist: DataFrame, a: float, b: float, second: bool) -> dict:
-    kind, v, m = F.col("kind"), F.col("v"), F.col("m")
-    arg = (F.when(kind == "c", v + a).when(kind == "f", v + b).otherwise(v + a + b))
-    base = F.when(kind == "c", F.lit(a)).when(kind == "f", F.lit(b)).otherwise(F.lit(a + b))
-    exprs = [F.sum(F.when(kind == k, m * (digamma(arg) - digamma(base)))).alias(f"d_{k}") for k in "cfn"]
+    """Digamma (and trigamma) sums at (a, b). The parameters arrive as a one-row
+    broadcast side, not as literals, so the generated code is identical in every
+    round and compiled once."""
+    params = hist.sparkSession.createDataFrame([(0, float(a), float(b))], "_k int, _a double, _b double")
+    h = hist.withColumn("_k", F.lit(0)).join(F.broadcast(params), "_k")
+    kind, v, m, pa, pb = F.col("kind"), F.col("v"), F.col("m"), F.col("_a"), F.col("_b")
+    arg = F.when(kind == "c", v + pa).when(kind == "f", v + pb).otherwise(v + pa + pb)
+    base = F.when(kind == "c", pa).when(kind == "f", pb).otherwise(pa + pb)
+    h = h.select("kind", "m", arg.alias("arg"), base.alias("base"))
+    exprs = [F.sum(F.when(F.col("kind") == k, F.col("m") * (digamma("arg") - digamma("base")))).alias(f"d_{k}")
+             for k in "cfn"]
     if second:
-        exprs += [F.sum(F.when(kind == k, m * (trigamma(arg) - trigamma(base)))).alias(f"t_{k}") for k in "cfn"]
-    row = hist.agg(*exprs).first()
+        exprs += [F.sum(F.when(F.col("kind") == k, F.col("m") * (trigamma("arg") - trigamma("base"))))
+                  .alias(f"t_{k}") for k in "cfn"]
+    row = h.agg(*exprs).first()
     return {k: (row[k] or 0.0) for k in row.asDict()}
 
 
-def moment_start(counts: DataFrame, imps: str = "imps", clks: str = "clks") -> tuple[float, float]:
-    """Method-of-moments (alpha, beta) from the mean and variance of clks / imps."""
-    p = F.try_divide(F.col(clks).cast("double"), F.col(imps).cast("double"))
-    row = counts.where(F.col(imps) > 0).agg(F.avg(p).alias("mu"), F.var_samp(p).alias("var")).first()
-    mu, var = row["mu"], row["var"]
-    if mu is None or var is None or var <= 0 or not 0 < mu < 1 or mu * (1 - mu) <= var:
+def moment_start(counts: DataFrame, imps: str = "imps", clks: str = "clks") -> tuple[float, float] | None:
+    """Method-of-moments (alpha, beta) for binomial counts with varying trials.
+
+    With p = clks / imps: rho = (Var p - mu(1-mu) E[1/n]) / (mu(1-mu)(1 - E[1/n]))
+    estimates 1 / (alpha + beta + 1). ``None`` when rho <= 0: the rates show no
+    over-dispersion and the likelihood has no finite maximum.
+    """
+    n = F.col(imps).cast("double")
+    p = F.try_divide(F.col(clks).cast("double"), n)
+    row = counts.where(F.col(imps) > 0).agg(F.avg(p).alias("mu"), F.var_samp(p).alias("var"),
+                                            F.avg(1.0 / n).alias("inv_n")).first()
+    mu, var, inv_n = row["mu"], row["var"], row["inv_n"]
+    if mu is None or var is None or not 0 < mu < 1 or inv_n is None or inv_n >= 1:
         return SMOOTH_START
-    total = mu * (1 - mu) / var - 1
+    binom = mu * (1 - mu)
+    rho = (var - binom * inv_n) / (binom * (1 - inv_n))
+    if rho <= 0:
+        return None
+    total = 1.0 / rho - 1.0 if rho < 1 else 1.0
     return mu * total, (1 - mu) * total
 
 
+def _mean_rate(counts: DataFrame, imps: str, clks: str) -> float:
+    row = counts.agg(F.sum(clks).alias("c"), F.sum(imps).alias("n")).first()
+    return (row["c"] or 0.0) / row["n"] if row["n"] else 0.5
+
+
+MAX_CONCENTRATION = 1e9
+
+
 def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method: str = "newton",
-              start=None, epsilon: float = SMOOTH_EPSILON, max_rounds: int = SMOOTH_MAX_ROUNDS) -> Prior:
-    """Fit (alpha, beta); converged when both move less than ``epsilon``."""
+              start=None, epsilon: float = SMOOTH_EPSILON, max_rounds: int = SMOOTH_MAX_ROUNDS,
+              max_concentration: float = MAX_CONCENTRATION) -> Prior:
+    """Fit (alpha, beta); converged when both move less than ``epsilon`` (relative
+    to their size once above 1) (R18, R34).
+
+    When the rates show no over-dispersion the likelihood keeps rising as
+    alpha + beta grows; the fit then stops at ``max_concentration`` with
+    ``converged=False`` and the mean alpha / (alpha + beta) still meaningful.
+    """
     hist = count_histograms(counts, imps, clks)
     spark = hist.sparkSession
     if spark.sparkContext.getCheckpointDir():
         hist = hist.checkpoint()  # lineage cut in the shared checkpoint folder
     if start is None:
         start = moment_start(counts, imps, clks) if method == "newton" else SMOOTH_START
+        if start is None:  # no over-dispersion: report the pooled rate at the concentration cap
+            mu = _mean_rate(counts, imps, clks)
+            return Prior(mu * max_concentration, (1 - mu) * max_concentration, 0, False, method)
     a, b = start
     for rnd in range(1, max_rounds + 1):
         if method == "fixed_point":
@@ -90,10 +127,12 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
             while a - step * da <= 0 or b - step * db <= 0:
                 step /= 2
             na, nb = a - step * da, b - step * db
-        done = abs(na - a) < epsilon and abs(nb - b) < epsilon
+        done = abs(na - a) < epsilon * max(1.0, abs(a)) and abs(nb - b) < epsilon * max(1.0, abs(b))
         a, b = na, nb
         if done:
             return Prior(a, b, rnd, True, method)
+        if a + b > max_concentration:
+            return Prior(a, b, rnd, False, method)
     return Prior(a, b, max_rounds, False, method)
 
 

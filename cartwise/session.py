@@ -42,3 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession, local_ok: bool = False) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there
+    (a reliable checkpoint: it cuts the lineage, so later passes and retries after
+    a lost executor do not recompute it). Returns ``df`` unchanged when no
+    checkpoint folder is configured."""
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df
