@@ -23,6 +23,14 @@ def payload_entries(item_list) -> Column:
     return F.split(body, ",")
 
 
+def entry_parts(entry) -> tuple[Column, Column]:
+    """(item key, count) of one ``key:value`` entry, as BIGINT; NULL when not an integer."""
+    c = F.col(entry) if isinstance(entry, str) else entry
+    key = _strip_quotes(F.split_part(c, F.lit(":"), F.lit(1)))
+    val = _strip_quotes(F.split_part(c, F.lit(":"), F.lit(2)))
+    return key.try_cast("bigint"), val.try_cast("bigint")
+
+
 def explode_payload(df: DataFrame, item_list: str = "item_list", keep: list[str] | None = None,
                     item_col: str = "item_id", count_col: str = "cnt") -> DataFrame:
     """One row per ``item:count`` entry.
@@ -33,11 +41,8 @@ def explode_payload(df: DataFrame, item_list: str = "item_list", keep: list[str]
     keep = [c for c in (keep if keep is not None else df.columns) if c != item_list]
     entry = F.explode(payload_entries(item_list)).alias("_entry")
     rows = df.select(*keep, entry)
-    key = _strip_quotes(F.split_part(F.col("_entry"), F.lit(":"), F.lit(1)))
-    val = _strip_quotes(F.split_part(F.col("_entry"), F.lit(":"), F.lit(2)))
-    return (rows.select(*keep, key.try_cast("bigint").alias(item_col),
-                        val.try_cast("bigint").alias(count_col))
-            .where(F.col(item_col).isNotNull()))
+    key, val = entry_parts("_entry")
+    return rows.select(*keep, key.alias(item_col), val.alias(count_col)).where(F.col(item_col).isNotNull())
 
 
 def dict_literal_to_json(text) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwise.constants import BUY_MALL_TYPES, CLICK_TABS, OPEN_TABS, TAB_APPEARANCE
 from cartwise.functions.dates import age, shift, to_day, window_start
-from cartwise.functions.payload import explode_payload
+from cartwise.functions.payload import entry_parts, explode_payload, payload_entries
 
 
 def scan_range(log: DataFrame, asof, day_num: int, dt: str = "dt") -> DataFrame:
@@ -32,15 +32,35 @@ def explode_clicks(click_log: DataFrame) -> DataFrame:
     return explode_payload(click_log.where(F.col("item_list") != "{}"), "item_list", keep=keep)
 
 
-def daily_clicks(click_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
+def log_counts(click_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
+    """(role_id, child_tab, age, item_id, cnt, entries, records): the click log in
+    range, exploded once and combined map-side.
+
+    ``records`` counts click-log records (each record's first entry), so the
+    click branch and the open branch both derive from this one aggregate and
+    Spark reuses its shuffle instead of scanning and exploding the log twice.
+    Entries whose key is not an integer keep ``item_id`` NULL: they count as
+    part of a record, never as a click.
+    """
+    rows = click_scan(click_log, asof, day_num).select(
+        "role_id", "child_tab", "dt", F.posexplode(payload_entries("item_list")).alias("_pos", "_entry"))
+    item, val = entry_parts("_entry")
+    return (rows.groupBy("role_id", "child_tab", age("dt", asof).alias("age"), item.alias("item_id"))
+            .agg(F.sum(F.when(item.isNotNull(), val)).alias("cnt"),
+                 F.sum(F.when(item.isNotNull(), 1).otherwise(0)).alias("entries"),
+                 F.sum(F.when(F.col("_pos") == 0, 1).otherwise(0)).alias("records")))
+
+
+def daily_clicks(click_log: DataFrame, asof, day_num: int = 30, counts: DataFrame | None = None) -> DataFrame:
     """(role_id, item_id, age, click_num_day, click_num_dis_day) (A1).
 
     ``click_num_dis_day`` counts exploded records outside the appearance tab.
     """
-    rows = explode_clicks(click_scan(click_log, asof, day_num))
-    return (rows.groupBy("role_id", "item_id", age("dt", asof).alias("age"))
+    c = counts if counts is not None else log_counts(click_log, asof, day_num)
+    return (c.where(F.col("item_id").isNotNull())
+            .groupBy("role_id", "item_id", "age")
             .agg(F.sum("cnt").cast("bigint").alias("click_num_day"),
-                 F.sum(F.when(F.col("child_tab") != TAB_APPEARANCE, 1).otherwise(0))
+                 F.sum(F.when(F.col("child_tab") != TAB_APPEARANCE, F.col("entries")).otherwise(0))
                  .cast("bigint").alias("click_num_dis_day")))
 
 
@@ -51,11 +71,13 @@ def daily_buys(buy_log: DataFrame, asof, day_num: int = 30, mall_types=BUY_MALL_
             .agg(F.count(F.lit(1)).alias("buy_num_day")))
 
 
-def daily_opens(click_log: DataFrame, asof, day_num: int = 30, tabs=OPEN_TABS) -> DataFrame:
+def daily_opens(click_log: DataFrame, asof, day_num: int = 30, tabs=OPEN_TABS,
+                counts: DataFrame | None = None) -> DataFrame:
     """(role_id, child_tab, age, open_num_day): click-log records per role, tab, day."""
-    rows = click_scan(click_log, asof, day_num, tabs)
-    return (rows.groupBy("role_id", "child_tab", age("dt", asof).alias("age"))
-            .agg(F.count(F.lit(1)).alias("open_num_day")))
+    c = counts if counts is not None else log_counts(click_log, asof, day_num)
+    return (c.where(F.col("child_tab").isin(list(tabs)))
+            .groupBy("role_id", "child_tab", "age")
+            .agg(F.sum("records").cast("bigint").alias("open_num_day")))
 
 
 # -- the day-grain history of the pandas-era pipeline ------------------------

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cartwise.constants import SMOOTH_EPSILON, SMOOTH_MAX_ROUNDS, SMOOTH_START
 from cartwise.functions.special import digamma, trigamma
+from cartwise.session import materialize
 
 
 @dataclass
@@ -99,10 +100,7 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
     alpha + beta grows; the fit then stops at ``max_concentration`` with
     ``converged=False`` and the mean alpha / (alpha + beta) still meaningful.
     """
-    hist = count_histograms(counts, imps, clks)
-    spark = hist.sparkSession
-    if spark.sparkContext.getCheckpointDir():
-        hist = hist.checkpoint()  # lineage cut in the shared checkpoint folder
+    hist = materialize(count_histograms(counts, imps, clks))  # written once, read every round
     if start is None:
         start = moment_start(counts, imps, clks) if method == "newton" else SMOOTH_START
         if start is None:  # no over-dispersion: report the pooled rate at the concentration cap

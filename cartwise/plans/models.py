@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from cartwise.constants import (GBT_DEPTH, GBT_FEATURE_FRACTION, GBT_STEP, GBT_SUBSAMPLE, HOLDOUT_FRACTION,
                                 HOLDOUT_SEED, MF_RANK)
 from cartwise.operators.ranking import global_ranks
+from cartwise.session import materialize
 
 NON_FEATURES = ("role_id", "item_id", "label", "asof", "is_val", "score", "position", "dt")
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
@@ -85,9 +86,7 @@ def train_gbt(rows: DataFrame, features: list[str] | None = None, **kw) -> tuple
     features = features or feature_columns(rows)
     data = holdout_split(rows).select(*features, "label", "is_val")
     data = data.withColumn("label", F.col("label").cast("double"))
-    if data.sparkSession.sparkContext.getCheckpointDir():
-        data = data.checkpoint()
-    return gbt_pipeline(features, **kw).fit(data), features
+    return gbt_pipeline(features, **kw).fit(materialize(data)), features
 
 
 def score(model: PipelineModel, rows: DataFrame, out: str = "score") -> DataFrame:
@@ -103,8 +102,7 @@ def fm_classify(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(),
     The input is checkpointed once: the encoders' passes and the optimizer's
     iterations then read it instead of re-running the feature lineage."""
     rows = rows.select(*categorical, *numeric, F.col("label").cast("double").alias("label"))
-    if rows.sparkSession.sparkContext.getCheckpointDir():
-        rows = rows.checkpoint()
+    rows = materialize(rows)
     data = vectorize(rows, list(categorical), list(numeric)).select(*categorical, "label", "features")
     fm = FMClassifier(labelCol="label", featuresCol="features", factorSize=factor_size, maxIter=max_iter,
                       stepSize=step, seed=seed)

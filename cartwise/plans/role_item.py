@@ -10,9 +10,10 @@ Semantics kept from the original (see the README's register):
 * week active days are the distinct days with ``age <= 7`` (R2);
 * ``rn_*_week`` ties are broken by ``item_id`` ascending (R22).
 
-Plan: two map-side-combined aggregations per log (day grain, then pair
-grain), one role-partitioned window per log; the three role-keyed joins then
-reuse the role partitioning, so the pair rows are not shuffled again.
+Plan: the click log is scanned and exploded once into day-grain counts
+(combined map-side), checkpointed, and read by the click and the open
+branches; day-grain rows are hash-partitioned by role once, which serves the
+pair aggregate, the per-role rank window and the role-keyed joins.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from cartwise.constants import (CTR_FLOORS, MISSING_BUY, MISSING_CLICK, MISSING_
                                 MISSING_RANK, OPEN_WINDOWS, RI_WINDOWS, TAB_CLOTH, TAB_MALL)
 from cartwise.functions.dates import age, to_day
 from cartwise.functions.exprs import guarded_ctr, recency_gap, window_sum
-from cartwise.operators.daily import daily_buys, daily_clicks, daily_opens
+from cartwise.operators.daily import daily_buys, daily_clicks, daily_opens, log_counts
 from cartwise.operators.ranking import rank_in_group
+from cartwise.session import materialize
 
 WINDOW_NAMES = [n for n, _ in RI_WINDOWS] + ["month"]
 
@@ -41,9 +43,17 @@ def _active_days(prefix: str) -> list:
             F.sum(F.when(F.col("age") <= 7, 1).otherwise(0)).cast("bigint").alias(f"{prefix}_week")]
 
 
-def pair_clicks(click_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
+def by_role(daily: DataFrame) -> DataFrame:
+    """Hash-partition day-grain rows by role. A role has at most (catalog items x
+    days) such rows, so even a hot role is a bounded task, and the pair aggregate,
+    the per-role window and the role-keyed joins that follow need no further
+    shuffle of the pair rows."""
+    return daily.repartition("role_id")
+
+
+def pair_clicks(click_log: DataFrame, asof, day_num: int = 30, counts: DataFrame | None = None) -> DataFrame:
     """Click side: windows of clicks and distinct-tab clicks, days, recency, rank."""
-    d = daily_clicks(click_log, asof, day_num)
+    d = by_role(daily_clicks(click_log, asof, day_num, counts))
     g = d.groupBy("role_id", "item_id").agg(
         *_windowed("click_num_day", "click_num"),
         *_windowed("click_num_dis_day", "click_num_dis"),
@@ -54,7 +64,7 @@ def pair_clicks(click_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
 
 def pair_buys(buy_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
     """Buy side: windows of purchases, days, recency, rank."""
-    d = daily_buys(buy_log, asof, day_num)
+    d = by_role(daily_buys(buy_log, asof, day_num))
     g = d.groupBy("role_id", "item_id").agg(
         *_windowed("buy_num_day", "buy_num"),
         *_active_days("buy_day"),
@@ -62,9 +72,9 @@ def pair_buys(buy_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
     return rank_in_group(g, "role_id", "buy_num_week", "rn_buy_week")
 
 
-def role_opens(click_log: DataFrame, asof, day_num: int = 30) -> DataFrame:
+def role_opens(click_log: DataFrame, asof, day_num: int = 30, counts: DataFrame | None = None) -> DataFrame:
     """Opens per role: 2 tabs x (``age < 1``, ``< 3``, ``< 7``, all)."""
-    d = daily_opens(click_log, asof, day_num)
+    d = daily_opens(click_log, asof, day_num, counts=counts)
     cols = []
     for tab in (TAB_CLOTH, TAB_MALL):
         is_tab = F.col("child_tab") == tab
@@ -84,10 +94,13 @@ def role_item_features(click_log: DataFrame, buy_log: DataFrame, role_profile: D
                        asof, day_num: int = 30, ctr_floors: dict | None = None) -> DataFrame:
     """The 40-column role x item feature table as of ``asof`` (Q1)."""
     floors = ctr_floors or CTR_FLOORS
-    clicks = pair_clicks(click_log, asof, day_num)
+    # the log is scanned and exploded once; its day-grain counts are written once
+    # and read by both the click and the open branch
+    counts = materialize(log_counts(click_log, asof, day_num))
+    clicks = pair_clicks(click_log, asof, day_num, counts)
     buys = pair_buys(buy_log, asof, day_num)
     online = role_online(role_profile, asof)
-    opens = role_opens(click_log, asof, day_num)
+    opens = role_opens(click_log, asof, day_num, counts)
     j = (clicks.join(buys, ["role_id", "item_id"], "left")
          .join(online, "role_id", "left")
          .join(opens, "role_id", "left"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.dates import shift, to_day
 from cartwise.operators.daily import buy_history, click_history, on_day, restrict, roles_on
+from cartwise.session import materialize as write_once
 from cartwise.plans.pair import (item_features, item_is_new, pair_buy_features, pair_click_features,
                                  positive_pairs, role_features, role_profile)
 
@@ -85,8 +86,8 @@ def training_day(logs: Logs, asof) -> DataFrame:
 def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> DataFrame:
     """Labelled rows over several as-of days, concatenated.
 
-    With several days each day is checkpointed (reliable, in the shared
-    checkpoint folder) before the union: the lineage of every day is cut, so a
+    With several days each day is written once as a table under the shared
+    checkpoint folder before the union: the lineage of every day is cut, so a
     lost executor recomputes nothing upstream and each plan stays small.
     """
     days = [asof_days] if isinstance(asof_days, str) else list(asof_days)
@@ -95,9 +96,7 @@ def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> Dat
     parts = []
     for d in days:
         part = training_day(logs, d)
-        if materialize and part.sparkSession.sparkContext.getCheckpointDir():
-            part = part.checkpoint()
-        parts.append(part)
+        parts.append(write_once(part) if materialize else part)
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,10 +46,19 @@ def ensure_checkpoint_dir(spark: SparkSession, local_ok: bool = False) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there
-    (a reliable checkpoint: it cuts the lineage, so later passes and retries after
-    a lost executor do not recompute it). Returns ``df`` unchanged when no
-    checkpoint folder is configured."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
+    """Write ``df`` once as a parquet table under the shared checkpoint folder and
+    read it back.
+
+    This cuts the lineage (later passes, and retries after a lost executor,
+    read the files instead of recomputing), computes the input exactly once
+    (``Dataset.checkpoint`` computes it twice unless cached), and keeps the data
+    columnar, so readers prune columns. Without a checkpoint folder the frame
+    is returned unchanged.
+    """
+    spark = df.sparkSession
+    base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        return df
+    path = f"{base.rstrip('/')}/cartwise-materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
