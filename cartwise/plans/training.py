@@ -33,6 +33,14 @@ class Logs:
     role_daily: DataFrame   # (role_id, dt, <role features>)
     new_items: DataFrame    # (item_id, item_name, newdt)
 
+    def written(self) -> "Logs":
+        """The logs with the exploded clicks, purchases and active roles written
+        once (the click file of the original ingest step): every as-of day then
+        reads them instead of re-deriving them from the raw events."""
+        return Logs(clicks=write_once(self.clicks), buys=write_once(self.buys),
+                    active_roles=write_once(self.active_roles), catalog=write_once(self.catalog),
+                    role_daily=self.role_daily, new_items=self.new_items)
+
 
 @dataclass
 class AsOf:
@@ -93,6 +101,8 @@ def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> Dat
     days = [asof_days] if isinstance(asof_days, str) else list(asof_days)
     if materialize is None:
         materialize = len(days) > 1
+    if materialize:
+        logs = logs.written()
     parts = []
     for d in days:
         part = training_day(logs, d)
