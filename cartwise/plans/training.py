@@ -7,13 +7,14 @@ the day's buyers, labelled, then joined to role and item features.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import shift, to_day
+from cartwise.operators.joins import BROADCAST_MAX_ROWS
 from cartwise.operators.daily import buy_history, click_history, on_day, restrict, roles_on
 from cartwise.session import materialize as write_once
 from cartwise.plans.pair import (item_features, item_is_new, pair_buy_features, pair_click_features,
@@ -32,6 +33,18 @@ class Logs:
     catalog: DataFrame      # (item_id)
     role_daily: DataFrame   # (role_id, dt, <role features>)
     new_items: DataFrame    # (item_id, item_name, newdt)
+    _catalog_rows: int | None = field(default=None, init=False, repr=False)
+
+    def catalog_rows(self) -> int:
+        """Catalog size, counted once: the proven bound of every item-grain table."""
+        if self._catalog_rows is None:
+            self._catalog_rows = self.catalog.count()
+        return self._catalog_rows
+
+    def item_side(self, items: DataFrame) -> DataFrame:
+        """Broadcast an item-grain table (one row per catalog item) only when the
+        counted catalog is under the broadcast bound; otherwise a shuffle join."""
+        return F.broadcast(items) if self.catalog_rows() <= BROADCAST_MAX_ROWS else items
 
     def written(self) -> "Logs":
         """The logs with the exploded clicks, purchases and active roles written
@@ -52,7 +65,7 @@ class AsOf:
     pair_clicks: DataFrame
     pair_buys: DataFrame
     roles: DataFrame
-    items: DataFrame
+    items: DataFrame        # item grain, broadcast only under the counted catalog bound
 
 
 def features_as_of(logs: Logs, asof) -> AsOf:
@@ -63,7 +76,7 @@ def features_as_of(logs: Logs, asof) -> AsOf:
     return AsOf(asof, click_hist, buy_hist,
                 pair_click_features(click_hist), pair_buy_features(buy_hist),
                 role_features(profile, click_hist, buy_hist),
-                item_features(items, click_hist, buy_hist))
+                logs.item_side(item_features(items, click_hist, buy_hist)))
 
 
 def click_buy_outer(pair_clicks: DataFrame, pair_buys: DataFrame) -> DataFrame:
