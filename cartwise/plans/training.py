@@ -8,14 +8,14 @@ the day's buyers, labelled, then joined to role and item features.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import shift, to_day
-from cartwise.operators.joins import BROADCAST_MAX_ROWS
 from cartwise.operators.daily import buy_history, click_history, on_day, restrict, roles_on
+from cartwise.operators.joins import BROADCAST_MAX_ROWS
 from cartwise.session import materialize as write_once
 from cartwise.plans.pair import (item_features, item_is_new, pair_buy_features, pair_click_features,
                                  positive_pairs, role_features, role_profile)
@@ -55,28 +55,46 @@ class Logs:
                     role_daily=self.role_daily, new_items=self.new_items)
 
 
-@dataclass
 class AsOf:
-    """All features of one as-of day."""
+    """All features of one as-of day, each grain built on first use (building the
+    pair click grain runs its global-rank passes, which other grains do not need)."""
+
+    def __init__(self, logs: Logs, asof):
+        self.logs, self.asof = logs, asof
+        # the catalog filters every history row: broadcast it under the counted
+        # bound, so a hot item never concentrates a sort-merge semi join in one task
+        self._catalog = logs.item_side(logs.catalog)
+
+    @cached_property
+    def click_hist(self) -> DataFrame:
+        return click_history(self.logs.clicks, self.logs.active_roles, self._catalog, self.asof)
+
+    @cached_property
+    def buy_hist(self) -> DataFrame:
+        return buy_history(self.logs.buys, self.logs.active_roles, self._catalog, self.asof)
+
+    @cached_property
+    def pair_clicks(self) -> DataFrame:
+        return pair_click_features(self.click_hist)
+
+    @cached_property
+    def pair_buys(self) -> DataFrame:
+        return pair_buy_features(self.buy_hist)
+
+    @cached_property
+    def roles(self) -> DataFrame:
+        profile = role_profile(self.logs.role_daily, self.logs.active_roles, self.asof)
+        return role_features(profile, self.click_hist, self.buy_hist)
 
-    asof: object
-    click_hist: DataFrame
-    buy_hist: DataFrame
-    pair_clicks: DataFrame
-    pair_buys: DataFrame
-    roles: DataFrame
-    items: DataFrame        # item grain, broadcast only under the counted catalog bound
+    @cached_property
+    def items(self) -> DataFrame:
+        """Item grain, broadcast only under the counted catalog bound."""
+        items = item_is_new(self.logs.catalog, self.logs.new_items, self.asof)
+        return self.logs.item_side(item_features(items, self.click_hist, self.buy_hist))
 
 
 def features_as_of(logs: Logs, asof) -> AsOf:
-    click_hist = click_history(logs.clicks, logs.active_roles, logs.catalog, asof)
-    buy_hist = buy_history(logs.buys, logs.active_roles, logs.catalog, asof)
-    profile = role_profile(logs.role_daily, logs.active_roles, asof)
-    items = item_is_new(logs.catalog, logs.new_items, asof)
-    return AsOf(asof, click_hist, buy_hist,
-                pair_click_features(click_hist), pair_buy_features(buy_hist),
-                role_features(profile, click_hist, buy_hist),
-                logs.item_side(item_features(items, click_hist, buy_hist)))
+    return AsOf(logs, asof)
 
 
 def click_buy_outer(pair_clicks: DataFrame, pair_buys: DataFrame) -> DataFrame:
