@@ -20,9 +20,11 @@ def windowed_sums(daily: DataFrame, keys: list[str], value: str, windows, name)
 
 
 def window_row_counts(daily: DataFrame, windows) -> dict:
-    """Scalar subqueries: number of day-grain rows with ``age <= n`` per window.
-    Catalyst merges them into one aggregate over ``daily``."""
-    return {n: daily.where(F.col("age") <= n).select(F.count(F.lit(1))).scalar() for n in windows}
+    """Number of day-grain rows with ``age <= n`` per window, as one scalar
+    subquery (a single global aggregate whose final merge sees one partial row
+    per partition) returning a struct."""
+    totals = daily.select(F.struct(*[F.count_if(F.col("age") <= n).alias(f"n{n}") for n in windows])).scalar()
+    return {n: totals.getField(f"n{n}") for n in windows}
 
 
 def with_shares(pairs: DataFrame, daily: DataFrame, windows, value_name, share_name) -> DataFrame:
