@@ -6,8 +6,13 @@ ranks a catalog-sized list.
 
 Global ranks (one order over the whole table) never use an unpartitioned
 window. ``global_ranks`` ranks the *histogram* of values (one row per
-distinct value) in buckets cut at approximate quantiles, so every bucket is
-one bounded task; the cut points only balance the work, the ranks are exact:
+distinct value) in buckets, each one task; any monotone bucketing gives exact
+ranks, the choice only balances the work:
+
+* ``"log2"`` for non-negative counts: bucket ``floor(log2(v + 1))`` holds at
+  most 2^k distinct integers and needs no cut-point pass;
+* ``"quantile"`` for ids and other wide domains: cut points at approximate
+  quantiles of the distinct values (one extra pass over a materialised input).
 
     rank(v) = 1 + (weight of all buckets above v's bucket)
                 + (weight of the values above v inside its bucket)
@@ -34,7 +39,8 @@ def _bucket_expr(v, cuts: list[float]):
 
 
 def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
-               buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-3, descending: bool = True) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-3, descending: bool = True,
+               bucketing: str = "quantile") -> DataFrame:
     """(_col, _v, _rank): rank of every distinct value of each column, largest
     first (``descending``) or smallest first.
 
@@ -52,15 +58,22 @@ def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
         hist = stacked.distinct().withColumn("_w", F.lit(1).cast("bigint"))
     else:
         hist = stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_w"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(q for q in hist.approxQuantile("_v", probs, rel_err) if q is not None))
-    hist = hist.withColumn("_b", _bucket_expr(F.col("_v"), cuts))
+    if bucketing == "log2":
+        # monotone in _v (ascending ranks negate _v: mirror the buckets)
+        mag = F.abs(F.col("_v"))
+        b = F.floor(F.log2(mag + 1)).cast("int")
+        hist = hist.withColumn("_b", F.when(F.col("_v") >= 0, b).otherwise(-b - 1))
+    else:
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = sorted(set(q for q in hist.approxQuantile("_v", probs, rel_err) if q is not None))
+        hist = hist.withColumn("_b", _bucket_expr(F.col("_v"), cuts))
     totals = hist.groupBy("_col", "_b").agg(F.sum("_w").alias("_bw"))
     above = Window.partitionBy("_col").orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_col", "_b", F.coalesce(F.sum("_bw").over(above), F.lit(0)).alias("_off"))
     inside = Window.partitionBy("_col", "_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
     local = hist.select("_col", "_v", "_b", F.coalesce(F.sum("_w").over(inside), F.lit(0)).alias("_pre"))
-    # at most (#columns x buckets) rows: a proven bound for the broadcast
+    # at most (#columns x buckets) rows (<= 2 x 64 per column for log2): a proven
+    # bound for the broadcast
     sign = 1.0 if descending else -1.0
     return (local.join(F.broadcast(offsets), ["_col", "_b"])
             .select("_col", (F.col("_v") * sign).alias("_v"),
@@ -68,16 +81,18 @@ def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
 
 
 def global_ranks(df: DataFrame, outputs: dict[str, str], method: str = "dense",
-                 buckets: int = DEFAULT_BUCKETS, descending: bool = True, materialized: bool = False) -> DataFrame:
+                 buckets: int = DEFAULT_BUCKETS, descending: bool = True, materialized: bool = False,
+                 bucketing: str = "quantile") -> DataFrame:
     """Add ``outputs[col]`` = global rank of ``col`` for each column.
 
-    The ranked frame is read twice (cut points, then ranks): unless the caller
-    says it is already materialised it is checkpointed first, so its lineage
-    runs once.
+    The ranked frame is read by the histogram of every column and by the final
+    joins (and by the cut-point pass with quantile buckets): unless the caller
+    says it is already materialised it is written once first, so its lineage
+    runs once instead of once per reader.
     """
     if not materialized:
         df = materialize(df)
-    ranks = rank_table(df, list(outputs), method, buckets, descending=descending)
+    ranks = rank_table(df, list(outputs), method, buckets, descending=descending, bucketing=bucketing)
     out = df
     for c, name in outputs.items():
         r = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_v_{name}"),

@@ -32,7 +32,7 @@ def daily_click_features(click_hist: DataFrame) -> DataFrame:
     d = d.withColumns({"final_click_dt_1": flag(F.col("d_dt_final_click") <= 1),
                        "final_click_dt_3": flag(F.col("d_dt_final_click") <= 3),
                        "final_click_dt_week": flag(F.col("d_dt_final_click") <= 7)})
-    return global_ranks(d, {"cnt_week": "rank_week"}, method="min").drop("age")
+    return global_ranks(d, {"cnt_week": "rank_week"}, method="min", bucketing="log2").drop("age")
 
 
 def daily_buy_features(buy_hist: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def daily_buy_features(buy_hist: DataFrame) -> DataFrame:
     d = _pair_min_age(d, "d_dt_buy_final")
     d = d.withColumns({"final_buy_dt_1": flag(F.col("d_dt_buy_final") <= 1),
                        "final_buy_dt_3": flag(F.col("d_dt_buy_final") <= 3)})
-    return global_ranks(d, {"buy_num_week": "buy_rank_week"}, method="min").drop("age")
+    return global_ranks(d, {"buy_num_week": "buy_rank_week"}, method="min", bucketing="log2").drop("age")
 
 
 def _per_pair(daily: DataFrame, sums: list[str], mins: list[str]) -> DataFrame:

@@ -36,7 +36,7 @@ def pair_click_features(click_hist: DataFrame, windows=PAIR_CLICK_WINDOWS) -> Da
           for n in windows],
         F.min("age").alias("d_dt_click_final"), F.max("age").alias("d_dt_click_first"))
     g = with_shares(g, click_hist, windows, lambda n: f"cnt_{n}", lambda n: f"cnt_{n}_ctr")
-    g = global_ranks(g, {f"cnt_{n}": f"click_rank_{n}" for n in windows}, method="dense")
+    g = global_ranks(g, {f"cnt_{n}": f"click_rank_{n}" for n in windows}, method="dense", bucketing="log2")
     return g.withColumns({f"is_click_dt_{n}": flag(F.col("d_dt_click_final") <= n)
                           for n in RECENCY_FLAG_WINDOWS})
 

@@ -137,3 +137,22 @@ def test_correlation_guards(spark):
     assert got[(1, 4)] == (1, None)         # one shared role only
     assert got[(2, 3)][1] == pytest.approx(0.989743318610787)  # numpy corrcoef
     assert got[(2, 2)][1] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("bucketing", ["log2", "quantile"])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_bucketings_agree_with_brute_force(spark, bucketing, descending):
+    import random
+    rnd = random.Random(11)
+    vals = [rnd.choice([0, 1, 1, 2, 3, 7, 8, 15, 16, 1000, 1023, 1024]) + rnd.randint(0, 3) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(vals)), "id int, v bigint")
+    for method in ("dense", "min"):
+        got = dict(global_ranks(df, {"v": "r"}, method, descending=descending, bucketing=bucketing)
+                   .select("id", "r").collect())
+        order = sorted(set(vals), reverse=descending)
+        for i, v in enumerate(vals):
+            if method == "dense":
+                assert got[i] == order.index(v) + 1
+            else:
+                better = [u for u in vals if (u > v if descending else u < v)]
+                assert got[i] == 1 + len(better)
