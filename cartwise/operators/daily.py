@@ -129,3 +129,38 @@ def buy_history(buys: DataFrame, active_roles: DataFrame, catalog: DataFrame, as
     rows = restrict(before(buys, asof), roles_on(active_roles, shift(asof, -1)), catalog)
     return (rows.groupBy("role_id", "item_id", age("dt", asof).alias("age"))
             .agg(F.sum("buy_num").cast("bigint").alias("buy_num")))
+
+
+# -- several as-of days in one plan -------------------------------------------
+
+def as_of_days(days) -> list:
+    """Sorted distinct as-of days."""
+    days = [days] if isinstance(days, str) or not hasattr(days, "__iter__") else days
+    return sorted({to_day(d) for d in days})
+
+
+def spread_to_asofs(df: DataFrame, days, dt: str = "dt") -> DataFrame:
+    """Add ``asof``: one copy of each row per as-of day strictly after its day (F5
+    for every day at once). Rows are copied at most ``len(days)`` times."""
+    days = as_of_days(days)
+    arr = F.array(*[F.lit(d) for d in days])
+    return (df.where(F.col(dt) < F.lit(days[-1]))
+            .withColumn("asof", F.explode(F.filter(arr, lambda a: a > F.col(dt)))))
+
+
+def active_before(active_roles: DataFrame, days) -> DataFrame:
+    """(role_id, asof): roles active on the day before each as-of day."""
+    prev = [shift(d, -1) for d in as_of_days(days)]
+    return (active_roles.where(F.col("dt").isin(prev))
+            .select("role_id", F.date_add("dt", 1).alias("asof")).distinct())
+
+
+def history_days(log: DataFrame, value: str, active_roles: DataFrame, catalog: DataFrame, days) -> DataFrame:
+    """(asof, role_id, item_id, age, value) for every as-of day in one plan: rows
+    before each day, by roles active the day before it, on catalog items, summed
+    per (as-of, pair, day)."""
+    rows = spread_to_asofs(log.select("role_id", "item_id", "dt", value), days)
+    rows = rows.join(active_before(active_roles, days), ["role_id", "asof"], "left_semi")
+    rows = restrict(rows, items=catalog)
+    return (rows.groupBy("asof", "role_id", "item_id", F.datediff("asof", "dt").cast("bigint").alias("age"))
+            .agg(F.sum(value).cast("bigint").alias(value)))

@@ -40,65 +40,73 @@ def _bucket_expr(v, cuts: list[float]):
 
 def rank_table(df: DataFrame, columns: list[str], method: str = "dense",
                buckets: int = DEFAULT_BUCKETS, rel_err: float = 1e-3, descending: bool = True,
-               bucketing: str = "quantile") -> DataFrame:
-    """(_col, _v, _rank): rank of every distinct value of each column, largest
-    first (``descending``) or smallest first.
+               bucketing: str = "quantile", groups: list[str] | None = None) -> DataFrame:
+    """(*groups, _col, _v, _rank): rank of every distinct value of each column
+    within each group (e.g. each as-of day), largest first (``descending``) or
+    smallest first.
 
     ``method="dense"``: ties share a rank, no gaps. ``method="min"``: ties share
     the lowest position, counting rows of ``df`` (pandas ``rank(method='min')``).
     """
     if method not in ("dense", "min"):
         raise ValueError(method)
-    stacked = df.select(F.explode(F.array(*[
+    groups = list(groups or [])
+    stacked = df.select(*groups, F.explode(F.array(*[
         F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns
-    ])).alias("_s")).select("_s._col", "_s._v").where(F.col("_v").isNotNull())
+    ])).alias("_s")).select(*groups, "_s._col", "_s._v").where(F.col("_v").isNotNull())
     if not descending:  # rank the negated values, report the originals
         stacked = stacked.withColumn("_v", -F.col("_v"))
+    keys = groups + ["_col"]
     if method == "dense":
         hist = stacked.distinct().withColumn("_w", F.lit(1).cast("bigint"))
     else:
-        hist = stacked.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_w"))
+        hist = stacked.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
     if bucketing == "log2":
         # monotone in _v (ascending ranks negate _v: mirror the buckets)
-        mag = F.abs(F.col("_v"))
-        b = F.floor(F.log2(mag + 1)).cast("int")
+        b = F.floor(F.log2(F.abs(F.col("_v")) + 1)).cast("int")
         hist = hist.withColumn("_b", F.when(F.col("_v") >= 0, b).otherwise(-b - 1))
     else:
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(q for q in hist.approxQuantile("_v", probs, rel_err) if q is not None))
         hist = hist.withColumn("_b", _bucket_expr(F.col("_v"), cuts))
-    totals = hist.groupBy("_col", "_b").agg(F.sum("_w").alias("_bw"))
-    above = Window.partitionBy("_col").orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_col", "_b", F.coalesce(F.sum("_bw").over(above), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_col", "_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    local = hist.select("_col", "_v", "_b", F.coalesce(F.sum("_w").over(inside), F.lit(0)).alias("_pre"))
-    # at most (#columns x buckets) rows (<= 2 x 64 per column for log2): a proven
-    # bound for the broadcast
+    totals = hist.groupBy(*keys, "_b").agg(F.sum("_w").alias("_bw"))
+    above = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_b", F.coalesce(F.sum("_bw").over(above), F.lit(0)).alias("_off"))
+    inside = (Window.partitionBy(*keys, "_b").orderBy(F.col("_v").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    local = hist.select(*keys, "_v", "_b", F.coalesce(F.sum("_w").over(inside), F.lit(0)).alias("_pre"))
+    # at most (#groups x #columns x buckets) rows (<= 2 x 64 buckets per column
+    # for log2): a proven bound for the broadcast
     sign = 1.0 if descending else -1.0
-    return (local.join(F.broadcast(offsets), ["_col", "_b"])
-            .select("_col", (F.col("_v") * sign).alias("_v"),
+    return (local.join(F.broadcast(offsets), keys + ["_b"])
+            .select(*keys, (F.col("_v") * sign).alias("_v"),
                     (F.col("_off") + F.col("_pre") + 1).cast("bigint").alias("_rank")))
 
 
 def global_ranks(df: DataFrame, outputs: dict[str, str], method: str = "dense",
                  buckets: int = DEFAULT_BUCKETS, descending: bool = True, materialized: bool = False,
-                 bucketing: str = "quantile") -> DataFrame:
-    """Add ``outputs[col]`` = global rank of ``col`` for each column.
+                 bucketing: str = "quantile", groups: list[str] | None = None) -> DataFrame:
+    """Add ``outputs[col]`` = rank of ``col`` over the whole table, or within each
+    group of ``groups`` (W2/W3).
 
     The ranked frame is read by the histogram of every column and by the final
     joins (and by the cut-point pass with quantile buckets): unless the caller
     says it is already materialised it is written once first, so its lineage
     runs once instead of once per reader.
     """
+    groups = list(groups or [])
     if not materialized:
         df = materialize(df)
-    ranks = rank_table(df, list(outputs), method, buckets, descending=descending, bucketing=bucketing)
+    ranks = rank_table(df, list(outputs), method, buckets, descending=descending, bucketing=bucketing,
+                       groups=groups)
     out = df
     for c, name in outputs.items():
-        r = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_v_{name}"),
-                                                   F.col("_rank").alias(name))
-        out = (out.join(r, F.col(c).cast("double") == F.col(f"_v_{name}"), "left")
-               .drop(f"_v_{name}"))
+        r = ranks.where(F.col("_col") == c).select(*[F.col(g).alias(f"_g_{g}") for g in groups],
+                                                   F.col("_v").alias(f"_v_{name}"), F.col("_rank").alias(name))
+        cond = F.col(c).cast("double") == F.col(f"_v_{name}")
+        for g in groups:
+            cond = cond & (F.col(g) == F.col(f"_g_{g}"))
+        out = out.join(r, cond, "left").drop(f"_v_{name}", *[f"_g_{g}" for g in groups])
     return out
 
 

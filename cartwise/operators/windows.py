@@ -27,20 +27,31 @@ def window_row_counts(daily: DataFrame, windows) -> dict:
     return {n: totals.getField(f"n{n}") for n in windows}
 
 
-def with_shares(pairs: DataFrame, daily: DataFrame, windows, value_name, share_name) -> DataFrame:
-    """``share(n) = value(n) / rows of daily with age <= n``, 0 when undefined."""
-    totals = window_row_counts(daily, windows)
-    return pairs.withColumns({share_name(n): safe_ratio(F.col(value_name(n)), totals[n], 0.0)
-                              for n in windows})
-
-
-def attach(base: DataFrame, key: str, parts: list[DataFrame]) -> DataFrame:
+def with_shares(pairs: DataFrame, daily: DataFrame, windows, value_name, share_name,
+                keys: list[str] | None = None) -> DataFrame:
+    """``share(n) = value(n) / rows of daily with age <= n``, 0 when undefined.
+
+    With ``keys`` (e.g. the as-of day) the denominators are per key: one small
+    aggregate, one row per key, broadcast back."""
+    if not keys:
+        totals = window_row_counts(daily, windows)
+        return pairs.withColumns({share_name(n): safe_ratio(F.col(value_name(n)), totals[n], 0.0)
+                                  for n in windows})
+    counts = daily.groupBy(*keys).agg(*[F.count_if(F.col("age") <= n).alias(f"_n{n}") for n in windows])
+    out = pairs.join(F.broadcast(counts), list(keys), "left")
+    out = out.withColumns({share_name(n): safe_ratio(F.col(value_name(n)), F.col(f"_n{n}"), 0.0)
+                           for n in windows})
+    return out.drop(*[f"_n{n}" for n in windows])
+
+
+def attach(base: DataFrame, key, parts: list[DataFrame]) -> DataFrame:
     """Left-join per-key aggregates onto a base table, filling 0."""
+    keys = [key] if isinstance(key, str) else list(key)
     out = base
     filled = []
     for p in parts:
-        out = out.join(p, key, "left")
-        filled += [c for c in p.columns if c != key]
+        out = out.join(p, keys, "left")
+        filled += [c for c in p.columns if c not in keys]
     return out.fillna(0, subset=filled)
 
 

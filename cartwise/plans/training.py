@@ -8,17 +8,17 @@ the day's buyers, labelled, then joined to role and item features.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import shift, to_day
-from cartwise.operators.daily import buy_history, click_history, on_day, restrict, roles_on
+from cartwise.operators.daily import as_of_days, history_days, on_day, restrict, roles_on
 from cartwise.operators.joins import BROADCAST_MAX_ROWS
 from cartwise.session import materialize as write_once
-from cartwise.plans.pair import (item_features, item_is_new, pair_buy_features, pair_click_features,
-                                 positive_pairs, role_features, role_profile)
+from cartwise.plans.pair import (item_features, item_is_new_days, pair_buy_features, pair_click_features,
+                                 positive_pairs, role_features, role_profile_days)
 
 PAIR = ["role_id", "item_id"]
 
@@ -55,51 +55,94 @@ class Logs:
                     role_daily=self.role_daily, new_items=self.new_items)
 
 
-class AsOf:
-    """All features of one as-of day, each grain built on first use (building the
-    pair click grain runs its global-rank passes, which other grains do not need)."""
+KEY = ["asof"]
 
-    def __init__(self, logs: Logs, asof):
-        self.logs, self.asof = logs, asof
+
+class Features:
+    """All features of several as-of days in one plan, keyed by ``asof``; each
+    grain built on first use.
+
+    History rows are copied once per later as-of day (at most ``len(days)``
+    copies) and every aggregate, share, rank and join carries ``asof`` in its
+    key, so N training days are one set of shuffles instead of N plans.
+    """
+
+    def __init__(self, logs: "Logs", days):
+        self.logs, self.days = logs, as_of_days(days)
         # the catalog filters every history row: broadcast it under the counted
         # bound, so a hot item never concentrates a sort-merge semi join in one task
         self._catalog = logs.item_side(logs.catalog)
 
     @cached_property
     def click_hist(self) -> DataFrame:
-        return click_history(self.logs.clicks, self.logs.active_roles, self._catalog, self.asof)
+        return history_days(self.logs.clicks, "cnt", self.logs.active_roles, self._catalog, self.days)
+
+    @cached_property
+    def buy_hist(self) -> DataFrame:
+        return history_days(self.logs.buys, "buy_num", self.logs.active_roles, self._catalog, self.days)
+
+    @cached_property
+    def pair_clicks(self) -> DataFrame:
+        return pair_click_features(self.click_hist, keys=KEY)
+
+    @cached_property
+    def pair_buys(self) -> DataFrame:
+        return pair_buy_features(self.buy_hist, keys=KEY)
+
+    @cached_property
+    def roles(self) -> DataFrame:
+        profile = role_profile_days(self.logs.role_daily, self.logs.active_roles, self.days)
+        return role_features(profile, self.click_hist, self.buy_hist, KEY)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """(asof, item) grain: catalog x days rows, broadcast only under the bound."""
+        items = item_is_new_days(self.logs.catalog, self.logs.new_items, self.days)
+        feats = item_features(items, self.click_hist, self.buy_hist, KEY)
+        small = self.logs.catalog_rows() * len(self.days) <= BROADCAST_MAX_ROWS
+        return F.broadcast(feats) if small else feats
+
+
+class AsOf:
+    """The features of one as-of day (``Features`` over one day, ``asof`` dropped)."""
+
+    def __init__(self, logs: Logs, asof):
+        self.logs, self.asof = logs, asof
+        self._f = Features(logs, [asof])
+
+    @cached_property
+    def click_hist(self) -> DataFrame:
+        return self._f.click_hist.drop("asof")
 
     @cached_property
     def buy_hist(self) -> DataFrame:
-        return buy_history(self.logs.buys, self.logs.active_roles, self._catalog, self.asof)
+        return self._f.buy_hist.drop("asof")
 
     @cached_property
     def pair_clicks(self) -> DataFrame:
-        return pair_click_features(self.click_hist)
+        return self._f.pair_clicks.drop("asof")
 
     @cached_property
     def pair_buys(self) -> DataFrame:
-        return pair_buy_features(self.buy_hist)
+        return self._f.pair_buys.drop("asof")
 
     @cached_property
     def roles(self) -> DataFrame:
-        profile = role_profile(self.logs.role_daily, self.logs.active_roles, self.asof)
-        return role_features(profile, self.click_hist, self.buy_hist)
+        return self._f.roles.drop("asof")
 
     @cached_property
     def items(self) -> DataFrame:
         """Item grain, broadcast only under the counted catalog bound."""
-        items = item_is_new(self.logs.catalog, self.logs.new_items, self.asof)
-        return self.logs.item_side(item_features(items, self.click_hist, self.buy_hist))
+        return self.logs.item_side(self._f.items.drop("asof"))
 
 
 def features_as_of(logs: Logs, asof) -> AsOf:
     return AsOf(logs, asof)
 
 
-def click_buy_outer(pair_clicks: DataFrame, pair_buys: DataFrame) -> DataFrame:
+def click_buy_outer(pair_clicks: DataFrame, pair_buys: DataFrame, keys=()) -> DataFrame:
     """Full outer join of click and buy pair features, 0-filled."""
-    return pair_clicks.join(pair_buys, PAIR, "full").fillna(0)
+    return pair_clicks.join(pair_buys, [*keys, *PAIR], "full").fillna(0)
 
 
 def label_pairs(pairs: DataFrame, buy_log: DataFrame, asof) -> DataFrame:
@@ -111,34 +154,37 @@ def label_pairs(pairs: DataFrame, buy_log: DataFrame, asof) -> DataFrame:
             .withColumn("label", F.coalesce(F.col("label"), F.lit(0)).cast("bigint")))
 
 
-def assemble(pairs: DataFrame, f: AsOf) -> DataFrame:
-    """Pair rows joined to role and item features (J6); item side is catalog-sized."""
-    return pairs.join(f.roles, "role_id").join(f.items, "item_id")
+def label_pairs_days(pairs: DataFrame, buy_log: DataFrame, days) -> DataFrame:
+    """``label_pairs`` for every as-of day of ``pairs`` at once (keyed by ``asof``)."""
+    pos = (buy_log.where(F.col("dt").isin(as_of_days(days)))
+           .select(F.col("dt").alias("asof"), "role_id", "item_id").distinct()
+           .withColumn("label", F.lit(1).cast("bigint")))
+    buyers = pos.select("asof", "role_id").distinct()
+    return (pairs.join(buyers, ["asof", "role_id"], "left_semi")
+            .join(pos, ["asof", *PAIR], "left")
+            .withColumn("label", F.coalesce(F.col("label"), F.lit(0)).cast("bigint")))
 
 
-def training_day(logs: Logs, asof) -> DataFrame:
-    f = features_as_of(logs, asof)
-    rows = label_pairs(click_buy_outer(f.pair_clicks, f.pair_buys), logs.buys, asof)
-    return assemble(rows, f).withColumn("asof", F.lit(to_day(asof)))
+def assemble(pairs: DataFrame, f, keys=()) -> DataFrame:
+    """Pair rows joined to role and item features (J6); item side is catalog-sized."""
+    return pairs.join(f.roles, [*keys, "role_id"]).join(f.items, [*keys, "item_id"])
 
 
 def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> DataFrame:
-    """Labelled rows over several as-of days, concatenated.
+    """Labelled rows of one or several as-of days in one plan keyed by ``asof``
+    (Q10, U1).
 
-    With several days each day is written once as a table under the shared
-    checkpoint folder before the union: the lineage of every day is cut, so a
-    lost executor recomputes nothing upstream and each plan stays small.
+    With several days the exploded logs are first written once under the shared
+    checkpoint folder (the original's click file), so the plan starts from them.
     """
-    days = [asof_days] if isinstance(asof_days, str) else list(asof_days)
+    days = as_of_days(asof_days)
     if materialize is None:
         materialize = len(days) > 1
     if materialize:
         logs = logs.written()
-    parts = []
-    for d in days:
-        part = training_day(logs, d)
-        parts.append(write_once(part) if materialize else part)
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    f = Features(logs, days)
+    rows = label_pairs_days(click_buy_outer(f.pair_clicks, f.pair_buys, KEY), logs.buys, days)
+    return assemble(rows, f, KEY)
 
 
 def day_buyers(buy_log: DataFrame, active_roles: DataFrame, asof) -> DataFrame:
@@ -149,10 +195,10 @@ def day_buyers(buy_log: DataFrame, active_roles: DataFrame, asof) -> DataFrame:
 
 def test_rows(logs: Logs, asof) -> DataFrame:
     """Unlabelled rows of the day's buyers."""
-    f = features_as_of(logs, asof)
-    pairs = click_buy_outer(f.pair_clicks, f.pair_buys)
-    pairs = pairs.join(day_buyers(logs.buys, logs.active_roles, asof), "role_id", "left_semi")
-    return assemble(pairs, f).withColumn("asof", F.lit(to_day(asof)))
+    f = Features(logs, [asof])
+    pairs = click_buy_outer(f.pair_clicks, f.pair_buys, KEY)
+    buyers = day_buyers(logs.buys, logs.active_roles, asof).withColumn("asof", F.lit(to_day(asof)))
+    return assemble(pairs.join(buyers, ["asof", "role_id"], "left_semi"), f, KEY)
 
 
 def train_counts(rows: DataFrame) -> DataFrame:

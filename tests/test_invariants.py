@@ -62,3 +62,14 @@ def test_no_python_udf_anywhere(spark, sf_dir):
     for name in ("pair_click_features", "training_rows", "recommend_list", "cross_features", "item_correlation"):
         plan = _plan(E.queries()[name](spark, sf_dir))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_keyed_multi_day_equals_single_days(spark, sf_dir):
+    from cartwise.plans.training import training_rows
+    logs = E._logs(spark, sf_dir)
+    days = ["2024-01-23", "2024-01-24", "2024-01-25"]
+    multi = training_rows(logs, days)
+    cols = sorted(multi.columns)
+    got = sorted(tuple(r) for r in multi.select(*cols).collect())
+    want = sorted(tuple(r) for d in days for r in training_rows(logs, [d]).select(*cols).collect())
+    assert got == want and len(got) > 0
