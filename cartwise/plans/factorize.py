@@ -55,13 +55,18 @@ class Factors:
     model: ALSModel
     roles: DataFrame   # (role_id, features)
     items: DataFrame   # (item_id, features)
-    train: DataFrame   # indexed interactions
+    train: DataFrame   # the interaction rows (popularity counts them)
 
 
 def fit_factors(train: DataFrame, rank: int = MF_RANK, epochs: int = MF_EPOCHS, reg: float = 0.01,
                 alpha: float = 1.0, seed: int = 7, weight: str = "num") -> Factors:
-    """Implicit ALS on role x item counts (M3)."""
-    indexed = dense_ids(train)
+    """Implicit ALS on role x item counts (M3).
+
+    Interaction rows are first summed per (role, item), as the original's sparse
+    matrix sums duplicate entries; each role then has at most one ALS rating
+    per catalog item, whatever its event volume."""
+    pairs = train.groupBy("role_id", "item_id").agg(F.sum(weight).cast("double").alias(weight))
+    indexed = dense_ids(pairs)
     als = ALS(rank=rank, maxIter=epochs, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol="role_id_index", itemCol="item_id_index", ratingCol=weight,
               coldStartStrategy="nan", nonnegative=False)
@@ -69,7 +74,7 @@ def fit_factors(train: DataFrame, rank: int = MF_RANK, epochs: int = MF_EPOCHS,
     roles_map, items_map = id_maps(indexed)
     roles = model.userFactors.join(roles_map, F.col("id") == F.col("role_id_index")).select("role_id", "features")
     items = model.itemFactors.join(items_map, F.col("id") == F.col("item_id_index")).select("item_id", "features")
-    return Factors(model, roles, items, indexed)
+    return Factors(model, roles, items, train)
 
 
 def factor_columns(vectors: DataFrame, key: str, suffix: str, rank: int = MF_RANK) -> DataFrame:
