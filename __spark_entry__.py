@@ -422,6 +422,17 @@ def q_recommend_fallback(spark, sf_dir):
                               lg.catalog)
 
 
+def q_mf_hit_at_k(spark, sf_dir):
+    """hit@k / revenue@k of the factorisation recommender with popularity fallback."""
+    from cartwise.plans.factorize import recommend_fallback
+    from cartwise.plans.recommend import day_purchases, hit_revenue_at_k
+    from cartwise.plans.training import day_buyers
+    lg = _logs(spark, sf_dir)
+    ranked = recommend_fallback(day_buyers(lg.buys, lg.active_roles, TEST_ASOF), _factors(spark, sf_dir, TEST_ASOF),
+                                lg.catalog)
+    return hit_revenue_at_k(ranked, day_purchases(lg.buys, lg.active_roles, TEST_ASOF))
+
+
 def q_holdout_split(spark, sf_dir):
     from cartwise.plans.models import holdout_split
     return holdout_split(q_training_rows(spark, sf_dir)).select("role_id", "item_id", "asof", "label", "is_val")
@@ -548,6 +559,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "embedding_features": q_embedding_features,
     "pair_score": q_pair_score,
     "recommend_fallback": q_recommend_fallback,
+    "mf_hit_at_k": q_mf_hit_at_k,
     "holdout_split": q_holdout_split,
     "gbt_score": q_gbt_score,
     "item_onehot": q_item_onehot,
