@@ -58,3 +58,18 @@ def test_gbt_ranks_every_buyer(spark, sf_dir):
     assert ranked.where(F.col("score").isNull()).count() == 0
     assert ranked.select("role_id").distinct().count() == E.q_recommend_list(spark, sf_dir) \
         .select("role_id").distinct().count()
+
+
+def test_fixed_point_parity_mode(spark):
+    rng = np.random.default_rng(1)
+    p = rng.beta(20, 10, 400)
+    n = np.floor(rng.random(400) * 500) + 1
+    c = np.round(n * p)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(n, c)], "imps double, clks double")
+    newton = fit_prior(df)
+    fixed = fit_prior(df, method="fixed_point", max_rounds=15)
+    assert fixed.rounds == 15 and not fixed.converged
+    # from (1, 1) the map climbs toward the maximum and keeps the ratio close
+    assert 1.0 < fixed.alpha < newton.alpha and 1.0 < fixed.beta < newton.beta
+    assert fixed.alpha / (fixed.alpha + fixed.beta) == pytest.approx(
+        newton.alpha / (newton.alpha + newton.beta), abs=0.05)
