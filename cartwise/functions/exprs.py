@@ -45,8 +45,3 @@ def flag(cond: Column) -> Column:
 def recency_gap(last_seen, last_buy, default: int = -1) -> Column:
     """``coalesce(last_seen - last_buy, default)``."""
     return F.coalesce(col(last_seen) - col(last_buy), F.lit(default)).cast("bigint")
-
-
-def fill(df, values: dict):
-    """Null -> sentinel per column."""
-    return df.fillna(values)

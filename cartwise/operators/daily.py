@@ -118,17 +118,14 @@ def on_day(df: DataFrame, day, dt: str = "dt") -> DataFrame:
 
 def click_history(clicks: DataFrame, active_roles: DataFrame, catalog: DataFrame, asof) -> DataFrame:
     """(role_id, item_id, age, cnt): clicks before ``asof`` by roles active the day
-    before, on catalog items, summed per pair and day."""
-    rows = restrict(before(clicks, asof), roles_on(active_roles, shift(asof, -1)), catalog)
-    return (rows.groupBy("role_id", "item_id", age("dt", asof).alias("age"))
-            .agg(F.sum("cnt").cast("bigint").alias("cnt")))
+    before, on catalog items, summed per pair and day (one as-of day of
+    ``history_days``)."""
+    return history_days(clicks, "cnt", active_roles, catalog, [asof]).drop("asof")
 
 
 def buy_history(buys: DataFrame, active_roles: DataFrame, catalog: DataFrame, asof) -> DataFrame:
     """(role_id, item_id, age, buy_num): purchases before ``asof``, same restriction."""
-    rows = restrict(before(buys, asof), roles_on(active_roles, shift(asof, -1)), catalog)
-    return (rows.groupBy("role_id", "item_id", age("dt", asof).alias("age"))
-            .agg(F.sum("buy_num").cast("bigint").alias("buy_num")))
+    return history_days(buys, "buy_num", active_roles, catalog, [asof]).drop("asof")
 
 
 # -- several as-of days in one plan -------------------------------------------
