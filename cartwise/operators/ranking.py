@@ -99,6 +99,10 @@ def global_ranks(df: DataFrame, outputs: dict[str, str], method: str = "dense",
         df = materialize(df)
     ranks = rank_table(df, list(outputs), method, buckets, descending=descending, bucketing=bucketing,
                        groups=groups)
+    if len(outputs) > 1:
+        # one row per distinct value and column: written once, so each join-back
+        # reads it instead of re-deriving the ranks per column
+        ranks = materialize(ranks)
     out = df
     for c, name in outputs.items():
         r = ranks.where(F.col("_col") == c).select(*[F.col(g).alias(f"_g_{g}") for g in groups],
