@@ -61,12 +61,24 @@ def item_onehot(catalog: DataFrame) -> DataFrame:
     return one_hot(catalog.select("item_id").distinct(), ["item_id"])
 
 
-def vectorize(df: DataFrame, categorical, numeric, out: str = "features") -> DataFrame:
-    """Mixed categorical / numeric columns to one sparse vector."""
-    hot = one_hot(df, categorical)
-    asm = VectorAssembler(inputCols=[f"{c}_vec" for c in categorical] + list(numeric), outputCol=out,
-                          handleInvalid="keep")
-    return asm.transform(hot)
+def vectorize(df: DataFrame, categorical, numeric, out: str = "features", hash_dim: int | None = None) -> DataFrame:
+    """Mixed categorical / numeric columns to one sparse vector.
+
+    Exact one-hot by default. With ``hash_dim`` the columns are hashed into a
+    fixed-width vector instead, which bounds the model size (FM keeps one
+    coefficient vector per feature in a single model) when ids number in the
+    hundreds of millions.
+    """
+    if hash_dim:
+        from pyspark.ml.feature import FeatureHasher
+        keys = [f"_h_{c}" for c in categorical]
+        hasher = FeatureHasher(inputCols=keys, categoricalCols=keys, outputCol="_ids_vec", numFeatures=hash_dim)
+        hot = hasher.transform(df.withColumns({k: F.col(c).cast("string") for k, c in zip(keys, categorical)}))
+        hot, parts = hot.drop(*keys), ["_ids_vec"]
+    else:
+        hot, parts = one_hot(df, categorical), [f"{c}_vec" for c in categorical]
+    asm = VectorAssembler(inputCols=parts + list(numeric), outputCol=out, handleInvalid="keep")
+    return asm.transform(hot).drop(*parts)
 
 
 def gbt_pipeline(features: list[str], max_iter: int = 200, seed: int = 17,
@@ -96,14 +108,15 @@ def score(model: PipelineModel, rows: DataFrame, out: str = "score") -> DataFram
 
 
 def fm_classify(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), factor_size: int = MF_RANK,
-                max_iter: int = 20, step: float = 0.01, seed: int = 3) -> DataFrame:
+                max_iter: int = 20, step: float = 0.01, seed: int = 3, hash_dim: int | None = None) -> DataFrame:
     """Factorisation machine over one-hot ids and numeric columns.
 
     The input is checkpointed once: the encoders' passes and the optimizer's
     iterations then read it instead of re-running the feature lineage."""
     rows = rows.select(*categorical, *numeric, F.col("label").cast("double").alias("label"))
     rows = materialize(rows)
-    data = vectorize(rows, list(categorical), list(numeric)).select(*categorical, "label", "features")
+    data = vectorize(rows, list(categorical), list(numeric), hash_dim=hash_dim) \
+        .select(*categorical, "label", "features")
     fm = FMClassifier(labelCol="label", featuresCol="features", factorSize=factor_size, maxIter=max_iter,
                       stepSize=step, seed=seed)
     model = fm.fit(data)

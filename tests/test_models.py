@@ -73,3 +73,12 @@ def test_fixed_point_parity_mode(spark):
     assert 1.0 < fixed.alpha < newton.alpha and 1.0 < fixed.beta < newton.beta
     assert fixed.alpha / (fixed.alpha + fixed.beta) == pytest.approx(
         newton.alpha / (newton.alpha + newton.beta), abs=0.05)
+
+
+def test_fm_hashed_features_bound_the_width(spark, sf_dir):
+    from cartwise.plans.models import fm_classify, vectorize
+    rows = E.q_training_rows(spark, sf_dir)
+    v = vectorize(rows, ["role_id", "item_id"], ["cnt_21"], hash_dim=1 << 10)
+    assert v.select("features").first()[0].size == (1 << 10) + 1  # hashed ids + cnt_21
+    out = fm_classify(rows, numeric=("cnt_21",), hash_dim=1 << 10, max_iter=3)
+    assert out.count() == rows.count()
