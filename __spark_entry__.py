@@ -255,7 +255,7 @@ def _evaluation(spark, sf_dir, asof=TEST_ASOF):
     from cartwise.plans.training import click_buy_outer, day_buyers, features_as_of
     lg = _logs(spark, sf_dir)
     f = features_as_of(lg, asof)
-    grid = candidate_grid(day_buyers(lg.buys, lg.active_roles, asof), lg.catalog)
+    grid = candidate_grid(day_buyers(lg.buys, lg.active_roles, asof), lg.catalog, lg.catalog_rows())
     pairs = click_buy_outer(f.pair_clicks, f.pair_buys)
     cand = candidate_features(grid, f, pairs)
     return dict(logs=lg, f=f, grid=grid, pairs=pairs, cand=cand, scored=heuristic_score(cand),

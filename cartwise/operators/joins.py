@@ -19,17 +19,20 @@ def counted_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
 
 
 def bucketed_grid(keys: DataFrame, items: DataFrame, items_per_bucket: int = 512,
-                  item: str = "item_id") -> DataFrame:
+                  item: str = "item_id", n_items: int | None = None) -> DataFrame:
     """Every row of ``keys`` paired with every row of ``items`` (the candidate grid).
 
     Written as an equi-join on an item bucket: items get ``pmod(hash(item), B)``,
     each key row is repeated once per bucket. Every join task emits
     keys x (one item slice), so the output, linear in ``keys`` for a fixed
     catalog, is spread over ``B`` buckets; no cartesian-product operator runs.
-    ``B`` comes from a count of ``items``; the item side is broadcast only under
-    the counted bound.
+    ``B`` comes from a count of ``items`` (or ``n_items`` when the caller holds
+    one); the item side is broadcast only under the counted bound.
     """
-    side, n_items = counted_broadcast(items)
+    if n_items is None:
+        side, n_items = counted_broadcast(items)
+    else:  # a count the caller already holds
+        side = F.broadcast(items) if n_items <= BROADCAST_MAX_ROWS else items
     buckets = max(1, math.ceil(n_items / items_per_bucket))
     it = side.withColumn("_bucket", F.pmod(F.hash(F.col(item)), F.lit(buckets)))
     ks = keys.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

@@ -27,9 +27,9 @@ from cartwise.plans.training import AsOf
 PAIR = ["role_id", "item_id"]
 
 
-def candidate_grid(buyers: DataFrame, catalog: DataFrame) -> DataFrame:
+def candidate_grid(buyers: DataFrame, catalog: DataFrame, n_items: int | None = None) -> DataFrame:
     """(role_id, item_id): every catalog item for every buyer."""
-    return bucketed_grid(buyers.select("role_id"), catalog.select("item_id"))
+    return bucketed_grid(buyers.select("role_id"), catalog.select("item_id"), n_items=n_items)
 
 
 def candidate_features(grid: DataFrame, f: AsOf, pairs: DataFrame) -> DataFrame:
