@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.session import ensure_checkpoint_dir
 from cartwise.sources.tables import ShopData
 
 TRAIN_ASOF = "2024-01-25"
@@ -20,6 +21,9 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def _data(spark: SparkSession, sf_dir: str) -> ShopData:
+    # the session's spark.checkpoint.dir is used as is; a local folder is set
+    # only when none is configured (local checks), never over a cluster setting
+    ensure_checkpoint_dir(spark, local_ok=True)
     return ShopData(spark, sf_dir)
 
 
