@@ -371,6 +371,16 @@ def q_item_correlation(spark, sf_dir):
     return item_correlation(interactions(lg.clicks, TEST_ASOF), top, _mf_catalog(lg))
 
 
+def q_order_item_correlation(spark, sf_dir):
+    """A15 over the larger buy log (lineitem x orders): quantity correlation of the
+    best-selling part with every part, over customers buying both."""
+    from cartwise.operators.metrics import item_correlation
+    from cartwise.operators.ranking import top_items
+    buys = _data(spark, sf_dir).order_buys()
+    top = top_items(buys, "buy_num", 1).select("item_id")
+    return item_correlation(buys, top, buys.select("item_id").distinct(), value="buy_num")
+
+
 def q_item_catalog(spark, sf_dir):
     return _data(spark, sf_dir).catalog()
 
@@ -556,6 +566,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dense_ids": q_dense_ids,
     "popularity": q_popularity,
     "item_correlation": q_item_correlation,
+    "order_item_correlation": q_order_item_correlation,
     "item_catalog": q_item_catalog,
     "avatar_attributes": q_avatar_attributes,
     "smoothed_ctr": q_smoothed_ctr,
@@ -950,6 +961,26 @@ SELECT item1, item2, CAST(n AS BIGINT) AS n_roles,
 FROM s"""
 
 
+
+def _order_corr_sql() -> str:
+    d = "CAST({} AS DOUBLE)"
+    n, sx, sy, sxy, sxx, syy = (d.format(x) for x in ("n", "sx", "sy", "sxy", "sxx", "syy"))
+    den = f"sqrt(({n} * {sxx} - {sx} * {sx}) * ({n} * {syy} - {sy} * {sy}))"
+    return f"""
+WITH ob AS (
+  SELECT o.o_custkey AS role_id, l.l_partkey AS item_id, CAST(l.l_quantity AS BIGINT) AS q
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+top AS (SELECT item_id FROM ob GROUP BY item_id ORDER BY sum(q) DESC, item_id LIMIT 1),
+tot AS (SELECT role_id, item_id, CAST(sum(q) AS BIGINT) AS q FROM ob GROUP BY role_id, item_id),
+xa AS (SELECT role_id, item_id AS item1, q AS x FROM tot WHERE item_id IN (SELECT item_id FROM top)),
+xb AS (SELECT role_id, item_id AS item2, q AS y FROM tot),
+s AS (SELECT item1, item2, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx,
+             sum(y * y) AS syy FROM xa JOIN xb USING (role_id) GROUP BY item1, item2)
+SELECT item1, item2, CAST(n AS BIGINT) AS n_roles,
+       CASE WHEN {den} > 0 THEN ({n} * {sxy} - {sx} * {sy}) / {den} END AS corr
+FROM s"""
+
+
 RI_TEST = _ri_ctes(TEST, "DATE '2024-01-01'")
 
 _SQL: dict[str, str] = {
@@ -1047,6 +1078,7 @@ SELECT *, CAST(dense_rank() OVER (ORDER BY role_id) - 1 AS INTEGER) AS role_id_i
 SELECT item_id, n, CAST(row_number() OVER (ORDER BY n DESC, item_id) - 1 AS BIGINT) AS position
 FROM (SELECT item_id, CAST(count(*) AS BIGINT) AS n FROM mfi WHERE item_id IN ({MF_CAT}) GROUP BY item_id)""",
     "item_correlation": _corr_sql(),
+    "order_item_correlation": _order_corr_sql(),
     "item_catalog": _with() + "SELECT item_id FROM catalog",
     "avatar_attributes": _with() + """
 SELECT event_id, role_id, dt,
