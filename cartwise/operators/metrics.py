@@ -24,14 +24,18 @@ def pearson(n, sx, sy, sxy, sxx, syy):
     return F.when(den > 0, num / den)
 
 
-def item_correlation(interactions: DataFrame, items_a, items_b, value: str = "num") -> DataFrame:
+def item_correlation(interactions: DataFrame, items_a, items_b, value: str = "num",
+                     pre_aggregated: bool = False) -> DataFrame:
     """Pearson correlation of two items' per-role totals over roles having both.
 
     ``items_a`` / ``items_b`` are lists or one-column (``item_id``) DataFrames.
     Role x item totals are pre-aggregated (A18), so each role contributes at
     most |a| x |b| pairs; the sums are exact integers and the ratio is taken last.
     """
-    totals = interactions.groupBy("role_id", "item_id").agg(F.sum(value).cast("bigint").alias("q"))
+    if pre_aggregated:  # already one row per (role, item)
+        totals = interactions.select("role_id", "item_id", F.col(value).cast("bigint").alias("q"))
+    else:
+        totals = interactions.groupBy("role_id", "item_id").agg(F.sum(value).cast("bigint").alias("q"))
 
     def pick(items, name):
         if isinstance(items, DataFrame):
