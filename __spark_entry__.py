@@ -426,6 +426,12 @@ def q_embedding_features(spark, sf_dir):
     return embedding_features(roles, fs.roles, "role_id", "user_fm")
 
 
+def q_training_rows_mf(spark, sf_dir):
+    """Q10 rows with the factorisation columns (vectors fitted on the week before)."""
+    from cartwise.plans.factorize import with_factor_features
+    return with_factor_features(q_training_rows(spark, sf_dir), _factors(spark, sf_dir, TRAIN_ASOF))
+
+
 def q_pair_score(spark, sf_dir):
     from cartwise.plans.factorize import pair_score
     from cartwise.plans.training import test_rows
@@ -577,6 +583,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_factors": q_als_factors,
     "embedding_features": q_embedding_features,
     "pair_score": q_pair_score,
+    "training_rows_mf": q_training_rows_mf,
     "recommend_fallback": q_recommend_fallback,
     "mf_hit_at_k": q_mf_hit_at_k,
     "holdout_split": q_holdout_split,
