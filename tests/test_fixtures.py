@@ -156,3 +156,22 @@ def test_rank_bucketings_agree_with_brute_force(spark, bucketing, descending):
             else:
                 better = [u for u in vals if (u > v if descending else u < v)]
                 assert got[i] == 1 + len(better)
+
+
+def test_open_windows_are_strict(spark):
+    """Opens count ages < N (day = age 0 only), clicks ages <= N."""
+    from cartwise.constants import TAB_MALL
+    from cartwise.plans.role_item import role_opens
+    asof = dt.date(2024, 1, 30)
+    rows = [(1, tab, "{7:1}", asof - dt.timedelta(days=a)) for a in (0, 1, 3, 7) for tab in (TAB_CLOTH, TAB_MALL)]
+    log = spark.createDataFrame(rows, "role_id bigint, child_tab string, item_list string, dt date")
+    r = role_opens(log, asof, 30).first()
+    assert (r.UIMallCloth_day, r.UIMallCloth_day3, r.UIMallCloth_week, r.UIMallCloth_month) == (1, 2, 3, 4)
+    assert (r.UIMall_day, r.UIMall_day3, r.UIMall_week, r.UIMall_month) == (1, 2, 3, 4)
+
+
+def test_undefined_ratios_are_zero(spark):
+    """X / 0 and 0 / 0 give 0, never an infinity or NaN."""
+    from cartwise.functions.exprs import safe_ratio
+    df = spark.createDataFrame([(1, 0), (0, 0), (3, 2), (None, 1)], "a bigint, b bigint")
+    assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [0.0, 0.0, 1.5, 0.0]
