@@ -52,8 +52,13 @@ def by_role(daily: DataFrame) -> DataFrame:
 
 
 def pair_clicks(click_log: DataFrame, asof, day_num: int = 30, counts: DataFrame | None = None) -> DataFrame:
-    """Click side: windows of clicks and distinct-tab clicks, days, recency, rank."""
-    d = by_role(daily_clicks(click_log, asof, day_num, counts))
+    """Click side: windows of clicks and distinct-tab clicks, days, recency, rank.
+
+    ``counts`` (from ``log_counts``) is expected hash-partitioned by role already;
+    without it the day-grain rows are partitioned here."""
+    d = daily_clicks(click_log, asof, day_num, counts)
+    if counts is None:
+        d = by_role(d)
     g = d.groupBy("role_id", "item_id").agg(
         *_windowed("click_num_day", "click_num"),
         *_windowed("click_num_dis_day", "click_num_dis"),
@@ -96,7 +101,9 @@ def role_item_features(click_log: DataFrame, buy_log: DataFrame, role_profile: D
     floors = ctr_floors or CTR_FLOORS
     # the log is scanned and exploded once; its day-grain counts are written once
     # and read by both the click and the open branch
-    counts = materialize(log_counts(click_log, asof, day_num))
+    # counts are at most (tabs x days x catalog) rows per role: partitioned by role
+    # once, they serve the day and pair aggregates, the rank window and the opens
+    counts = by_role(materialize(log_counts(click_log, asof, day_num)))
     clicks = pair_clicks(click_log, asof, day_num, counts)
     buys = pair_buys(buy_log, asof, day_num)
     online = role_online(role_profile, asof)
