@@ -34,11 +34,19 @@ class Logs:
     role_daily: DataFrame   # (role_id, dt, <role features>)
     new_items: DataFrame    # (item_id, item_name, newdt)
     _catalog_rows: int | None = field(default=None, init=False, repr=False)
+    _catalog_table: DataFrame | None = field(default=None, init=False, repr=False)
+
+    def catalog_table(self) -> DataFrame:
+        """The catalog written once (it is derived from the whole event log and
+        filters every history row)."""
+        if self._catalog_table is None:
+            self._catalog_table = write_once(self.catalog)
+        return self._catalog_table
 
     def catalog_rows(self) -> int:
         """Catalog size, counted once: the proven bound of every item-grain table."""
         if self._catalog_rows is None:
-            self._catalog_rows = self.catalog.count()
+            self._catalog_rows = self.catalog_table().count()
         return self._catalog_rows
 
     def item_side(self, items: DataFrame) -> DataFrame:
@@ -71,15 +79,18 @@ class Features:
         self.logs, self.days = logs, as_of_days(days)
         # the catalog filters every history row: broadcast it under the counted
         # bound, so a hot item never concentrates a sort-merge semi join in one task
-        self._catalog = logs.item_side(logs.catalog)
+        self._catalog = logs.item_side(logs.catalog_table())
 
+    # the day-grain histories feed the pair aggregate, the shares and the role
+    # and item windows: each is written once and read by all of them
     @cached_property
     def click_hist(self) -> DataFrame:
-        return history_days(self.logs.clicks, "cnt", self.logs.active_roles, self._catalog, self.days)
+        return write_once(history_days(self.logs.clicks, "cnt", self.logs.active_roles, self._catalog, self.days))
 
     @cached_property
     def buy_hist(self) -> DataFrame:
-        return history_days(self.logs.buys, "buy_num", self.logs.active_roles, self._catalog, self.days)
+        return write_once(history_days(self.logs.buys, "buy_num", self.logs.active_roles, self._catalog,
+                                       self.days))
 
     @cached_property
     def pair_clicks(self) -> DataFrame:
@@ -97,7 +108,7 @@ class Features:
     @cached_property
     def items(self) -> DataFrame:
         """(asof, item) grain: catalog x days rows, broadcast only under the bound."""
-        items = item_is_new_days(self.logs.catalog, self.logs.new_items, self.days)
+        items = item_is_new_days(self.logs.catalog_table(), self.logs.new_items, self.days)
         feats = item_features(items, self.click_hist, self.buy_hist, KEY)
         small = self.logs.catalog_rows() * len(self.days) <= BROADCAST_MAX_ROWS
         return F.broadcast(feats) if small else feats
