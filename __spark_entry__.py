@@ -385,6 +385,19 @@ def q_order_item_correlation(spark, sf_dir):
     return item_correlation(totals, top, totals.select("item_id").distinct(), value="q", pre_aggregated=True)
 
 
+def q_stream_daily_clicks(spark, sf_dir):
+    """The click log written as files, run through the Structured Streaming day
+    counts (A1) until caught up, and read back from the parquet sink: the days
+    the 1-day watermark has closed."""
+    from cartwise.sources.files import scratch_path
+    from cartwise.streaming.daily import click_log_stream, daily_click_counts, start_daily_counts
+    src = scratch_path(spark, "click-log-stream-src")
+    _data(spark, sf_dir).click_log().write.parquet(src)
+    sink, ckpt = scratch_path(spark, "daily-clicks-sink"), scratch_path(spark, "daily-clicks-ckpt")
+    start_daily_counts(daily_click_counts(click_log_stream(spark, src)), sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def q_item_catalog(spark, sf_dir):
     return _data(spark, sf_dir).catalog()
 
@@ -577,6 +590,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity": q_popularity,
     "item_correlation": q_item_correlation,
     "order_item_correlation": q_order_item_correlation,
+    "stream_daily_clicks": q_stream_daily_clicks,
     "item_catalog": q_item_catalog,
     "avatar_attributes": q_avatar_attributes,
     "smoothed_ctr": q_smoothed_ctr,
@@ -1090,6 +1104,11 @@ SELECT item_id, n, CAST(row_number() OVER (ORDER BY n DESC, item_id) - 1 AS BIGI
 FROM (SELECT item_id, CAST(count(*) AS BIGINT) AS n FROM mfi WHERE item_id IN ({MF_CAT}) GROUP BY item_id)""",
     "item_correlation": _corr_sql(),
     "order_item_correlation": _order_corr_sql(),
+    "stream_daily_clicks": _with() + """
+SELECT role_id, item_id, dt, CAST(sum(cnt) AS BIGINT) AS click_num_day,
+       CAST(sum(CASE WHEN child_tab <> 'UIDtsAppearanceMall' THEN 1 ELSE 0 END) AS BIGINT) AS click_num_dis_day
+FROM clog WHERE dt <= (SELECT max(dt) FROM clog) - 2
+GROUP BY role_id, item_id, dt""",
     "item_catalog": _with() + "SELECT item_id FROM catalog",
     "avatar_attributes": _with() + """
 SELECT event_id, role_id, dt,
