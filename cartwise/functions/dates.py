@@ -50,3 +50,12 @@ def day_slug(dt, days_back: int = 0) -> Column:
     """``MMdd`` slug of a day, optionally shifted back."""
     c = F.col(dt) if isinstance(dt, str) else dt
     return F.date_format(F.date_sub(c, days_back), "MMdd")
+
+
+def day_in(dt, days) -> Column:
+    """``dt IN (days)`` written so the scan can prune: a range over the span of
+    the days (pushed to the reader, also through ``to_date(ts)``) plus the exact
+    set (a bare ``IN`` over a derived date is not pushed)."""
+    c = F.col(dt) if isinstance(dt, str) else dt
+    ds = sorted({to_day(d) for d in days})
+    return c.between(F.lit(ds[0]), F.lit(ds[-1])) & c.isin(ds)

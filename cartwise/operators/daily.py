@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.constants import BUY_MALL_TYPES, CLICK_TABS, OPEN_TABS, TAB_APPEARANCE
-from cartwise.functions.dates import age, shift, to_day, window_start
+from cartwise.functions.dates import age, day_in, shift, to_day, window_start
 from cartwise.functions.payload import entry_parts, explode_payload, payload_entries
 
 
@@ -148,7 +148,7 @@ def spread_to_asofs(df: DataFrame, days, dt: str = "dt") -> DataFrame:
 def active_before(active_roles: DataFrame, days) -> DataFrame:
     """(role_id, asof): roles active on the day before each as-of day."""
     prev = [shift(d, -1) for d in as_of_days(days)]
-    return (active_roles.where(F.col("dt").isin(prev))
+    return (active_roles.where(day_in("dt", prev))
             .select("role_id", F.date_add("dt", 1).alias("asof")).distinct())
 
 

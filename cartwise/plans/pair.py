@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cartwise.constants import (ITEM_BUY_WINDOWS, ITEM_CLICK_WINDOWS, NEW_ITEM_BAND, NEW_ITEM_RECENT_DAYS,
                                 PAIR_BUY_WINDOWS, PAIR_CLICK_WINDOWS, RECENCY_FLAG_WINDOWS,
                                 ROLE_BUY_WINDOWS, ROLE_CLICK_WINDOWS, TOP_SELLER_DAYS, TOP_SELLER_N)
-from cartwise.functions.dates import shift, to_day
+from cartwise.functions.dates import day_in, shift, to_day
 from cartwise.functions.exprs import flag
 from cartwise.operators.daily import active_before, as_of_days, on_day, restrict, roles_on
 from cartwise.operators.ranking import global_ranks, top_items
@@ -114,7 +114,7 @@ def role_profile_days(role_daily: DataFrame, active_roles: DataFrame, days,
     """(asof, role_id, <role features>): the day-before slice for each as-of day,
     active roles only (Q8 for several days)."""
     prev = [shift(d, -1) for d in as_of_days(days)]
-    snap = (role_daily.where(F.col("dt").isin(prev)).withColumn("asof", F.date_add("dt", 1))
+    snap = (role_daily.where(day_in("dt", prev)).withColumn("asof", F.date_add("dt", 1))
             .join(active_before(active_roles, days), ["role_id", "asof"], "left_semi"))
     return snap.drop(*[c for c in drop if c in snap.columns])
 

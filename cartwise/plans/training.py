@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.dates import shift, to_day
+from cartwise.functions.dates import day_in, shift, to_day
 from cartwise.operators.daily import as_of_days, history_days, on_day, restrict, roles_on
 from cartwise.operators.joins import BROADCAST_MAX_ROWS
 from cartwise.session import materialize as write_once
@@ -167,7 +167,7 @@ def label_pairs(pairs: DataFrame, buy_log: DataFrame, asof) -> DataFrame:
 
 def label_pairs_days(pairs: DataFrame, buy_log: DataFrame, days) -> DataFrame:
     """``label_pairs`` for every as-of day of ``pairs`` at once (keyed by ``asof``)."""
-    pos = (buy_log.where(F.col("dt").isin(as_of_days(days)))
+    pos = (buy_log.where(day_in("dt", as_of_days(days)))
            .select(F.col("dt").alias("asof"), "role_id", "item_id").distinct()
            .withColumn("label", F.lit(1).cast("bigint")))
     buyers = pos.select("asof", "role_id").distinct()
