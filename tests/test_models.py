@@ -82,3 +82,20 @@ def test_fm_hashed_features_bound_the_width(spark, sf_dir):
     assert v.select("features").first()[0].size == (1 << 10) + 1  # hashed ids + cnt_21
     out = fm_classify(rows, numeric=("cnt_21",), hash_dim=1 << 10, max_iter=3)
     assert out.count() == rows.count()
+
+
+def test_cold_start_roles_get_popularity_order(spark):
+    from cartwise.plans.factorize import fit_factors, recommend_fallback
+    rows = [(1, 10, 3), (1, 11, 1), (2, 10, 2), (2, 12, 5), (3, 11, 1), (3, 12, 1), (4, 12, 2)]
+    train = spark.createDataFrame([(r, i, "2024-01-20", n) for r, i, n in rows],
+                                  "role_id bigint, item_id bigint, dt string, num bigint")
+    fs = fit_factors(train, rank=2, epochs=3)
+    catalog = spark.createDataFrame([(10,), (11,), (12,), (13,)], "item_id bigint")
+    test_roles = spark.createDataFrame([(1,), (99,)], "role_id bigint")
+    out = {(r.role_id, r.item_id): (r.position, r.source) for r in recommend_fallback(test_roles, fs, catalog).collect()}
+    # known role: every catalog item that has a vector (13 never seen), positions 0..2
+    assert sorted(p for (r, _), (p, _s) in out.items() if r == 1) == [0, 1, 2]
+    assert {s for (r, _), (_p, s) in out.items() if r == 1} == {"mf"}
+    # unknown role: interaction rows per item, most first, ties by item: 12 (4 rows), 10, 11 (2 each)
+    assert [i for (r, i), _ in sorted(out.items(), key=lambda kv: kv[1][0]) if r == 99] == [12, 10, 11]
+    assert {s for (r, _), (_p, s) in out.items() if r == 99} == {"popular"}
