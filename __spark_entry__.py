@@ -394,7 +394,10 @@ def q_stream_daily_clicks(spark, sf_dir):
     src = scratch_path(spark, "click-log-stream-src")
     _data(spark, sf_dir).click_log().write.parquet(src)
     sink, ckpt = scratch_path(spark, "daily-clicks-sink"), scratch_path(spark, "daily-clicks-ckpt")
-    start_daily_counts(daily_click_counts(click_log_stream(spark, src)), sink, ckpt).awaitTermination()
+    query = start_daily_counts(daily_click_counts(click_log_stream(spark, src)), sink, ckpt)
+    if not query.awaitTermination(900):  # available-now: ends once caught up
+        query.stop()
+        raise TimeoutError("streaming day counts did not catch up within 900 s")
     return spark.read.parquet(sink)
 
 
