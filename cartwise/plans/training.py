@@ -1,4 +1,5 @@
-"""Training and test sets (Q10, Q11 without the factorisation columns).
+"""Training and test sets (Q10, Q11); the factorisation columns are added by
+``plans.factorize.with_factor_features``.
 
 Grain is fixed first (R6, R9, R10): one row per (as-of day, role, item).
 Click and buy pair features are full-outer joined, 0-filled, restricted to
@@ -55,12 +56,14 @@ class Logs:
         return F.broadcast(items) if self.catalog_rows() <= BROADCAST_MAX_ROWS else items
 
     def written(self) -> "Logs":
-        """The logs with the exploded clicks, purchases and active roles written
-        once (the click file of the original ingest step): every as-of day then
-        reads them instead of re-deriving them from the raw events."""
-        return Logs(clicks=write_once(self.clicks), buys=write_once(self.buys),
-                    active_roles=write_once(self.active_roles), catalog=write_once(self.catalog),
-                    role_daily=self.role_daily, new_items=self.new_items)
+        """The logs with the exploded clicks, purchases, active roles and catalog
+        written once (the click file of the original ingest step): every as-of
+        day then reads them instead of re-deriving them from the raw events."""
+        out = Logs(clicks=write_once(self.clicks), buys=write_once(self.buys),
+                   active_roles=write_once(self.active_roles), catalog=self.catalog_table(),
+                   role_daily=self.role_daily, new_items=self.new_items)
+        out._catalog_table, out._catalog_rows = self._catalog_table, self._catalog_rows
+        return out
 
 
 KEY = ["asof"]
