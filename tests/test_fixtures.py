@@ -175,3 +175,13 @@ def test_undefined_ratios_are_zero(spark):
     from cartwise.functions.exprs import safe_ratio
     df = spark.createDataFrame([(1, 0), (0, 0), (3, 2), (None, 1)], "a bigint, b bigint")
     assert [r[0] for r in df.select(safe_ratio("a", "b")).collect()] == [0.0, 0.0, 1.5, 0.0]
+
+
+@pytest.mark.parametrize("n_items", [None, 1500])
+def test_bucketed_grid_is_every_pair_once(spark, n_items):
+    from cartwise.operators.joins import bucketed_grid
+    keys = spark.createDataFrame([(r,) for r in (1, 2, 3, 7)], "role_id bigint")
+    items = spark.createDataFrame([(i,) for i in range(1500)], "item_id bigint")
+    grid = bucketed_grid(keys, items, items_per_bucket=256, n_items=n_items)  # 6 buckets
+    got = sorted(tuple(r) for r in grid.select("role_id", "item_id").collect())
+    assert got == sorted((r, i) for r in (1, 2, 3, 7) for i in range(1500))
