@@ -480,14 +480,17 @@ def q_holdout_split(spark, sf_dir):
 
 def q_gbt_score(spark, sf_dir):
     """Train on several as-of days, persist and reload the model, rank the test day."""
-    from cartwise.plans.models import score, train_gbt
+    from cartwise.plans.models import item_onehot, score, train_gbt, with_item_onehot
     from cartwise.plans.recommend import recommend_list
     from cartwise.plans.training import training_rows
     from cartwise.sources.files import load_pipeline, save_model, scratch_path
+    from cartwise.session import materialize
     e = _evaluation(spark, sf_dir)
-    model, _ = train_gbt(training_rows(e["logs"], MODEL_TRAIN_DAYS))
+    onehot = materialize(item_onehot(e["logs"].catalog_table()))
+    model, _ = train_gbt(with_item_onehot(training_rows(e["logs"], MODEL_TRAIN_DAYS), onehot))
     model = load_pipeline(save_model(model, scratch_path(spark, "gbt-model")))
-    return recommend_list(score(model, e["cand"]), e["top"], e["bought"])
+    scored = score(model, with_item_onehot(e["cand"], onehot)).drop("item_id_vec")
+    return recommend_list(scored, e["top"], e["bought"])
 
 
 def q_item_onehot(spark, sf_dir):

@@ -92,10 +92,17 @@ def gbt_pipeline(features: list[str], max_iter: int = 200, seed: int = 17,
     return Pipeline(stages=[asm, gbt])
 
 
+def with_item_onehot(rows: DataFrame, onehot: DataFrame) -> DataFrame:
+    """Attach the catalog-fitted item one-hot (``item_id_vec``) as a model input,
+    as the original's item features do (P13); the one-hot table is catalog-sized."""
+    return rows.join(F.broadcast(onehot.select("item_id", "item_id_vec")), "item_id", "left")
+
+
 def train_gbt(rows: DataFrame, features: list[str] | None = None, **kw) -> tuple[PipelineModel, list[str]]:
-    """Fit on labelled rows; the input is checkpointed first so the many passes of
-    boosting neither recompute nor depend on the feature lineage."""
-    features = features or feature_columns(rows)
+    """Fit on labelled rows; the input is written once first so the many passes of
+    boosting neither recompute nor depend on the feature lineage. Numeric columns
+    and an ``item_id_vec`` one-hot, when present, are the inputs."""
+    features = features or feature_columns(rows) + (["item_id_vec"] if "item_id_vec" in rows.columns else [])
     data = holdout_split(rows).select(*features, "label", "is_val")
     data = data.withColumn("label", F.col("label").cast("double"))
     return gbt_pipeline(features, **kw).fit(materialize(data)), features
