@@ -126,9 +126,14 @@ def recommend_fallback(test_roles: DataFrame, f: Factors, catalog: DataFrame,
     return mf.unionByName(fb)
 
 
-def with_factor_features(rows: DataFrame, f: Factors, rank: int = MF_RANK) -> DataFrame:
-    """Training / test rows with the pair score ``fm`` and the role and item
-    vectors as ``{i}_user_fm`` / ``{i}_item_fm`` columns, 0 when absent (M5, M6)."""
-    scored = pair_score(rows, f, "fm")
-    scored = embedding_features(scored, f.roles, "role_id", "user_fm", rank)
-    return embedding_features(scored, f.items, "item_id", "item_fm", rank)
+def with_factor_features(rows: DataFrame, f: Factors, rank: int = MF_RANK, user: bool = True,
+                         item: bool = True) -> DataFrame:
+    """Training / test rows with the pair score ``fm`` and, when enabled, the role
+    and item vectors as ``{i}_user_fm`` / ``{i}_item_fm`` columns, 0 when absent
+    (M5, M6)."""
+    out = pair_score(rows, f, "fm")
+    if user:
+        out = embedding_features(out, f.roles, "role_id", "user_fm", rank)
+    if item:
+        out = embedding_features(out, f.items, "item_id", "item_fm", rank)
+    return out
