@@ -97,7 +97,8 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
     to their size once above 1) (R18, R34).
 
     When the rates show no over-dispersion the likelihood keeps rising as
-    alpha + beta grows; the fit then stops at ``max_concentration`` with
+    alpha + beta grows; the fit then stops (three Newton steps multiplying the
+    concentration at a fixed mean, or ``max_concentration``) with
     ``converged=False`` and the mean alpha / (alpha + beta) still meaningful.
     """
     hist = materialize(count_histograms(counts, imps, clks))  # written once, read every round
@@ -107,6 +108,7 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
             mu = _mean_rate(counts, imps, clks)
             return Prior(mu * max_concentration, (1 - mu) * max_concentration, 0, False, method)
     a, b = start
+    growing = 0  # consecutive Newton steps along the no-over-dispersion ray
     for rnd in range(1, max_rounds + 1):
         if method == "fixed_point":
             s = _sums(hist, a, b, second=False)
@@ -126,10 +128,15 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
                 step /= 2
             na, nb = a - step * da, b - step * db
         done = abs(na - a) < epsilon * max(1.0, abs(a)) and abs(nb - b) < epsilon * max(1.0, abs(b))
+        ray = (method != "fixed_point" and na + nb >= 1.8 * (a + b)
+               and abs(na / (na + nb) - a / (a + b)) < 1e-4 * (a / (a + b)))
+        growing = growing + 1 if ray else 0
         a, b = na, nb
         if done:
             return Prior(a, b, rnd, True, method)
-        if a + b > max_concentration:
+        # the concentration keeps multiplying at a fixed mean: the likelihood has
+        # no finite maximum (no over-dispersion); stop instead of walking to the cap
+        if a + b > max_concentration or growing >= 3:
             return Prior(a, b, rnd, False, method)
     return Prior(a, b, max_rounds, False, method)
 
