@@ -252,13 +252,13 @@ def q_dedupe_pairs(spark, sf_dir):
 # ranking and evaluation (Q12, Q15) with the deterministic stand-in score
 # ---------------------------------------------------------------------------
 
-def _evaluation(spark, sf_dir, asof=TEST_ASOF):
+def _evaluation(spark, sf_dir, asof=TEST_ASOF, logs=None, features=None):
     from cartwise.plans.pair import top_sellers
     from cartwise.plans.recommend import (candidate_features, candidate_grid, day_purchases, heuristic_score,
                                           previous_buys)
-    from cartwise.plans.training import click_buy_outer, day_buyers, features_as_of
-    lg = _logs(spark, sf_dir)
-    f = features_as_of(lg, asof)
+    from cartwise.plans.training import AsOf, click_buy_outer, day_buyers
+    lg = logs if logs is not None else _logs(spark, sf_dir)
+    f = AsOf(lg, asof, features)
     grid = candidate_grid(day_buyers(lg.buys, lg.active_roles, asof), lg.catalog, lg.catalog_rows())
     pairs = click_buy_outer(f.pair_clicks, f.pair_buys)
     cand = candidate_features(grid, f, pairs)
@@ -479,15 +479,18 @@ def q_holdout_split(spark, sf_dir):
 
 
 def q_gbt_score(spark, sf_dir):
-    """Train on several as-of days, persist and reload the model, rank the test day."""
+    """Train on six as-of days, persist and reload the model, rank the test day.
+    The training days and the test day are one keyed feature plan."""
     from cartwise.plans.models import item_onehot, score, train_gbt, with_item_onehot
     from cartwise.plans.recommend import recommend_list
-    from cartwise.plans.training import training_rows
-    from cartwise.sources.files import load_pipeline, save_model, scratch_path
+    from cartwise.plans.training import Features, training_rows_from
     from cartwise.session import materialize
-    e = _evaluation(spark, sf_dir)
-    onehot = materialize(item_onehot(e["logs"].catalog_table()))
-    model, _ = train_gbt(with_item_onehot(training_rows(e["logs"], MODEL_TRAIN_DAYS), onehot))
+    from cartwise.sources.files import load_pipeline, save_model, scratch_path
+    lg = _logs(spark, sf_dir).written()
+    feats = Features(lg, MODEL_TRAIN_DAYS + [TEST_ASOF])
+    e = _evaluation(spark, sf_dir, TEST_ASOF, logs=lg, features=feats)
+    onehot = materialize(item_onehot(lg.catalog_table()))
+    model, _ = train_gbt(with_item_onehot(training_rows_from(feats, lg.buys, MODEL_TRAIN_DAYS), onehot))
     model = load_pipeline(save_model(model, scratch_path(spark, "gbt-model")))
     scored = score(model, with_item_onehot(e["cand"], onehot)).drop("item_id_vec")
     return recommend_list(scored, e["top"], e["bought"])

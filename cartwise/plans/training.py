@@ -118,36 +118,42 @@ class Features:
 
 
 class AsOf:
-    """The features of one as-of day (``Features`` over one day, ``asof`` dropped)."""
+    """The features of one as-of day, ``asof`` dropped: ``Features`` over that
+    day alone, or a filtered view of a keyed ``Features`` already covering it
+    (its grains are written tables, so the filter prunes at the scan)."""
 
-    def __init__(self, logs: Logs, asof):
+    def __init__(self, logs: Logs, asof, features: "Features | None" = None):
         self.logs, self.asof = logs, asof
-        self._f = Features(logs, [asof])
+        self._f = features if features is not None else Features(logs, [asof])
+        self._day = F.col("asof") == F.lit(to_day(asof))
+
+    def _view(self, df: DataFrame) -> DataFrame:
+        return df.where(self._day).drop("asof")
 
     @cached_property
     def click_hist(self) -> DataFrame:
-        return self._f.click_hist.drop("asof")
+        return self._view(self._f.click_hist)
 
     @cached_property
     def buy_hist(self) -> DataFrame:
-        return self._f.buy_hist.drop("asof")
+        return self._view(self._f.buy_hist)
 
     @cached_property
     def pair_clicks(self) -> DataFrame:
-        return self._f.pair_clicks.drop("asof")
+        return self._view(self._f.pair_clicks)
 
     @cached_property
     def pair_buys(self) -> DataFrame:
-        return self._f.pair_buys.drop("asof")
+        return self._view(self._f.pair_buys)
 
     @cached_property
     def roles(self) -> DataFrame:
-        return self._f.roles.drop("asof")
+        return self._view(self._f.roles)
 
     @cached_property
     def items(self) -> DataFrame:
         """Item grain, broadcast only under the counted catalog bound."""
-        return self.logs.item_side(self._f.items.drop("asof"))
+        return self.logs.item_side(self._view(self._f.items))
 
 
 def features_as_of(logs: Logs, asof) -> AsOf:
@@ -196,9 +202,17 @@ def training_rows(logs: Logs, asof_days, materialize: bool | None = None) -> Dat
         materialize = len(days) > 1
     if materialize:
         logs = logs.written()
-    f = Features(logs, days)
-    rows = label_pairs_days(click_buy_outer(f.pair_clicks, f.pair_buys, KEY), logs.buys, days)
-    return assemble(rows, f, KEY)
+    return training_rows_from(Features(logs, days), logs.buys, days)
+
+
+def training_rows_from(f: Features, buy_log: DataFrame, days) -> DataFrame:
+    """Labelled rows of ``days`` taken from keyed features that may cover more days
+    (e.g. the training days plus the test day in one plan)."""
+    days = as_of_days(days)
+    pairs = click_buy_outer(f.pair_clicks, f.pair_buys, KEY)
+    if set(days) != set(f.days):
+        pairs = pairs.where(day_in("asof", days))
+    return assemble(label_pairs_days(pairs, buy_log, days), f, KEY)
 
 
 def day_buyers(buy_log: DataFrame, active_roles: DataFrame, asof) -> DataFrame:

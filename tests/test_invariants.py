@@ -73,3 +73,13 @@ def test_keyed_multi_day_equals_single_days(spark, sf_dir):
     got = sorted(tuple(r) for r in multi.select(*cols).collect())
     want = sorted(tuple(r) for d in days for r in training_rows(logs, [d]).select(*cols).collect())
     assert got == want and len(got) > 0
+
+
+def test_day_view_of_keyed_features_equals_single_day(spark, sf_dir):
+    from cartwise.plans.training import Features
+    logs = E._logs(spark, sf_dir)
+    shared = E._evaluation(spark, sf_dir, E.TEST_ASOF, logs=logs,
+                           features=Features(logs, ["2024-01-24", E.TEST_ASOF]))["cand"]
+    alone = E.q_candidate_features(spark, sf_dir)
+    cols = sorted(alone.columns)
+    assert sorted(map(tuple, shared.select(*cols).collect())) == sorted(map(tuple, alone.select(*cols).collect()))
