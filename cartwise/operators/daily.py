@@ -155,9 +155,16 @@ def active_before(active_roles: DataFrame, days) -> DataFrame:
 def history_days(log: DataFrame, value: str, active_roles: DataFrame, catalog: DataFrame, days) -> DataFrame:
     """(asof, role_id, item_id, age, value) for every as-of day in one plan: rows
     before each day, by roles active the day before it, on catalog items, summed
-    per (as-of, pair, day)."""
-    rows = spread_to_asofs(log.select("role_id", "item_id", "dt", value), days)
-    rows = rows.join(active_before(active_roles, days), ["role_id", "asof"], "left_semi")
-    rows = restrict(rows, items=catalog)
-    return (rows.groupBy("asof", "role_id", "item_id", F.datediff("asof", "dt").cast("bigint").alias("age"))
-            .agg(F.sum(value).cast("bigint").alias(value)))
+    per (as-of, pair, day).
+
+    The log is first summed per (role, item, day) -- one map-side-combined
+    shuffle of the raw rows -- and only those day rows are copied to the as-of
+    days; a day row maps to one (as-of, pair, age) per copy, so no aggregation
+    follows the copy.
+    """
+    days = as_of_days(days)
+    rows = restrict(log.where(F.col("dt") < F.lit(days[-1])).select("role_id", "item_id", "dt", value),
+                    items=catalog)
+    daily = rows.groupBy("role_id", "item_id", "dt").agg(F.sum(value).cast("bigint").alias(value))
+    spread = spread_to_asofs(daily, days).join(active_before(active_roles, days), ["role_id", "asof"], "left_semi")
+    return spread.select("asof", "role_id", "item_id", F.datediff("asof", "dt").cast("bigint").alias("age"), value)
