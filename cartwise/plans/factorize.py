@@ -9,6 +9,7 @@ alternating least squares; numbers differ by learner, the interfaces match.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -16,11 +17,12 @@ from pyspark.sql import functions as F
 
 from cartwise.constants import (MF_BAND_DAYS, MF_CATALOG_BLACKLIST, MF_EPOCHS, MF_INTERACTION_BLACKLIST, MF_RANK,
                                 UNSEEN_PAIR_SCORE)
-from cartwise.operators.daily import band
+from cartwise.operators.daily import as_of_days, band
 from cartwise.operators.joins import bucketed_grid
 from cartwise.operators.metrics import popularity
 from cartwise.operators.ranking import global_ranks, rank_in_group
 from cartwise.operators.windows import item_total_flag
+from cartwise.session import materialize
 
 PAIR = ["role_id", "item_id"]
 
@@ -137,3 +139,25 @@ def with_factor_features(rows: DataFrame, f: Factors, rank: int = MF_RANK, user:
     if item:
         out = embedding_features(out, f.items, "item_id", "item_fm", rank)
     return out
+
+
+def factor_features_days(rows: DataFrame, clicks: DataFrame, days, rank: int = MF_RANK,
+                         unseen: float = UNSEEN_PAIR_SCORE, **als) -> DataFrame:
+    """``with_factor_features`` for rows keyed by ``asof``: one ALS fit per as-of
+    day on the week before it (as the original refits per training day); the
+    vectors of all days are written once and joined on (asof, role) and
+    (asof, item)."""
+    role_parts, item_parts = [], []
+    for d in as_of_days(days):
+        fs = fit_factors(interactions(clicks, d), rank=rank, **als)
+        role_parts.append(fs.roles.withColumn("asof", F.lit(d)))
+        item_parts.append(fs.items.withColumn("asof", F.lit(d)))
+    roles = materialize(reduce(DataFrame.unionByName, role_parts))
+    items = materialize(reduce(DataFrame.unionByName, item_parts))
+    j = (rows.join(roles.select("asof", "role_id", F.col("features").alias("_u")), ["asof", "role_id"], "left")
+         .join(items.select("asof", "item_id", F.col("features").alias("_i")), ["asof", "item_id"], "left"))
+    fm = F.when(F.col("_u").isNull() | F.col("_i").isNull(), F.lit(float(unseen))).otherwise(dot("_u", "_i"))
+    cols = {"fm": fm}
+    cols.update({f"{i}_user_fm": F.coalesce(F.col("_u")[i].cast("double"), F.lit(0.0)) for i in range(rank)})
+    cols.update({f"{i}_item_fm": F.coalesce(F.col("_i")[i].cast("double"), F.lit(0.0)) for i in range(rank)})
+    return j.withColumns(cols).drop("_u", "_i")

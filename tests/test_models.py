@@ -99,3 +99,20 @@ def test_cold_start_roles_get_popularity_order(spark):
     # unknown role: interaction rows per item, most first, ties by item: 12 (4 rows), 10, 11 (2 each)
     assert [i for (r, i), _ in sorted(out.items(), key=lambda kv: kv[1][0]) if r == 99] == [12, 10, 11]
     assert {s for (r, _), (_p, s) in out.items() if r == 99} == {"popular"}
+
+
+def test_keyed_factor_features_per_day(spark, sf_dir):
+    from cartwise.plans.factorize import factor_features_days, fit_factors, interactions, with_factor_features
+    from cartwise.plans.training import training_rows
+    logs = E._logs(spark, sf_dir)
+    days = ["2024-01-24", "2024-01-25"]
+    rows = training_rows(logs, days)
+    out = factor_features_days(rows, logs.clicks, days, rank=3, epochs=2)
+    assert out.count() == rows.count()
+    assert {"fm", "0_user_fm", "2_item_fm"} <= set(out.columns)
+    # a day's keyed result equals the single-day attachment with that day's vectors
+    one = out.where(F.col("asof") == F.lit("2024-01-25").cast("date"))
+    single = with_factor_features(training_rows(logs, "2024-01-25"),
+                                  fit_factors(interactions(logs.clicks, "2024-01-25"), rank=3, epochs=2), rank=3)
+    assert one.count() == single.count()
+    assert one.where(F.col("fm") == -2.0).count() == single.where(F.col("fm") == -2.0).count()
