@@ -83,3 +83,22 @@ def test_day_view_of_keyed_features_equals_single_day(spark, sf_dir):
     alone = E.q_candidate_features(spark, sf_dir)
     cols = sorted(alone.columns)
     assert sorted(map(tuple, shared.select(*cols).collect())) == sorted(map(tuple, alone.select(*cols).collect()))
+
+
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    final = plan[plan.find("== Final Plan =="):] if "== Final Plan ==" in plan else plan
+    return final[:final.find("== Initial Plan ==")] if "== Initial Plan ==" in final else final
+
+
+def test_flagship_shuffle_budget(spark, sf_dir):
+    final = _final_plan(E.q_role_item_features(spark, sf_dir))
+    assert final.count("Exchange hashpartitioning") <= 5
+    assert "SinglePartition" not in final
+
+
+def test_training_plan_has_no_single_partition_exchange(spark, sf_dir):
+    from cartwise.plans.training import training_rows
+    final = _final_plan(training_rows(E._logs(spark, sf_dir), ["2024-01-24", "2024-01-25"]))
+    assert "SinglePartition" not in final and "EvalPython" not in final
