@@ -7,8 +7,16 @@ training-side queries, 2024-01-30 for test-side ones.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# the package sits next to this file; make it importable however this module
+# is loaded (tasks never import it: no Python runs inside Spark tasks)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
