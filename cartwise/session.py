@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import logging
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,32 +16,31 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, app: str = "cartwise", conf: dict | None = None,
-              local_checkpoint_ok: bool = False) -> SparkSession:
+def get_spark(master: str | None = None, app: str = "cartwise", conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark, local_ok=local_checkpoint_ok)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, local_ok: bool = False) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; make one only where it is unset
-    and the caller says a local folder is acceptable (tests)."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for written intermediate tables, which all executors must share.
+
+    ``spark.checkpoint.dir`` is used as it is. Where it is unset the tables go
+    below the configured warehouse (``spark.sql.warehouse.dir``), which a cluster
+    shares as well, and the choice is logged. Never a temp folder of one machine.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not local_ok:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwise-ckpt-"))
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_cartwise"
+            logging.getLogger("cartwise").warning("spark.checkpoint.dir is not set; using %s", folder)
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -52,13 +51,10 @@ def materialize(df):
     This cuts the lineage (later passes, and retries after a lost executor,
     read the files instead of recomputing), computes the input exactly once
     (``Dataset.checkpoint`` computes it twice unless cached), and keeps the data
-    columnar, so readers prune columns. Without a checkpoint folder the frame
-    is returned unchanged.
+    columnar, so readers prune columns. It always writes, so the cost model is
+    the same in every session.
     """
     spark = df.sparkSession
-    base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        return df
-    path = f"{base.rstrip('/')}/cartwise-materialized/{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cartwise-materialized/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

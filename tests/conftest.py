@@ -9,11 +9,11 @@ SMOKE_SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from cartwise.session import get_spark
     s = get_spark("local[4]", app="cartwise-tests",
-                  conf={"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"},
-                  local_checkpoint_ok=True)
+                  conf={"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false",
+                        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
