@@ -16,8 +16,46 @@ def op3_simhash_near_dedup(spark, sf_dir):
                        "component_id")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    from cartwise.llm.substring_dedup import substring_dedup
+    rows = substring_dedup(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _byte_bpe():
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark, sf_dir):
+    from cartwise.llm.bpe import round_trip
+    rows = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), _byte_bpe())
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_bpe": op4_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Word windows of 13 joined by a space, against the smallest id that holds the same words.
+_OP1_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+             FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+     least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+     gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS p
+              FROM win JOIN least USING (s) WHERE m < doc_id),
+     gw AS (SELECT r, list(p) AS ps FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN w ELSE
+           list_transform(list_filter(list_transform(w, lambda x, j: {'x': x, 'j': j}),
+                                      lambda y: NOT list_contains(ps, y.j)), lambda y: y.x) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN gw USING (r)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": _OP1_SQL,
+}
