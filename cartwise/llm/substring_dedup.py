@@ -39,7 +39,7 @@ WINDOW = 13
 PERIOD = 7
 #: Fixed value: a difference cover modulo 7 (every remainder is a difference of two of them).
 COVER = (0, 1, 3)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 _TOP = np.iinfo(np.int64).max
 
 
