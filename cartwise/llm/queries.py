@@ -34,10 +34,31 @@ def op4_bpe(spark, sf_dir):
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_decontaminate(spark, sf_dir):
+    """Every (document, benchmark item) match: edits and the span in the normalised text."""
+    from cartwise.llm.decontaminate import matches
+    rows = matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("id").alias("doc_id"), "item_id", "edits", "start", "stop")
+
+
+#: The rules (host and path, verdict) of the URL query.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op6_url_filter(spark, sf_dir):
+    from cartwise.llm.url_filter import url_filter
+    rules = spark.createDataFrame(URL_RULES, "entry string, verdict string")
+    return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe": op4_bpe,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_url_filter": op6_url_filter,
 }
 
 #: Word windows of 13 joined by a space, against the smallest id that holds the same words.
@@ -56,6 +77,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
                                       lambda y: NOT list_contains(ps, y.j)), lambda y: y.x) END, ' '), '')) AS kept_sha256
 FROM d LEFT JOIN gw USING (r)"""
 
+_OP6_SQL = r"""
+WITH rules(entry, h, p, verdict) AS (VALUES
+       ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+       ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'),
+       ('net/fr/', 'net', '/fr/', 'block')),
+     u AS (SELECT page_id, row_number() OVER () AS r,
+                  CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN ''
+                       ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+     s AS (SELECT page_id, r, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+     hit AS (SELECT r, arg_max(entry, length(entry)) AS rule, arg_max(verdict, length(entry)) AS verdict
+             FROM s JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s LEFT JOIN hit USING (r)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_url_filter": _OP6_SQL,
     "op1_substring_dedup": _OP1_SQL,
 }
