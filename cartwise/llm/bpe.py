@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.llm.common import slices
+
 #: Fixed value: the public byte-level pre-token pattern, with white space as the
 #: Unicode property (the library's meaning of ``\s``).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -170,19 +172,6 @@ class Encoder:
         return [b"".join(map(self.known.__getitem__, tokens)) for tokens in cut]
 
 
-def _slices(batch, column: str, size: int = 1 << 20):
-    """Row ranges of ``batch`` of about ``size`` bytes of ``column`` each."""
-    values = batch.column(column)
-    if len(values) == 0:
-        return
-    lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
-    edges = [0, *cuts.tolist(), len(values)]
-    for s, e in zip(edges, edges[1:]):
-        if e > s:
-            yield batch.slice(s, e - s)
-
-
 def _replaced(batch, name: str, values, kind) -> pa.RecordBatch:
     names = [n for n in batch.schema.names if n != name]
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(values, kind)], [*names, name])
@@ -207,7 +196,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     def run(batches):
         encoder = Encoder(Vocabulary(source.value), cache_size)
         for batch in batches:
-            for part in _slices(batch, text_col):
+            for part in slices(batch, text_col):
                 yield _replaced(part, ids_col, encoder.encode(part.column(text_col).to_pylist()), pa.binary())
 
     return df.mapInArrow(run, _schema_with(df, ids_col, T.BinaryType()))
@@ -220,7 +209,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
     def run(batches):
         tokens = Vocabulary(source.value).tokens
         for batch in batches:
-            for part in _slices(batch, ids_col):
+            for part in slices(batch, ids_col):
                 texts = []
                 for ids in part.column(ids_col).to_pylist():
                     got = map(tokens.get, np.frombuffer(ids or b"", "<u4").tolist())

@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,19 @@ def word_lists(text: bytes | None):
             yield words
 
 
+def slices(batch, column: str, size: int = 1 << 20):
+    """Row ranges of ``batch`` of about ``size`` bytes of ``column`` each."""
+    values = batch.column(column)
+    if len(values) == 0:
+        return
+    lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
+    edges = [0, *cuts.tolist(), len(values)]
+    for s, e in zip(edges, edges[1:]):
+        if e > s:
+            yield batch.slice(s, e - s)
+
+
 def record_batches(schema: pa.Schema, columns: list, rows: int = 1 << 16):
     """Arrow batches of at most ``rows`` rows of the given arrays."""
     whole = pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.llm.common import slices
+
 Q = 8
 #: Edits allowed as a share of an item's normalised length.
 EDIT_RATE = 0.1
@@ -37,6 +39,7 @@ ITEM_BYTES = 4 << 20
 SCAN_CHARS = 1 << 16
 
 _OTHER = re.compile(r"[\W_]+")
+_BREAK = re.compile("\0")
 MATCH = "id bigint, item_id bigint, edits int, start bigint, stop bigint"
 
 
@@ -82,28 +85,35 @@ class ItemIndex:
         for t, odd in zip(self.table, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
             t[_slot(self.grams, self.bits, odd)] = True
 
-    def regions(self, text: str):
-        """(item, start, stop) of ``text`` regions whose bands reach the bound."""
-        found: dict[int, list[tuple[int, int]]] = {}
+    def regions(self, texts: list[str]):
+        """(row, item, start, stop): regions of the texts whose bands reach the bound.
+        The texts are scanned as one string, in overlapping windows."""
+        whole = "\0".join(texts)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
         longest = int((self.m + self.k).max(initial=0)) + Q
-        for base in range(0, max(len(text), 1), SCAN_CHARS):
-            part = text[base:base + SCAN_CHARS + longest]
-            for item, lo, hi in self._regions(part):
-                found.setdefault(item, []).append((lo + base, hi + base))
-            if base + len(part) >= len(text):
+        for base in range(0, len(whole), SCAN_CHARS):
+            part = whole[base:base + SCAN_CHARS + longest]
+            for item, at, lo, hi in self._regions(part):
+                row = int(np.searchsorted(ends, at + base, "right"))
+                start = int(ends[row]) - len(texts[row]) - 1
+                found.setdefault((row, item), []).append(
+                    (max(lo + base - start, 0), min(hi + base - start, len(texts[row]))))
+            if base + len(part) >= len(whole):
                 break
-        for item, spans in found.items():
+        for (row, item), spans in found.items():
             spans.sort()
             lo, hi = spans[0]
             for s, e in spans[1:]:
                 if s <= hi:
                     hi = max(hi, e)
                 else:
-                    yield item, lo, hi
+                    yield row, item, lo, hi
                     lo, hi = s, e
-            yield item, lo, hi
+            yield row, item, lo, hi
 
     def _regions(self, text: str):
+        stops = np.array([m.start() for m in _BREAK.finditer(text)], np.int64)
         codes = _codes(text)
         pos = np.flatnonzero(self.table[0][_slot(codes, self.bits, 0x9E3779B97F4A7C15)])
         pos = pos[self.table[1][_slot(codes[pos], self.bits, 0xC2B2AE3D27D4EB4F)]]
@@ -141,8 +151,17 @@ class ItemIndex:
             if len(np.unique(gram_at[rows])) < self.bound[it]:
                 continue
             m, k = int(self.m[it]), int(self.k[it])
-            start = int(np.median(where[rows] - gram_at[rows]))
-            yield it, max(0, start - 2 * (k + 1)), min(len(text), start + m + 2 * (k + 1))
+            starts = where[rows] - gram_at[rows]
+            for at, near in _by_text(where[rows], starts, stops):
+                yield it, at, near - 2 * (k + 1), near + m + 2 * (k + 1)
+
+
+def _by_text(at: np.ndarray, starts: np.ndarray, stops: np.ndarray):
+    """For each text that holds some of the hits: one hit's place and the median start."""
+    text = np.searchsorted(stops, at)
+    for t in np.unique(text):
+        mine = text == t
+        yield int(at[mine][0]), int(np.median(starts[mine]))
 
 
 def aligned(item: str, text: str, most: int) -> tuple[int, int] | None:
@@ -166,7 +185,7 @@ def aligned(item: str, text: str, most: int) -> tuple[int, int] | None:
     return (int(last[end]), end) if last[end] <= most else None
 
 
-def _matcher(index, with_text: bool):
+def _matcher(index):
     schema = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
                         ("start", pa.int64()), ("stop", pa.int64())])
 
@@ -174,18 +193,18 @@ def _matcher(index, with_text: bool):
         idx: ItemIndex = index.value
         for batch in batches:
             rows = []
-            for doc, value in zip(batch.column("id"), batch.column("t")):
-                text = normalised(value.as_py())
-                best: dict[int, tuple] = {}
-                for it, lo, hi in idx.regions(text) if len(text) >= MIN_CHARS // 2 else ():
-                    item_id, item = idx.items[it]
-                    got = aligned(item, text[lo:hi], int(idx.k[it]))
-                    if got and (it not in best or got[0] < best[it][0]):
-                        back = aligned(item[::-1], text[lo:lo + got[1]][::-1], got[0])
-                        start = lo + got[1] - back[1] if back else lo
-                        best[it] = (got[0], start, lo + got[1])
-                for it, (edits, start, stop) in best.items():
-                    rows.append((doc.as_py(), idx.items[it][0], edits, start, stop))
+            for part in slices(batch, "t"):
+                ids = part.column("id").to_pylist()
+                texts = [normalised(t) for t in part.column("t").to_pylist()]
+                best: dict[tuple, tuple] = {}
+                for row, it, lo, hi in idx.regions(texts):
+                    item, text = idx.items[it][1], texts[row][lo:hi]
+                    got = aligned(item, text, int(idx.k[it]))
+                    if got and ((row, it) not in best or got[0] < best[row, it][0]):
+                        back = aligned(item[::-1], text[:got[1]][::-1], got[0])
+                        best[row, it] = (got[0], lo + got[1] - (back[1] if back else got[1]), lo + got[1])
+                for (row, it), (edits, start, stop) in best.items():
+                    rows.append((ids[row], idx.items[it][0], edits, start, stop))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -218,7 +237,7 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         index = ItemIndex(block)
         if not index.items:
             continue
-        found = docs.mapInArrow(_matcher(spark.sparkContext.broadcast(index), False), MATCH)
+        found = docs.mapInArrow(_matcher(spark.sparkContext.broadcast(index)), MATCH)
         out = found if out is None else out.unionAll(found)
     return out if out is not None else spark.createDataFrame([], MATCH)
 
