@@ -53,12 +53,34 @@ def op6_url_filter(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+#: Rows whose labels may be learned: crc32 of the id as text is no multiple of 5.
+TRAIN_ROWS = "pmod(crc32(CAST(CAST(id AS STRING) AS BINARY)), 5) <> 0"
+
+
+def op8_quality(spark, sf_dir):
+    from cartwise.llm.quality import THRESHOLD, score_quality
+    rows = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train_when=F.expr(TRAIN_ROWS))
+    return rows.select(F.col("id").alias("doc_id"), (~F.expr(TRAIN_ROWS)).alias("held_out"), "score",
+                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_pii(spark, sf_dir):
+    from cartwise.llm.pii import KINDS, find_pii, span_text
+    rows = find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.k = {i})) AS BIGINT)").alias(f"n_{k}")
+              for i, k in enumerate(KINDS[:4])]
+    return rows.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"),
+                       span_text("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe": op4_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_url_filter": op6_url_filter,
+    "op8_quality": op8_quality,
+    "op10_pii": op10_pii,
 }
 
 #: Word windows of 13 joined by a space, against the smallest id that holds the same words.
