@@ -53,6 +53,32 @@ def op6_url_filter(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+#: Fixed value: a conversation whose texts are the control strings of a template.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op7_chat_format(spark, sf_dir):
+    from cartwise.llm.chat_format import format_turns, read_back
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    return read_back(format_turns(rows.unionByName(more), _byte_bpe()), _byte_bpe())
+
+
+def op9_warc(spark, sf_dir):
+    """The payload of responses is read and measured; revisits are read by their headers."""
+    from cartwise.llm.common import work_path
+    from cartwise.llm.warc import archive, key_of, measured, read_archive
+    path = archive(table(spark, sf_dir, "pages"), work_path(spark, "warc"))
+    responses = measured(read_archive(spark, path, "record_type string, key bigint, payload binary")
+                         .where("record_type = 'response'").select("key", "payload"))
+    revisits = read_archive(spark, path, "record_type string, key bigint, payload_digest string, payload_length bigint, "
+                                         "refers_to string").where("record_type = 'revisit'")
+    return (responses.select(F.col("key").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest",
+                             F.lit("response").alias("record_type"), F.lit(None).cast("bigint").alias("refers_to"))
+            .unionByName(revisits.select(F.col("key").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+                                         "payload_digest", "record_type", key_of("refers_to").alias("refers_to"))))
+
+
 #: Rows whose labels may be learned: crc32 of the id as text is no multiple of 5.
 TRAIN_ROWS = "pmod(crc32(CAST(CAST(id AS STRING) AS BINARY)), 5) <> 0"
 
@@ -79,7 +105,9 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_url_filter": op6_url_filter,
+    "op7_chat_format": op7_chat_format,
     "op8_quality": op8_quality,
+    "op9_warc": op9_warc,
     "op10_pii": op10_pii,
 }
 
