@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from cartwise.llm.common import table
 
 
+def op2_ann_tree(spark, sf_dir):
+    from cartwise.llm.ann_tree import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.expr("pmod(id, 20) = 0"))
+
+
 def op3_simhash_near_dedup(spark, sf_dir):
     from cartwise.llm.simhash_dedup import simhash_components
     rows = simhash_components(table(spark, sf_dir, "documents"))
@@ -22,14 +27,14 @@ def op1_substring_dedup(spark, sf_dir):
     return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-def _byte_bpe():
+def byte_bpe_path():
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op4_bpe(spark, sf_dir):
     from cartwise.llm.bpe import round_trip
-    rows = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), _byte_bpe())
+    rows = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_bpe_path())
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -61,7 +66,7 @@ def op7_chat_format(spark, sf_dir):
     from cartwise.llm.chat_format import format_turns, read_back
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
-    return read_back(format_turns(rows.unionByName(more), _byte_bpe()), _byte_bpe())
+    return read_back(format_turns(rows.unionByName(more), byte_bpe_path()), byte_bpe_path())
 
 
 def op9_warc(spark, sf_dir):
@@ -99,8 +104,15 @@ def op10_pii(spark, sf_dir):
                        span_text("spans").alias("spans"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ann_tree": op2_ann_tree,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_bpe": op4_bpe,
     "op5_decontaminate": op5_decontaminate,
