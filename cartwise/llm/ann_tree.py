@@ -11,9 +11,10 @@ sqrt(M^2 - |x|^2) with M the largest norm (zero for queries).
 
 Equal vectors are one row of the index, with their k + 1 smallest ids (more can
 never be returned, since ties go to the smaller id), so a vector with a third of
-all rows costs one comparison per query. A leaf's rows and visiting queries are cut
-into blocks of ``BLOCK_ROWS`` by ``BLOCK_QUERIES``, so no task holds more than a block
-of each, and each block returns k + 1 hits per query.
+all rows costs one comparison per query. Neighbouring leaves share a cell of about
+``BLOCK_ROWS`` rows (a larger leaf is cut into several) and queries are dealt into
+blocks of about ``BLOCK_QUERIES``; a task compares one cell with one block, leaf by
+leaf for the queries that visit it, and returns k + 1 hits per query and cell.
 
 Defined results: vectors that are null, zero, of another length than the most
 frequent one (the smaller of two as frequent), or that hold null or non-finite
@@ -41,8 +42,8 @@ LEAF_ROWS = 256
 #: Calibration vectors, and the mean recall that their visits must reach.
 PROBES = 256
 TARGET = 0.96
-BLOCK_ROWS = 4096
-BLOCK_QUERIES = 2048
+BLOCK_ROWS = 16_384
+BLOCK_QUERIES = 1024
 
 
 @dataclass
@@ -253,17 +254,23 @@ class Index:
         first = Window.partitionBy("v")
         queries = written(self.rows.withColumn("q", chosen).groupBy("v").agg(F.min("id").alias("key"), F.max("q").alias("q"))
                           .where("q").select("key", "v"), "ann-queries")
-        probes = written(queries.mapInArrow(self._probe(), "key bigint, v array<double>, leaf int"), "ann-probes")
-        # block counts per leaf: as many rows as leaves, bounded by the fitted sample
-        sizes = self.leaf_rows.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("rs")).join(
-            probes.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("qs")), "leaf")
-        rows = self.leaf_rows.join(F.broadcast(sizes), "leaf") \
-            .withColumn("r", F.pmod(F.xxhash64("key"), F.col("rs"))).withColumn("b", F.explode(F.expr("sequence(0, qs - 1)")))
-        asks = probes.join(F.broadcast(sizes), "leaf") \
-            .withColumn("b", F.pmod(F.xxhash64("key"), F.col("qs")).cast("int")) \
-            .withColumn("r", F.explode(F.expr("sequence(0L, rs - 1L)")))
-        hits = (rows.select("leaf", "r", "b", "key", "v").groupBy("leaf", "r", "b")
-                .cogroup(asks.select("leaf", "r", "b", "key", "v").groupBy("leaf", "r", "b"))
+        # rows per leaf: as many figures as leaves, bounded by the fitted sample
+        sizes = {r["leaf"]: r["count"] for r in self.leaf_rows.groupBy("leaf").count().collect()}
+        rows_of = np.array([sizes.get(i, 0) for i in range(self.leaves)], np.int64)
+        cell_of = ((np.cumsum(rows_of) - rows_of) // BLOCK_ROWS).astype(np.int32)
+        parts_of = -(-np.bincount(cell_of, rows_of).astype(np.int64) // (2 * BLOCK_ROWS))
+        blocks = -(-queries.count() // BLOCK_QUERIES)
+        cells = spark.createDataFrame([(i, int(c), int(parts_of[c])) for i, c in enumerate(cell_of)],
+                                      "leaf int, cell int, parts int")
+        asks = queries.mapInArrow(self._probe(cell_of, parts_of), "key bigint, v array<double>, cell int, part int, "
+                                                                 "leaves array<int>")
+        asks = asks.withColumn("b", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
+        rows = self.leaf_rows.join(F.broadcast(cells), "leaf") \
+            .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")) \
+            .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))))
+        by = ["cell", "part", "b"]
+        hits = (rows.select(*by, "key", "v", "leaf").groupBy(*by)
+                .cogroup(asks.select(*by, "key", "v", "leaves").groupBy(*by))
                 .applyInArrow(self._compare(), "query bigint, key bigint, score double"))
         near = _best(hits, "query", self.k + 1, "key").select("query", "key", "score")
         named = _best(near.join(self.members, "key"), "query", self.k + 1, "id").select("query", "id", "score")
@@ -272,18 +279,29 @@ class Index:
         return _best(final, "query_id", self.k, "id").select(
             "query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
 
-    def _probe(self):
+    def _probe(self, cell_of: np.ndarray, parts_of: np.ndarray):
+        """Per query and cell (and part of a large one), the leaves it visits there."""
         tree, dim, most = self.tree, self.dim, self.visits
 
         def run(batches):
             for b in batches:
                 for at in range(0, b.num_rows, 256):
                     part = b.slice(at, 256)
-                    order = list(tree.value.visits(_flat(_matrix(part.column("v"), dim)), most))
-                    row = pa.array(np.repeat(np.arange(part.num_rows), [len(o) for o in order]))
+                    row, cell, piece, leaves = [], [], [], []
+                    for i, order in enumerate(tree.value.visits(_flat(_matrix(part.column("v"), dim)), most)):
+                        order = np.sort(np.array(order, np.int32))
+                        for own in np.split(order, np.flatnonzero(np.diff(cell_of[order])) + 1):
+                            c = int(cell_of[own[0]])
+                            for p in range(int(parts_of[c])):
+                                row.append(i)
+                                cell.append(c)
+                                piece.append(p)
+                                leaves.append(own)
+                    row = pa.array(row, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("key").take(row), part.column("v").take(row),
-                         pa.array(np.concatenate(order).astype(np.int32))], ["key", "v", "leaf"])
+                        [part.column("key").take(row), part.column("v").take(row), pa.array(cell, pa.int32()),
+                         pa.array(piece, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))],
+                        ["key", "v", "cell", "part", "leaves"])
 
         return run
 
@@ -294,11 +312,25 @@ class Index:
         def run(rows, asks):
             if not rows.num_rows or not asks.num_rows:
                 return schema.empty_table()
-            x, q = _matrix(rows.column("v"), dim), _matrix(asks.column("v"), dim)
-            ids, asked = rows.column("key").to_numpy(), asks.column("key").to_numpy()
-            i, r = _hits(q @ x.T, ids, k + 1)
-            score = (q[i] * x[r]).sum(axis=1)  # the same sum for a pair, whatever block it met in
-            return pa.Table.from_arrays([pa.array(asked[i]), pa.array(ids[r]), pa.array(score)], schema=schema)
+            rows = rows.sort_by("leaf")
+            x, leaf, ids = _matrix(rows.column("v"), dim), rows.column("leaf").to_numpy(), rows.column("key").to_numpy()
+            spans = {int(n): (np.searchsorted(leaf, n), np.searchsorted(leaf, n, "right")) for n in np.unique(leaf)}
+            out = []
+            for at in range(0, asks.num_rows, 128):
+                part = asks.slice(at, 128)
+                q, asked = _matrix(part.column("v"), dim), part.column("key").to_numpy()
+                visits = [set(v) for v in part.column("leaves").to_pylist()]
+                scores = np.full((len(q), len(x)), -np.inf)
+                for n, (s, e) in spans.items():
+                    here = [i for i, v in enumerate(visits) if n in v]
+                    if here:
+                        scores[here, s:e] = q[here] @ x[s:e].T
+                i, r = _hits(scores, ids, k + 1)
+                seen = scores[i, r] > -np.inf
+                i, r = i[seen], r[seen]
+                score = (q[i] * x[r]).sum(axis=1)  # the same sum for a pair, whatever block it met in
+                out.append(pa.Table.from_arrays([pa.array(asked[i]), pa.array(ids[r]), pa.array(score)], schema=schema))
+            return pa.concat_tables(out)
 
         return run
 
