@@ -32,6 +32,7 @@ from cartwise.sources.tables import ShopData
 
 TRAIN_ASOF = "2024-01-25"
 TEST_ASOF = "2024-01-30"
+SEVERAL_DAYS = ["2024-01-23", "2024-01-24", "2024-01-25"]
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -365,25 +366,28 @@ def q_dense_ids(spark, sf_dir):
     return dense_ids(interactions(_logs(spark, sf_dir).clicks, TRAIN_ASOF))
 
 
-def _mf_catalog(lg):
+def _mf_catalog(spark, sf_dir):
+    """All items less the factorisation blacklist (the rank blacklist does not apply)."""
     from cartwise.constants import MF_CATALOG_BLACKLIST
-    return lg.catalog.where(~F.col("item_id").isin(list(MF_CATALOG_BLACKLIST)))
+    return _data(spark, sf_dir).catalog(blacklist=MF_CATALOG_BLACKLIST)
 
 
 def q_popularity(spark, sf_dir):
     from cartwise.operators.metrics import popularity
     from cartwise.plans.factorize import interactions
     lg = _logs(spark, sf_dir)
-    return popularity(interactions(lg.clicks, TRAIN_ASOF), _mf_catalog(lg))
+    return popularity(interactions(lg.clicks, TRAIN_ASOF), _mf_catalog(spark, sf_dir))
 
 
 def q_item_correlation(spark, sf_dir):
     from cartwise.operators.metrics import item_correlation
+    from cartwise.constants import TOP_SELLER_N
+    from cartwise.operators.ranking import top_items
     from cartwise.plans.factorize import interactions
-    from cartwise.plans.pair import top_sellers
-    lg = _logs(spark, sf_dir)
-    top = top_sellers(lg.buys, lg.active_roles, lg.catalog, TEST_ASOF)
-    return item_correlation(interactions(lg.clicks, TEST_ASOF), top, _mf_catalog(lg))
+    from cartwise.session import materialize
+    rows = materialize(interactions(_logs(spark, sf_dir).clicks, TEST_ASOF))
+    # the top items of the interactions themselves: never one that their blacklist removed
+    return item_correlation(rows, top_items(rows, "num", TOP_SELLER_N), _mf_catalog(spark, sf_dir))
 
 
 def q_order_item_correlation(spark, sf_dir):
@@ -397,23 +401,19 @@ def q_order_item_correlation(spark, sf_dir):
     # correlation both read them, so lineitem x orders is joined once
     totals = materialize(buys.groupBy("role_id", "item_id").agg(F.sum("buy_num").cast("bigint").alias("q")))
     top = top_items(totals, "q", 1).select("item_id")
-    return item_correlation(totals, top, totals.select("item_id").distinct(), value="q", pre_aggregated=True)
+    return item_correlation(totals, top, None, value="q", pre_aggregated=True)
 
 
 def q_stream_daily_clicks(spark, sf_dir):
     """The click log written as files, run through the Structured Streaming day
-    counts (A1) until caught up, and read back from the parquet sink: the days
-    the 1-day watermark has closed."""
+    counts (A1) until caught up: every day, the open ones included."""
     from cartwise.sources.files import scratch_path
-    from cartwise.streaming.daily import click_log_stream, daily_click_counts, start_daily_counts
+    from cartwise.streaming.daily import (click_log_stream, daily_click_counts, latest_counts, start_daily_counts)
     src = scratch_path(spark, "click-log-stream-src")
     _data(spark, sf_dir).click_log().write.parquet(src)
     sink, ckpt = scratch_path(spark, "daily-clicks-sink"), scratch_path(spark, "daily-clicks-ckpt")
-    query = start_daily_counts(daily_click_counts(click_log_stream(spark, src)), sink, ckpt)
-    if not query.awaitTermination(900):  # available-now: ends once caught up
-        query.stop()
-        raise TimeoutError("streaming day counts did not catch up within 900 s")
-    return spark.read.parquet(sink)
+    start_daily_counts(daily_click_counts(click_log_stream(spark, src)), sink, ckpt).awaitTermination()
+    return latest_counts(spark, sink)
 
 
 def q_item_catalog(spark, sf_dir):
@@ -512,8 +512,13 @@ def q_gbt_score(spark, sf_dir):
 
 
 def q_item_onehot(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
     from cartwise.plans.models import item_onehot
-    return item_onehot(_data(spark, sf_dir).catalog())
+    hot = item_onehot(_data(spark, sf_dir).catalog()).withColumn("a", vector_to_array("item_id_vec"))
+    at = F.array_position("a", F.lit(1.0)).cast("int")
+    # the encoder keeps one more slot for values it has not seen
+    return hot.select("item_id", (F.size("a") - 1).alias("size"), (at - 1).alias("hot_index"),
+                      F.element_at("a", at).alias("hot_value"))
 
 
 def q_fm_classify(spark, sf_dir):
@@ -548,11 +553,40 @@ def q_scan_sidecar_schema(spark, sf_dir):
 
 
 def q_split_by_day(spark, sf_dir):
-    """Role daily features written partitioned by day; one day read back (pruned)."""
-    from cartwise.functions.dates import shift
+    """Role daily features written partitioned by day; every day read back on its own
+    (pruned): its rows and a sum of its roles."""
+    from functools import reduce
+
     from cartwise.sources.files import read_day, scratch_path, write_by_day
-    path = write_by_day(_data(spark, sf_dir).role_daily_features(), scratch_path(spark, "role-features-by-day"))
-    return read_day(spark, path, shift(TRAIN_ASOF, -1))
+    feats = _data(spark, sf_dir).role_daily_features()
+    path = write_by_day(feats, scratch_path(spark, "role-features-by-day"))
+    days = sorted(r["dt"] for r in spark.read.parquet(path).select("dt").distinct().collect())  # one per day
+    parts = [read_day(spark, path, d).groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                        F.sum("role_id").cast("bigint").alias("role_sum")) for d in days]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_training_rows_days(spark, sf_dir):
+    """Q10 over several training days in one plan."""
+    from cartwise.plans.training import training_rows
+    return training_rows(_logs(spark, sf_dir), SEVERAL_DAYS)
+
+
+def q_scan_indexed_csv(spark, sf_dir):
+    """The exploded clicks saved as CSV with a row index, read back without it."""
+    from cartwise.operators.daily import clicked_items
+    from cartwise.sources.files import read_indexed_csv, scratch_path, write_delimited
+    rows = clicked_items(_data(spark, sf_dir).click_log()).select("role_id", "item_id", "dt", "cnt")
+    path = write_delimited(rows.select(F.monotonically_increasing_id().alias("_i"), "*"),
+                           scratch_path(spark, "clicks-indexed"), sep=",", header=True)
+    return read_indexed_csv(spark, path, ["role_id", "item_id", "dt", "cnt"],
+                            {"role_id": "bigint", "item_id": "bigint", "dt": "date", "cnt": "bigint"})
+
+
+def q_scan_catalog(spark, sf_dir):
+    """S3: the catalog as a one-column file, read back."""
+    from cartwise.sources.files import read_catalog, scratch_path, write_delimited
+    return read_catalog(spark, write_delimited(_data(spark, sf_dir).catalog(), scratch_path(spark, "catalog")))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -632,6 +666,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_delimited": q_scan_delimited,
     "scan_sidecar_schema": q_scan_sidecar_schema,
     "split_by_day": q_split_by_day,
+    "training_rows_days": q_training_rows_days,
+    "scan_indexed_csv": q_scan_indexed_csv,
+    "scan_catalog": q_scan_catalog,
 }
 
 
@@ -939,7 +976,8 @@ E_TEST = _eval_ctes(TEST)
 
 MASK = ((1, "1"), (3, "3"), (7, "week"), (30, "month"))
 MF_BLACK = "1, 10000, 9, 9001, 9019, 1020, 1018, 1014, 0, 2, 45"
-MF_CAT = "SELECT item_id FROM catalog WHERE item_id NOT IN (991, 992, 993, 994, 995)"
+MF_CAT = ("SELECT DISTINCT item_id FROM ev WHERE item_id IS NOT NULL "
+          "AND item_id NOT IN (991, 992, 993, 994, 995)")
 
 
 def _early_ctes() -> list[str]:
@@ -999,8 +1037,8 @@ def _corr_sql() -> str:
     d = "CAST({} AS DOUBLE)"
     n, sx, sy, sxy, sxx, syy = (d.format(x) for x in ("n", "sx", "sy", "sxy", "sxx", "syy"))
     den = f"sqrt(({n} * {sxx} - {sx} * {sx}) * ({n} * {syy} - {sy} * {sy}))"
-    return _with(*E_TEST, *_mf_ctes(TEST)) + f"""
-, tot AS (SELECT role_id, item_id, CAST(sum(num) AS BIGINT) AS q FROM mfi GROUP BY role_id, item_id),
+    return _with(*_mf_ctes(TEST)) + f"""
+, top AS (SELECT item_id FROM mfi GROUP BY item_id ORDER BY sum(num) DESC, item_id LIMIT 1), tot AS (SELECT role_id, item_id, CAST(sum(num) AS BIGINT) AS q FROM mfi GROUP BY role_id, item_id),
 xa AS (SELECT role_id, item_id AS item1, q AS x FROM tot WHERE item_id IN (SELECT item_id FROM top)),
 xb2 AS (SELECT role_id, item_id AS item2, q AS y FROM tot WHERE item_id IN ({MF_CAT})),
 s AS (SELECT item1, item2, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx,
@@ -1131,7 +1169,7 @@ FROM (SELECT item_id, CAST(count(*) AS BIGINT) AS n FROM mfi WHERE item_id IN ({
     "stream_daily_clicks": _with() + """
 SELECT role_id, item_id, dt, CAST(sum(cnt) AS BIGINT) AS click_num_day,
        CAST(sum(CASE WHEN child_tab <> 'UIDtsAppearanceMall' THEN 1 ELSE 0 END) AS BIGINT) AS click_num_dis_day
-FROM clog WHERE dt <= (SELECT max(dt) FROM clog) - 2
+FROM clog
 GROUP BY role_id, item_id, dt""",
     "item_catalog": _with() + "SELECT item_id FROM catalog",
     "avatar_attributes": _with() + """
@@ -1146,6 +1184,21 @@ SELECT item_id, CAST(count(*) AS DOUBLE) AS imps,
        (CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS DOUBLE) + 1.0)
          / (CAST(count(*) AS DOUBLE) + 1.0 + 1.0) AS ctr
 FROM ev WHERE event_type IN ('click', 'view') GROUP BY item_id""",
+    "scan_delimited": _with() + "SELECT role_id, child_tab, item_list, dt FROM crec",
+    "scan_sidecar_schema": _with() + """
+SELECT a.role_id, a.dt, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
+FROM active a JOIN customer ON c_custkey = a.role_id""",
+    "split_by_day": _with() + """
+SELECT a.dt, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(a.role_id) AS BIGINT) AS role_sum
+FROM active a JOIN customer ON c_custkey = a.role_id GROUP BY a.dt""",
+    "training_rows_days": " UNION ALL ".join(
+        f"SELECT * FROM ({_with(*_pair_ctes(f"DATE '{d}'"))}SELECT * FROM trn)" for d in SEVERAL_DAYS),
+    "scan_indexed_csv": _with() + "SELECT role_id, item_id, dt, cnt FROM clog",
+    "scan_catalog": _with() + "SELECT item_id FROM catalog",
+    "item_onehot": _with() + """
+SELECT item_id, CAST(count(*) OVER () AS INTEGER) AS size,
+       CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS hot_index, CAST(1.0 AS DOUBLE) AS hot_value
+FROM catalog""",
 }
 
 

@@ -7,15 +7,21 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its counted rows are at most this many.
-BROADCAST_MAX_ROWS = 1_000_000
+#: A side is broadcast only while its counted rows times its row size are at most this.
+BROADCAST_MAX_BYTES = 32 << 20
+_WIDE = 64  # bytes assumed for a string, array or other value without a fixed size
 
 
-def counted_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
-    """Broadcast ``df`` only if a count proves it small; otherwise leave it to a
-    shuffle join (AQE may still switch at run time from the real shuffle size)."""
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row by its schema: 8 for fixed-size values, ``_WIDE`` for others."""
+    fixed = ("bigint", "int", "double", "float", "date", "timestamp", "smallint", "tinyint", "boolean")
+    return 16 + sum(8 if kind in fixed else _WIDE for _, kind in df.dtypes)
+
+
+def bounded_broadcast(df: DataFrame, rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """The broadcast hint only where ``rows`` counted rows are within ``max_bytes``;
+    beyond it a shuffle join, which AQE may still switch from real sizes."""
+    return F.broadcast(df) if rows * row_bytes(df) <= max_bytes else df
 
 
 def bucketed_grid(keys: DataFrame, items: DataFrame, items_per_bucket: int = 512,
@@ -30,9 +36,8 @@ def bucketed_grid(keys: DataFrame, items: DataFrame, items_per_bucket: int = 512
     one); the item side is broadcast only under the counted bound.
     """
     if n_items is None:
-        side, n_items = counted_broadcast(items)
-    else:  # a count the caller already holds
-        side = F.broadcast(items) if n_items <= BROADCAST_MAX_ROWS else items
+        n_items = items.count()
+    side = bounded_broadcast(items, n_items)
     buckets = max(1, math.ceil(n_items / items_per_bucket))
     it = side.withColumn("_bucket", F.pmod(F.hash(F.col(item)), F.lit(buckets)))
     ks = keys.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))

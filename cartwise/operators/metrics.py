@@ -28,7 +28,8 @@ def item_correlation(interactions: DataFrame, items_a, items_b, value: str = "nu
                      pre_aggregated: bool = False) -> DataFrame:
     """Pearson correlation of two items' per-role totals over roles having both.
 
-    ``items_a`` / ``items_b`` are lists or one-column (``item_id``) DataFrames.
+    ``items_a`` / ``items_b`` are lists, one-column (``item_id``) DataFrames, or None
+    for all items (no join).
     Role x item totals are pre-aggregated (A18), so each role contributes at
     most |a| x |b| pairs; the sums are exact integers and the ratio is taken last.
     """
@@ -38,14 +39,17 @@ def item_correlation(interactions: DataFrame, items_a, items_b, value: str = "nu
         totals = interactions.groupBy("role_id", "item_id").agg(F.sum(value).cast("bigint").alias("q"))
 
     def pick(items, name):
-        if isinstance(items, DataFrame):
+        if items is None:
+            sel = totals
+        elif isinstance(items, DataFrame):
             sel = totals.join(items.select("item_id"), "item_id", "left_semi")
         else:
             sel = totals.where(F.col("item_id").isin(list(items)))
         return sel.select("role_id", F.col("item_id").alias(name), F.col("q").alias(f"q_{name}"))
 
     a, b = pick(items_a, "item1"), pick(items_b, "item2")
-    x, y = F.col("q_item1"), F.col("q_item2")
+    # sums of products in 38 digits: exact, and no 64-bit overflow
+    x, y = F.col("q_item1").cast("decimal(19,0)"), F.col("q_item2").cast("decimal(19,0)")
     s = a.join(b, "role_id").groupBy("item1", "item2").agg(
         F.count(F.lit(1)).alias("n_roles"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
         F.sum(x * y).alias("sxy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"))

@@ -11,9 +11,12 @@ ranks, the choice only balances the work:
 
 * ``"log2"`` for non-negative counts: bucket ``floor(log2(v + 1))`` holds at
   most 2^k distinct integers and needs no cut-point pass;
-* ``"quantile"`` for ids and other wide domains: cut points at approximate
+* ``"quantile"`` for other numeric domains: cut points at approximate
   quantiles of the distinct values (one extra pass over a materialised input).
 
+Values are ranked as doubles, which is exact for counts; ids are indexed in their
+own type by ``dense_index``, over range partitions whose number follows the data.
+
     rank(v) = 1 + (weight of all buckets above v's bucket)
                 + (weight of the values above v inside its bucket)
 
@@ -129,12 +132,38 @@ def top_items(df: DataFrame, value: str, n: int, key: str = "item_id") -> DataFr
     return totals.orderBy(F.col("total").desc(), F.col(key).asc()).limit(n)
 
 
+#: Rows aimed at per range partition of a global order.
+RANGE_ROWS = 1_000_000
+
+
+def range_positions(df: DataFrame, order: list, out: str = "position", rows_per_range: int = RANGE_ROWS) -> DataFrame:
+    """Zero-based position of every row in the global order ``order`` (columns with
+    their directions, a total order), exact and distributed.
+
+    The rows are range-partitioned on the order itself, in as many ranges as their
+    count asks for, and written with their range number; each range is numbered on
+    its own and offset by the sizes of the ranges before it (one row per range).
+    Columns keep their type: nothing is cast, so ids of any size stay apart.
+    """
+    df = materialize(df)
+    ranges = max(1, -(-df.count() // rows_per_range))
+    dealt = materialize(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    return (dealt.join(F.broadcast(offsets), "_range")
+            .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint"))
+            .drop("_range", "_off"))
+
+
+def dense_index(df: DataFrame, column: str, out: str) -> DataFrame:
+    """(column, out): the zero-based position of every distinct non-null value, in its own type."""
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return range_positions(values, [F.col(column).asc()], out)
+
+
 def order_positions(df: DataFrame, value: str, key: str = "item_id", out: str = "position") -> DataFrame:
-    """Zero-based global position by ``value`` desc, ``key`` asc (T2), exact and
-    distributed: position = rows with a larger value + smaller keys of equal value."""
-    ranks = rank_table(df, [value], method="min")
-    tie = Window.partitionBy(value).orderBy(F.col(key).asc())
-    ranked = df.join(ranks.select(F.col("_v").alias("_pv"), F.col("_rank")),
-                     F.col(value).cast("double") == F.col("_pv"))
-    return ranked.select(*df.columns, (F.col("_rank") - 1 + F.row_number().over(tie) - 1)
-                         .cast("bigint").alias(out))
+    """Zero-based global position by ``value`` desc, ``key`` asc (T2). Rows of equal
+    value are ordered by key like any others, so no task holds all of one value."""
+    return range_positions(df, [F.col(value).desc(), F.col(key).asc()], out)

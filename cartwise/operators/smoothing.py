@@ -29,6 +29,7 @@ class Prior:
     rounds: int
     converged: bool
     method: str
+    finite: bool = True  # the likelihood has a finite maximum
 
 
 def count_histograms(counts: DataFrame, imps: str = "imps", clks: str = "clks") -> DataFrame:
@@ -64,8 +65,8 @@ def moment_start(counts: DataFrame, imps: str = "imps", clks: str = "clks") -> t
     """Method-of-moments (alpha, beta) for binomial counts with varying trials.
 
     With p = clks / imps: rho = (Var p - mu(1-mu) E[1/n]) / (mu(1-mu)(1 - E[1/n]))
-    estimates 1 / (alpha + beta + 1). ``None`` when rho <= 0: the rates show no
-    over-dispersion and the likelihood has no finite maximum.
+    estimates 1 / (alpha + beta + 1). ``None`` when rho <= 0: the estimate has no
+    solution (the likelihood may have a maximum all the same).
     """
     n = F.col(imps).cast("double")
     p = F.try_divide(F.col(clks).cast("double"), n)
@@ -82,63 +83,78 @@ def moment_start(counts: DataFrame, imps: str = "imps", clks: str = "clks") -> t
     return mu * total, (1 - mu) * total
 
 
-def _mean_rate(counts: DataFrame, imps: str, clks: str) -> float:
-    row = counts.agg(F.sum(clks).alias("c"), F.sum(imps).alias("n")).first()
-    return (row["c"] or 0.0) / row["n"] if row["n"] else 0.5
+#: The mean log-likelihood of a row is within this of its limit at infinite concentration.
+LIMIT_GAIN = 1e-4
 
 
-MAX_CONCENTRATION = 1e9
+def limit_slope(hist: DataFrame) -> float:
+    """D with mean logL(mu, s) = mean logL(mu, infinity) + D / (2 s) + O(1 / s^2) at the
+    pooled rate mu, s = alpha + beta: the mean of c(c-1)/mu + f(f-1)/(1-mu) - n(n-1). A
+    positive D proves a finite maximum: some finite s beats the limit."""
+    w = F.col("m") * F.col("v")
+    row = hist.groupBy().agg(F.sum(F.when(F.col("kind") == "n", F.col("m"))).alias("rows"), *[F.sum(F.when(F.col("kind") == k, e)).alias(n) for k, e, n in (
+        ("c", w, "c1"), ("n", w, "n1"), ("c", w * (F.col("v") - 1), "c2"), ("f", w * (F.col("v") - 1), "f2"),
+        ("n", w * (F.col("v") - 1), "n2"))]).first()
+    if not row["n1"] or not 0 < row["c1"] < row["n1"]:
+        return 0.0
+    mu = row["c1"] / row["n1"]
+    return (row["c2"] / mu + row["f2"] / (1 - mu) - row["n2"]) / row["rows"]
 
 
 def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method: str = "newton",
-              start=None, epsilon: float = SMOOTH_EPSILON, max_rounds: int = SMOOTH_MAX_ROUNDS,
-              max_concentration: float = MAX_CONCENTRATION) -> Prior:
+              start=None, epsilon: float = SMOOTH_EPSILON, max_rounds: int = SMOOTH_MAX_ROUNDS) -> Prior:
     """Fit (alpha, beta); converged when both move less than ``epsilon`` (relative
     to their size once above 1) (R18, R34).
 
-    When the rates show no over-dispersion the likelihood keeps rising as
-    alpha + beta grows; the fit then stops (three Newton steps multiplying the
-    concentration at a fixed mean, or ``max_concentration``) with
-    ``converged=False`` and the mean alpha / (alpha + beta) still meaningful.
+    Newton steps are taken in (log alpha, log beta) where the Hessian is negative
+    definite, shortened until the slope along the step has not turned by more than
+    it was; elsewhere one fixed-point step, which never lowers the likelihood. The
+    start is the moment estimate, or (1, 1) where that has no solution.
+
+    Without over-dispersion the likelihood keeps rising with alpha + beta. That is
+    decided from the likelihood alone: ``limit_slope`` is not positive and what is
+    left to its limit at infinite concentration is below ``LIMIT_GAIN``. The result
+    then has ``finite=False``; alpha / (alpha + beta) is the pooled rate.
     """
     hist = materialize(count_histograms(counts, imps, clks))  # written once, read every round
     if start is None:
-        start = moment_start(counts, imps, clks) if method == "newton" else SMOOTH_START
-        if start is None:  # no over-dispersion: report the pooled rate at the concentration cap
-            mu = _mean_rate(counts, imps, clks)
-            return Prior(mu * max_concentration, (1 - mu) * max_concentration, 0, False, method)
+        start = (moment_start(counts, imps, clks) if method == "newton" else None) or SMOOTH_START
     a, b = start
-    growing = 0  # consecutive Newton steps along the no-over-dispersion ray
+    slope = limit_slope(hist)
+    last = None  # (point, step, slope along the step) of the Newton step being judged
     for rnd in range(1, max_rounds + 1):
-        if method == "fixed_point":
-            s = _sums(hist, a, b, second=False)
-            if s["d_n"] == 0:
-                return Prior(a, b, rnd, False, method)
-            na, nb = a * s["d_c"] / s["d_n"], b * s["d_f"] / s["d_n"]
-        else:
-            s = _sums(hist, a, b, second=True)
-            ga, gb = s["d_c"] - s["d_n"], s["d_f"] - s["d_n"]
-            haa, hbb, hab = s["t_c"] - s["t_n"], s["t_f"] - s["t_n"], -s["t_n"]
+        s = _sums(hist, a, b, second=method != "fixed_point")
+        if s["d_n"] == 0:
+            return Prior(a, b, rnd, False, method, False)
+        fixed = (a * s["d_c"] / s["d_n"], b * s["d_f"] / s["d_n"])
+        na, nb = fixed
+        if method != "fixed_point":
+            ga, gb = a * (s["d_c"] - s["d_n"]), b * (s["d_f"] - s["d_n"])  # gradient in the logs
+            if last is not None:
+                (oa, ob), (da, db), before = last
+                if abs(ga * da + gb * db) > before:  # overshot: half the step from the same point
+                    last = ((oa, ob), (da / 2, db / 2), before / 2)
+                    a, b = oa * math.exp(da / 2), ob * math.exp(db / 2)
+                    continue
+            haa = a * a * (s["t_c"] - s["t_n"]) + ga
+            hbb = b * b * (s["t_f"] - s["t_n"]) + gb
+            hab = -a * b * s["t_n"]
             det = haa * hbb - hab * hab
-            if det == 0 or not math.isfinite(det):
-                return Prior(a, b, rnd, False, method)
-            da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-            step = 1.0
-            while a - step * da <= 0 or b - step * db <= 0:
-                step /= 2
-            na, nb = a - step * da, b - step * db
+            last = None
+            if haa < 0 and det > 0 and math.isfinite(det):
+                da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
+                size = max(abs(da), abs(db), 1.0)
+                da, db = da / size, db / size  # at most a factor e a round
+                if ga * da + gb * db > 0:
+                    na, nb = a * math.exp(da), b * math.exp(db)
+                    last = ((a, b), (da, db), ga * da + gb * db)
         done = abs(na - a) < epsilon * max(1.0, abs(a)) and abs(nb - b) < epsilon * max(1.0, abs(b))
-        ray = (method != "fixed_point" and na + nb >= 1.8 * (a + b)
-               and abs(na / (na + nb) - a / (a + b)) < 1e-4 * (a / (a + b)))
-        growing = growing + 1 if ray else 0
         a, b = na, nb
+        if slope <= 0 and abs(slope) / (2 * (a + b)) < LIMIT_GAIN:
+            return Prior(a, b, rnd, False, method, False)
         if done:
-            return Prior(a, b, rnd, True, method)
-        # the concentration keeps multiplying at a fixed mean: the likelihood has
-        # no finite maximum (no over-dispersion); stop instead of walking to the cap
-        if a + b > max_concentration or growing >= 3:
-            return Prior(a, b, rnd, False, method)
-    return Prior(a, b, max_rounds, False, method)
+            return Prior(a, b, rnd, True, method, True)
+    return Prior(a, b, max_rounds, False, method, slope > 0)
 
 
 def smoothed_ctr(counts: DataFrame, alpha: float, beta: float, imps: str = "imps", clks: str = "clks",
@@ -149,5 +165,6 @@ def smoothed_ctr(counts: DataFrame, alpha: float, beta: float, imps: str = "imps
 
 
 def prior_frame(spark, prior: Prior) -> DataFrame:
-    return spark.createDataFrame([(prior.alpha, prior.beta, prior.rounds, prior.converged, prior.method)],
-                                 "alpha double, beta double, rounds int, converged boolean, method string")
+    return spark.createDataFrame([(prior.alpha, prior.beta, prior.rounds, prior.converged, prior.method,
+                                   prior.finite)],
+                                 "alpha double, beta double, rounds int, converged boolean, method string, finite boolean")

@@ -20,11 +20,13 @@ from cartwise.constants import (MF_BAND_DAYS, MF_CATALOG_BLACKLIST, MF_EPOCHS, M
 from cartwise.operators.daily import as_of_days, band
 from cartwise.operators.joins import bucketed_grid
 from cartwise.operators.metrics import popularity
-from cartwise.operators.ranking import global_ranks, rank_in_group
+from cartwise.operators.ranking import dense_index, rank_in_group
 from cartwise.operators.windows import item_total_flag
 from cartwise.session import materialize
 
 PAIR = ["role_id", "item_id"]
+#: Ratings aimed at per ALS block; the block count follows the data.
+RATINGS_PER_BLOCK = 1_000_000
 
 
 def interactions(clicks: DataFrame, asof, days: int = MF_BAND_DAYS,
@@ -39,11 +41,15 @@ def interactions(clicks: DataFrame, asof, days: int = MF_BAND_DAYS,
 def dense_ids(df: DataFrame, cols=("role_id", "item_id")) -> DataFrame:
     """Add ``<col>_index``: 0-based dense index of each id in id order.
 
-    Distributed (histogram ranks), so the vocabulary never goes through the
-    driver; the inverse mapping is the same two columns read the other way.
+    Distributed (range partitions of the distinct ids, in their own type), so the
+    vocabulary never goes through the driver and ids beyond 2^53 stay apart; the
+    inverse mapping is the same two columns read the other way.
     """
-    return global_ranks(df, {c: f"{c}_index" for c in cols}, method="dense", descending=False) \
-        .withColumns({f"{c}_index": (F.col(f"{c}_index") - 1).cast("int") for c in cols})
+    df = materialize(df)
+    for c in cols:
+        df = df.join(dense_index(df, c, f"{c}_index"), c, "left") \
+            .withColumn(f"{c}_index", F.col(f"{c}_index").cast("int"))
+    return df
 
 
 def id_maps(indexed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,8 +74,9 @@ def fit_factors(train: DataFrame, rank: int = MF_RANK, epochs: int = MF_EPOCHS,
     matrix sums duplicate entries; each role then has at most one ALS rating
     per catalog item, whatever its event volume."""
     pairs = train.groupBy("role_id", "item_id").agg(F.sum(weight).cast("double").alias(weight))
-    indexed = dense_ids(pairs)
-    als = ALS(rank=rank, maxIter=epochs, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
+    indexed = materialize(dense_ids(pairs))  # the fit and both id maps read it
+    blocks = max(10, -(-indexed.count() // RATINGS_PER_BLOCK))
+    als = ALS(numUserBlocks=blocks, numItemBlocks=blocks, rank=rank, maxIter=epochs, regParam=reg, alpha=alpha, implicitPrefs=True, seed=seed,
               userCol="role_id_index", itemCol="item_id_index", ratingCol=weight,
               coldStartStrategy="nan", nonnegative=False)
     model = als.fit(indexed)

@@ -18,10 +18,12 @@ from pyspark.sql import types as T
 
 from cartwise.constants import (GBT_DEPTH, GBT_FEATURE_FRACTION, GBT_STEP, GBT_SUBSAMPLE, HOLDOUT_FRACTION,
                                 HOLDOUT_SEED, MF_RANK)
-from cartwise.operators.ranking import global_ranks
+from cartwise.operators.ranking import dense_index
 from cartwise.session import materialize
 
 NON_FEATURES = ("role_id", "item_id", "label", "asof", "is_val", "score", "position", "dt")
+#: Trees at most, as many as the original allows; the hold-out loss ends the fit before.
+GBT_MAX_ITER = 10_000
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
 
 
@@ -43,8 +45,8 @@ def index_column(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """0-based dense index of a categorical column, computed distributed (no
     driver-side vocabulary)."""
     out = out or f"{col}_idx"
-    return global_ranks(df, {col: out}, method="dense", descending=False) \
-        .withColumn(out, (F.col(out) - 1).cast("double"))
+    df = materialize(df)
+    return df.join(dense_index(df, col, out), col, "left").withColumn(out, F.col(out).cast("double"))
 
 
 def one_hot(df: DataFrame, cols, suffix: str = "_vec") -> DataFrame:
@@ -81,9 +83,10 @@ def vectorize(df: DataFrame, categorical, numeric, out: str = "features", hash_d
     return asm.transform(hot).drop(*parts)
 
 
-def gbt_pipeline(features: list[str], max_iter: int = 200, seed: int = 17,
-                 validation_tol: float = 0.01) -> Pipeline:
-    """Assembler + boosted trees with hold-out early stopping (M8)."""
+def gbt_pipeline(features: list[str], max_iter: int = GBT_MAX_ITER, seed: int = 17,
+                 validation_tol: float = 0.0) -> Pipeline:
+    """Assembler + boosted trees (M8): up to ``max_iter`` trees, fewer only once the
+    hold-out loss no longer falls at all (``validation_tol`` 0)."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol="label", featuresCol="features", lossType="logistic", maxDepth=GBT_DEPTH,
                         stepSize=GBT_STEP, subsamplingRate=GBT_SUBSAMPLE,
@@ -108,6 +111,17 @@ def train_gbt(rows: DataFrame, features: list[str] | None = None, **kw) -> tuple
     return gbt_pipeline(features, **kw).fit(materialize(data)), features
 
 
+def tree_count(model: PipelineModel) -> int:
+    """Trees that the fit kept."""
+    return model.stages[-1].getNumTrees
+
+
+def holdout_losses(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Hold-out loss after each tree (``rows`` labelled as for ``train_gbt``)."""
+    held = holdout_split(rows).where("is_val").withColumn("label", F.col("label").cast("double"))
+    return model.stages[-1].evaluateEachIteration(model.stages[0].transform(held))
+
+
 def score(model: PipelineModel, rows: DataFrame, out: str = "score") -> DataFrame:
     """Positive-class probability."""
     return (model.transform(rows).withColumn(out, vector_to_array("probability")[1])

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.dates import day_in, shift, to_day
 from cartwise.operators.daily import as_of_days, history_days, on_day, restrict, roles_on
-from cartwise.operators.joins import BROADCAST_MAX_ROWS
+from cartwise.operators.joins import bounded_broadcast
 from cartwise.session import materialize as write_once
 from cartwise.plans.pair import (item_features, item_is_new_days, pair_buy_features, pair_click_features,
-                                 positive_pairs, role_features, role_profile_days)
+                                 role_features, role_profile_days)
 
 PAIR = ["role_id", "item_id"]
 
@@ -53,7 +53,7 @@ class Logs:
     def item_side(self, items: DataFrame) -> DataFrame:
         """Broadcast an item-grain table (one row per catalog item) only when the
         counted catalog is under the broadcast bound; otherwise a shuffle join."""
-        return F.broadcast(items) if self.catalog_rows() <= BROADCAST_MAX_ROWS else items
+        return bounded_broadcast(items, self.catalog_rows())
 
     def written(self) -> "Logs":
         """The logs with the exploded clicks, purchases, active roles and catalog
@@ -113,8 +113,7 @@ class Features:
         """(asof, item) grain: catalog x days rows, broadcast only under the bound."""
         items = item_is_new_days(self.logs.catalog_table(), self.logs.new_items, self.days)
         feats = item_features(items, self.click_hist, self.buy_hist, KEY)
-        small = self.logs.catalog_rows() * len(self.days) <= BROADCAST_MAX_ROWS
-        return F.broadcast(feats) if small else feats
+        return bounded_broadcast(feats, self.logs.catalog_rows() * len(self.days))
 
 
 class AsOf:
@@ -166,12 +165,10 @@ def click_buy_outer(pair_clicks: DataFrame, pair_buys: DataFrame, keys=()) -> Da
 
 
 def label_pairs(pairs: DataFrame, buy_log: DataFrame, asof) -> DataFrame:
-    """Rows of roles that bought on ``asof``; ``label`` = pair bought that day."""
-    pos = positive_pairs(buy_log, asof).withColumn("label", F.lit(1).cast("bigint"))
-    buyers = pos.select("role_id").distinct()
-    return (pairs.join(buyers, "role_id", "left_semi")
-            .join(pos, PAIR, "left")
-            .withColumn("label", F.coalesce(F.col("label"), F.lit(0)).cast("bigint")))
+    """Rows of roles that bought on ``asof``; ``label`` = pair bought that day (J9,
+    R10): ``label_pairs_days`` of one day."""
+    day = F.lit(to_day(asof))
+    return label_pairs_days(pairs.withColumn("asof", day), buy_log, [asof]).drop("asof")
 
 
 def label_pairs_days(pairs: DataFrame, buy_log: DataFrame, days) -> DataFrame:

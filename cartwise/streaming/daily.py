@@ -2,9 +2,8 @@
 
 The original has no streaming; this re-expresses its first aggregation for
 click-log records that arrive as files: the same payload explode and the same
-per (role, item, day) sums, finalised once the watermark passes the end of a
-day (append mode), so each day's row is emitted exactly once and the state
-store keeps only the open days.
+per (role, item, day) sums. Update mode emits a day's row whenever it changes, so
+open days are in the result as well; the watermark drops closed days from the state.
 """
 
 from __future__ import annotations
@@ -18,13 +17,9 @@ from cartwise.functions.payload import explode_payload
 CLICK_LOG_SCHEMA = "role_id BIGINT, child_tab STRING, item_list STRING, dt DATE"
 
 
-def click_log_stream(spark: SparkSession, path: str, schema: str = CLICK_LOG_SCHEMA,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+def click_log_stream(spark: SparkSession, path: str, schema: str = CLICK_LOG_SCHEMA) -> DataFrame:
     """Click-log records from parquet files landing under ``path``."""
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def daily_click_counts(records: DataFrame, lateness: str = "1 day", tabs=CLICK_TABS) -> DataFrame:
@@ -41,9 +36,21 @@ def daily_click_counts(records: DataFrame, lateness: str = "1 day", tabs=CLICK_T
 
 
 def start_daily_counts(counts: DataFrame, sink_path: str, checkpoint_location: str, available_now: bool = True):
-    """Append finished days to a parquet sink; the checkpoint makes restarts exactly-once.
-    ``checkpoint_location`` belongs on shared storage (e.g. under spark.checkpoint.dir)."""
-    writer = (counts.writeStream.outputMode("append").format("parquet")
-              .option("path", sink_path).option("checkpointLocation", checkpoint_location))
+    """Writes the days each trigger changed, open days included, to a parquet folder of
+    the trigger. A trigger that runs again overwrites its own folder, so restarts
+    leave no double rows. ``checkpoint_location`` belongs on shared storage."""
+
+    def put(rows: DataFrame, trigger: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{sink_path}/trigger={trigger}")
+
+    writer = (counts.writeStream.outputMode("update").foreachBatch(put)
+              .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def latest_counts(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The last written counts of every (role, item, day)."""
+    rows = spark.read.parquet(sink_path)
+    last = F.max_by(F.struct("click_num_day", "click_num_dis_day"), "trigger").alias("c")
+    return rows.groupBy("role_id", "item_id", "dt").agg(last).select("role_id", "item_id", "dt", "c.*")

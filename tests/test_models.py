@@ -116,3 +116,30 @@ def test_keyed_factor_features_per_day(spark, sf_dir):
                                   fit_factors(interactions(logs.clicks, "2024-01-25"), rank=3, epochs=2), rank=3)
     assert one.count() == single.count()
     assert one.where(F.col("fm") == -2.0).count() == single.where(F.col("fm") == -2.0).count()
+
+
+def test_fit_decides_from_the_likelihood_not_from_moments(spark):
+    """A long tail of low-impression rows makes the moment estimate useless; the maximum is finite."""
+    rows = [(2.0, 1.0)] * 1000 + [(1000.0, 300.0)] * 10 + [(1000.0, 700.0)] * 10
+    prior = fit_prior(spark.createDataFrame(rows, "imps double, clks double"))
+    assert prior.converged and prior.finite
+    assert prior.alpha == pytest.approx(13.698, abs=1e-2) and prior.beta == pytest.approx(13.698, abs=1e-2)
+
+
+def test_fit_reports_no_finite_maximum(spark):
+    rows = [(400.0, 200.0 + i % 3) for i in range(100)]
+    prior = fit_prior(spark.createDataFrame(rows, "imps double, clks double"))
+    assert not prior.finite and not prior.converged
+    assert prior.alpha / (prior.alpha + prior.beta) == pytest.approx(0.5025, abs=1e-3)
+
+
+def test_neighbours_of_2_53_stay_apart(spark):
+    from cartwise.plans.factorize import dense_ids, fit_factors
+    from cartwise.plans.models import item_onehot
+    big = 2 ** 53
+    df = spark.createDataFrame([(big, big + 1, 3), (big + 1, big, 2), (big + 2, big + 1, 1)],
+                               "role_id bigint, item_id bigint, num bigint")
+    got = {(r.role_id, r.item_id): (r.role_id_index, r.item_id_index) for r in dense_ids(df).collect()}
+    assert got == {(big, big + 1): (0, 1), (big + 1, big): (1, 0), (big + 2, big + 1): (2, 1)}
+    assert fit_factors(df).roles.count() == 3
+    assert item_onehot(df).select("item_id_vec").distinct().count() == 2
