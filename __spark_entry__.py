@@ -439,6 +439,10 @@ def q_smoothed_ctr(spark, sf_dir):
 MODEL_TRAIN_DAYS = ["2024-01-20", "2024-01-21", "2024-01-22", "2024-01-23", "2024-01-24", "2024-01-25"]
 
 
+#: Trees of the registered query; ``train_gbt`` itself allows 10,000.
+QUERY_TREES = 60
+
+
 def _factors(spark, sf_dir, asof):
     from cartwise.plans.factorize import fit_factors, interactions
     return fit_factors(interactions(_logs(spark, sf_dir).clicks, asof))
@@ -505,7 +509,8 @@ def q_gbt_score(spark, sf_dir):
     feats = Features(lg, MODEL_TRAIN_DAYS + [TEST_ASOF])
     e = _evaluation(spark, sf_dir, TEST_ASOF, logs=lg, features=feats)
     onehot = materialize(item_onehot(lg.catalog_table()))
-    model, _ = train_gbt(with_item_onehot(training_rows_from(feats, lg.buys, MODEL_TRAIN_DAYS), onehot))
+    model, _ = train_gbt(with_item_onehot(training_rows_from(feats, lg.buys, MODEL_TRAIN_DAYS), onehot),
+                         max_iter=QUERY_TREES)
     model = load_pipeline(save_model(model, scratch_path(spark, "gbt-model")))
     scored = score(model, with_item_onehot(e["cand"], onehot)).drop("item_id_vec")
     return recommend_list(scored, e["top"], e["bought"])

@@ -143,3 +143,14 @@ def test_neighbours_of_2_53_stay_apart(spark):
     assert got == {(big, big + 1): (0, 1), (big + 1, big): (1, 0), (big + 2, big + 1): (2, 1)}
     assert fit_factors(df).roles.count() == 3
     assert item_onehot(df).select("item_id_vec").distinct().count() == 2
+
+
+def test_more_trees_lower_the_holdout_loss(spark, sf_dir):
+    from cartwise.plans.models import holdout_losses, train_gbt, tree_count
+    from cartwise.plans.training import training_rows
+    from cartwise.session import materialize
+    rows = materialize(training_rows(E._logs(spark, sf_dir), E.MODEL_TRAIN_DAYS))
+    model, _ = train_gbt(rows, max_iter=25)
+    losses = holdout_losses(model, rows)
+    assert tree_count(model) == len(losses) > 10
+    assert losses[-1] < losses[0]
