@@ -207,8 +207,8 @@ def test_bpe_round_trip_on_odd_rows(spark):
     assert len(rows) == len(TEXTS)
     assert all(r.decoded == (r.text or "") and r.n_tokens * 4 == len(r.ids) and r.block == 2 for r in rows)
     assert round_trip(empty(spark), bpe_path()).count() == 0
-    ids = spark.createDataFrame([(bytearray(np.array([50256, 99999999, 187], "<u4").tobytes()),), (None,)], "ids binary")
-    assert sorted(r.decoded for r in decode(ids, bpe_path()).collect()) == ["", "<|endoftext|>�"] or True
+    ids = spark.createDataFrame([(bytearray(np.array([50256, 99999999, 220], "<u4").tobytes()),), (None,)], "ids binary")
+    assert sorted(r.decoded for r in decode(ids, bpe_path()).collect()) == ["", "<|endoftext|> "]
 
 
 # ---- 5 decontamination -----------------------------------------------------------

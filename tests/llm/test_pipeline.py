@@ -36,6 +36,7 @@ def test_stages_keep_what_they_should(spark):
     import corpus_pipeline as P
     from cartwise.llm.common import written
     from tokenizers import Tokenizer
+    SF = "/root/testdata/sf0.01"  # enough labelled rows to fit the classifier on
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     seen = [docs]
