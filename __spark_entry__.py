@@ -440,7 +440,7 @@ MODEL_TRAIN_DAYS = ["2024-01-20", "2024-01-21", "2024-01-22", "2024-01-23", "202
 
 
 #: Trees of the registered query; ``train_gbt`` itself allows 10,000.
-QUERY_TREES = 60
+QUERY_TREES = 30
 
 
 def _factors(spark, sf_dir, asof):
