@@ -4,7 +4,7 @@ Texts are normalised (lower case, every run of other characters than letters and
 digits becomes one space). An item of m characters that occurs in a text with at
 most k edits shares at least m + 1 - q - k q of its q-grams with it, and all of
 them on diagonals at most k apart. For every item the q-grams shared with a text
-are counted in overlapping diagonal bands of width 2 k + 1 at steps of k + 1, so any
+are counted in overlapping diagonal bands of width 2 k + 2 at steps of k + 1, so any
 k + 1 neighbouring diagonals lie whole in some band; bands that reach the
 bound are kept as regions and verified by a banded alignment (edit distance of
 the whole item against any part of the region, at most k edits).
