@@ -154,7 +154,35 @@ WITH rules(entry, h, p, verdict) AS (VALUES
              FROM s JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s LEFT JOIN hit USING (r)"""
 
+#: A backslash goes into each control string, so a text grows by the control strings it holds.
+_OP7_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+     e AS (SELECT *, length(role) + length(text) + length('<|im_start|><|im_sep|><|im_end|>') + len(regexp_extract_all(
+                  role || chr(10) || text,
+                  '<\\*\|(?:im_start|im_sep|im_end|endoftext)\|>|<\\*/?s>|\[\\*/?INST\]')) AS n FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM (SELECT *, row_number() OVER (ORDER BY turn NULLS FIRST, role, text) AS k FROM e) GROUP BY conv_id"""
+
+#: Base 32 of a hex digest: five hex digits are four letters.
+_OP9_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+     q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS m,
+                  list_transform(range(0, 8), lambda i: CAST('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS v
+           FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((v[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> m THEN m END AS refers_to
+FROM q"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": _OP6_SQL,
     "op1_substring_dedup": _OP1_SQL,
+    "op7_chat_format": _OP7_SQL,
+    "op9_warc": _OP9_SQL,
 }

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op6_url_filter"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op6_url_filter", "op7_chat_format", "op9_warc"])
 def test_query_equals_sql(spark, name):
     from cartwise.llm.queries import ORACLE_SQL, QUERIES
     con = duckdb.connect()
