@@ -123,11 +123,6 @@ def click_history(clicks: DataFrame, active_roles: DataFrame, catalog: DataFrame
     return history_days(clicks, "cnt", active_roles, catalog, [asof]).drop("asof")
 
 
-def buy_history(buys: DataFrame, active_roles: DataFrame, catalog: DataFrame, asof) -> DataFrame:
-    """(role_id, item_id, age, buy_num): purchases before ``asof``, same restriction."""
-    return history_days(buys, "buy_num", active_roles, catalog, [asof]).drop("asof")
-
-
 # -- several as-of days in one plan -------------------------------------------
 
 def as_of_days(days) -> list:
@@ -136,15 +131,6 @@ def as_of_days(days) -> list:
     return sorted({to_day(d) for d in days})
 
 
-def spread_to_asofs(df: DataFrame, days, dt: str = "dt") -> DataFrame:
-    """Add ``asof``: one copy of each row per as-of day strictly after its day (F5
-    for every day at once). Rows are copied at most ``len(days)`` times."""
-    days = as_of_days(days)
-    arr = F.array(*[F.lit(d) for d in days])
-    return (df.where(F.col(dt) < F.lit(days[-1]))
-            .withColumn("asof", F.explode(F.filter(arr, lambda a: a > F.col(dt)))))
-
-
 def active_before(active_roles: DataFrame, days) -> DataFrame:
     """(role_id, asof): roles active on the day before each as-of day."""
     prev = [shift(d, -1) for d in as_of_days(days)]
@@ -158,13 +144,16 @@ def history_days(log: DataFrame, value: str, active_roles: DataFrame, catalog: D
     per (as-of, pair, day).
 
     The log is first summed per (role, item, day) -- one map-side-combined
-    shuffle of the raw rows -- and only those day rows are copied to the as-of
-    days; a day row maps to one (as-of, pair, age) per copy, so no aggregation
-    follows the copy.
+    shuffle of the raw rows -- and joined to the as-of days on which its role is
+    active (one row per role, at most ``len(days)`` days), so a day row is copied
+    only to the days that keep it; it maps to one (as-of, pair, age) per copy, so
+    no aggregation follows the copy.
     """
     days = as_of_days(days)
     rows = restrict(log.where(F.col("dt") < F.lit(days[-1])).select("role_id", "item_id", "dt", value),
                     items=catalog)
     daily = rows.groupBy("role_id", "item_id", "dt").agg(F.sum(value).cast("bigint").alias(value))
-    spread = spread_to_asofs(daily, days).join(active_before(active_roles, days), ["role_id", "asof"], "left_semi")
+    active = active_before(active_roles, days).groupBy("role_id").agg(F.collect_set("asof").alias("_asofs"))
+    spread = (daily.join(active, "role_id")
+              .withColumn("asof", F.explode(F.filter("_asofs", lambda a: a > F.col("dt")))))
     return spread.select("asof", "role_id", "item_id", F.datediff("asof", "dt").cast("bigint").alias("age"), value)

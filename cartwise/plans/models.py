@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from cartwise.constants import (GBT_DEPTH, GBT_FEATURE_FRACTION, GBT_STEP, GBT_SUBSAMPLE, HOLDOUT_FRACTION,
                                 HOLDOUT_SEED, MF_RANK)
+from cartwise.operators.joins import bounded_broadcast
 from cartwise.operators.ranking import dense_index
 from cartwise.session import materialize
 
@@ -97,8 +98,11 @@ def gbt_pipeline(features: list[str], max_iter: int = GBT_MAX_ITER, seed: int =
 
 def with_item_onehot(rows: DataFrame, onehot: DataFrame) -> DataFrame:
     """Attach the catalog-fitted item one-hot (``item_id_vec``) as a model input,
-    as the original's item features do (P13); the one-hot table is catalog-sized."""
-    return rows.join(F.broadcast(onehot.select("item_id", "item_id_vec")), "item_id", "left")
+    as the original's item features do (P13); the catalog-sized one-hot table is
+    broadcast only under the counted bound. Trees keep a dense bin array per row, so
+    with a large catalog train them on the item features instead."""
+    side = onehot.select("item_id", "item_id_vec")
+    return rows.join(bounded_broadcast(side, side.count()), "item_id", "left")
 
 
 def train_gbt(rows: DataFrame, features: list[str] | None = None, **kw) -> tuple[PipelineModel, list[str]]:

@@ -154,3 +154,27 @@ def test_more_trees_lower_the_holdout_loss(spark, sf_dir):
     losses = holdout_losses(model, rows)
     assert tree_count(model) == len(losses) > 10
     assert losses[-1] < losses[0]
+
+
+def test_main_path_reports_every_purchase(spark, sf_dir):
+    import __spark_entry__ as E
+    from cartwise.constants import HIT_KS
+    from cartwise.plans.recommend import day_purchases
+    r = E.q_gbt_hit_revenue_at_k(spark, sf_dir).collect()
+    assert len(r) == 1
+    hits = [r[0][f"hit_{k}"] for k in HIT_KS]
+    lg = E._logs(spark, sf_dir)
+    assert hits == sorted(hits) and hits[-1] <= r[0]["total"]
+    assert r[0]["total"] + r[0]["missed"] + r[0]["skipped"] == day_purchases(lg.buys, lg.active_roles, E.TEST_ASOF).count()
+
+
+def test_branch_queries_reach_their_branch(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.01"
+    assert E.q_interaction_weight_solo(spark, sf).where("num_s = 1").count() > 0
+    assert E.q_hit_revenue_skipped(spark, sf).first()["skipped"] > 0
+    assert E.q_item_catalog_shifted(spark, sf).count() < E._data(spark, sf).items().count()
+    filled = E.q_avatar_text(spark, sf).where("gender IS NOT NULL AND tshirt IS NOT NULL AND hat IS NOT NULL AND hair IS NOT NULL")
+    assert 0 < filled.count() < E._data(spark, sf).avatar_log().count()
+    seen = {r.unseen for r in E.q_test_rows_unseen(spark, sf).select("unseen").distinct().collect()}
+    assert seen == {True, False}
