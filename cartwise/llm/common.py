@@ -30,6 +30,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_key(column: str):
+    """A 64-bit key of a text. With the id it names a row: rows equal in both are repeats."""
+    return F.xxhash64(F.col(column))
+
+
+def without(df: DataFrame, bad: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` without the rows named by ``bad`` (id, key). Each row is judged by its own
+    text, also where ids are null or repeated."""
+    bad = bad.select(F.col("id").alias("_bad_id"), F.col("key").alias("_bad_key")).distinct()
+    return df.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")) & (text_key(text_col) == F.col("_bad_key")),
+                   "left_anti")
+
+
 def text_bytes(df: DataFrame, column: str) -> int:
     """Bytes of all texts (one aggregate row), the figure block counts are set from."""
     return df.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import slices
+from cartwise.llm.common import slices, text_key, without
 
 Q = 8
 #: Edits allowed as a share of an item's normalised length.
@@ -40,7 +40,7 @@ SCAN_CHARS = 1 << 16
 
 _OTHER = re.compile(r"[\W_]+")
 _BREAK = re.compile("\0")
-MATCH = "id bigint, item_id bigint, edits int, start bigint, stop bigint"
+MATCH = "id bigint, key bigint, item_id bigint, edits int, start bigint, stop bigint"
 
 
 def normalised(text: str | None) -> str:
@@ -186,7 +186,7 @@ def aligned(item: str, text: str, most: int) -> tuple[int, int] | None:
 
 
 def _matcher(index):
-    schema = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
                         ("start", pa.int64()), ("stop", pa.int64())])
 
     def run(batches):
@@ -194,7 +194,7 @@ def _matcher(index):
         for batch in batches:
             rows = []
             for part in slices(batch, "t"):
-                ids = part.column("id").to_pylist()
+                ids, keys = part.column("id").to_pylist(), part.column("key").to_pylist()
                 texts = [normalised(t) for t in part.column("t").to_pylist()]
                 best: dict[tuple, tuple] = {}
                 for row, it, lo, hi in idx.regions(texts):
@@ -204,7 +204,7 @@ def _matcher(index):
                         back = aligned(item[::-1], text[:got[1]][::-1], got[0])
                         best[row, it] = (got[0], lo + got[1] - (back[1] if back else got[1]), lo + got[1])
                 for (row, it), (edits, start, stop) in best.items():
-                    rows.append((ids[row], idx.items[it][0], edits, start, stop))
+                    rows.append((ids[row], keys[row], idx.items[it][0], edits, start, stop))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -228,10 +228,11 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str):
 
 def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, item_id, edits, start, stop): the best occurrence of each item in each
-    text, as a span of the normalised text."""
+    """(id, key, item_id, edits, start, stop): the best occurrence of each item in each
+    text, as a span of the normalised text; ``key`` is of the text."""
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"))
+    docs = df.select(F.col(id_col).cast("bigint").alias("id"), text_key(text_col).alias("key"),
+                     F.col(text_col).alias("t"))
     out = None
     for block in _item_blocks(items, item_id_col, item_text_col):
         index = ItemIndex(block)
@@ -243,7 +244,5 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` without the rows whose text holds an item (rows of a null id are judged
-    together: they go if any of them matches)."""
-    bad = matches(df, items, id_col, text_col).select(F.col("id").alias("_bad_id")).distinct()
-    return df.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")), "left_anti")
+    """``df`` without the rows whose text holds an item."""
+    return without(df, matches(df, items, id_col, text_col), id_col, text_col)

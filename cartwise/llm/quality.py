@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import binary_values, word_lists, written
+from cartwise.llm.common import binary_values, text_key, without, word_lists, written
 
 #: Rows of positives and of unlabelled text that the model is fitted on, at most about.
 FIT_ROWS = 20_000
@@ -80,16 +80,17 @@ def features(text: bytes | None) -> np.ndarray:
 
 
 def feature_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, x): the features of every row as packed 32-bit floats."""
-    schema = pa.schema([("id", pa.int64()), ("x", pa.binary())])
+    """(id, key, x): the features of every row as packed 32-bit floats; ``key`` is of its text."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("x", pa.binary())])
 
     def run(batches):
         for b in batches:
             xs = [features(t).tobytes() for t in binary_values(b.column("t"))]
-            yield pa.record_batch([b.column("id").cast(pa.int64()), pa.array(xs, pa.binary())], schema=schema)
+            yield pa.record_batch([b.column("id").cast(pa.int64()), b.column("key"), pa.array(xs, pa.binary())],
+                                  schema=schema)
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        run, "id bigint, x binary")
+    return df.select(F.col(id_col).cast("bigint").alias("id"), text_key(text_col).alias("key"),
+                     F.col(text_col).alias("t")).mapInArrow(run, "id bigint, key bigint, x binary")
 
 
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
@@ -141,8 +142,8 @@ def fit_non_negative(pos: np.ndarray, unl: np.ndarray, prior: float) -> Model:
 
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality", train_when=None, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """(id, score) per row of ``df``. ``train_when`` is a condition on the column
-    ``id``: labels are learned from those rows only."""
+    """(id, key, score) per row of ``df``; ``key`` is of its text. ``train_when`` is a
+    condition on the column ``id``: labels are learned from those rows only."""
     rows = written(feature_table(df, id_col, text_col), "quality-features")
     known = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .where("id IS NOT NULL AND y IS NOT NULL")
@@ -152,20 +153,19 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     prior = known.agg(F.avg("y").alias("p")).first()["p"]
     positives = rows.join(known.where("y = 1").select("id"), "id", "left_semi")
     model = fit_non_negative(_sample(positives, fit_rows), _sample(rows, fit_rows), 1.0 if prior is None else prior)
-    schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
         for b in batches:
             x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(-1, N_FEATURES)
-            yield pa.record_batch([b.column("id"), pa.array(model.scores(x.astype(np.float64)))], schema=schema)
+            yield pa.record_batch([b.column("id"), b.column("key"), pa.array(model.scores(x.astype(np.float64)))],
+                                  schema=schema)
 
-    return rows.mapInArrow(run, "id bigint, score double")
+    return rows.mapInArrow(run, "id bigint, key bigint, score double")
 
 
 def keep_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  train_when=None, threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` without the documents scored below ``threshold``. Rows are dropped by id:
-    an id goes if any of its rows is rejected."""
-    bad = score_quality(df, labels, id_col, text_col, train_when=train_when).where(F.col("score") < threshold) \
-        .select(F.col("id").alias("_bad_id")).distinct()
-    return df.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")), "left_anti")
+    """``df`` without the rows scored below ``threshold``, each judged by its own text."""
+    scored = score_quality(df, labels, id_col, text_col, train_when=train_when)
+    return without(df, scored.where(F.col("score") < threshold), id_col, text_col)

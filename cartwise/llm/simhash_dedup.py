@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import binary_values, record_batches, word_lists, written
+from cartwise.llm.common import binary_values, record_batches, text_key, word_lists, written
 from cartwise.llm.graph import components
 
 SEED = 42
@@ -68,16 +68,17 @@ def simhash(text: bytes | None, width: int = 3) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp): one signed 64-bit fingerprint per row."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    """(id, key, fp): one signed 64-bit fingerprint per row; ``key`` is of its text."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
 
     def prints(batches):
         for b in batches:
             values = [simhash(t, width) for t in binary_values(b.column("t"))]
-            yield pa.record_batch([b.column("id").cast(pa.int64()), pa.array(values, pa.int64())], schema=schema)
+            yield pa.record_batch([b.column("id").cast(pa.int64()), b.column("key"), pa.array(values, pa.int64())],
+                                  schema=schema)
 
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(
-        prints, "id bigint, fp bigint")
+    return df.select(F.col(id_col).cast("bigint").alias("id"), text_key(text_col).alias("key"),
+                     F.col(text_col).alias("t")).mapInArrow(prints, "id bigint, key bigint, fp bigint")
 
 
 def _variants(batches):
@@ -196,21 +197,27 @@ def links(prints: DataFrame, distance: int = DISTANCE, cap: int = GROUP_CAP) ->
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                        distance: int = DISTANCE, cap: int = GROUP_CAP) -> DataFrame:
-    """(id, fp, component_id) per row: the smallest id reachable over links of at
-    most ``distance`` differing bits."""
+    """(id, key, fp, component, component_id) per row. ``component_id`` is the smallest id
+    reachable over links of at most ``distance`` differing bits (null if no member has
+    an id), ``component`` the smallest fingerprint, ``key`` of the row's text."""
     rows = written(fingerprints(df, id_col, text_col, width), "simhash")
     prints = rows.groupBy("fp").agg(F.min("id").alias("least"))
     comp = written(components(links(prints, distance, cap)), "simhash-components")
     named = prints.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "least", F.coalesce("component", "fp").alias("c"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(least, "c").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    return rows.join(named.join(least, "c").select("fp", F.col("c").alias("component"), "component_id"), "fp") \
+        .select("id", "key", "fp", "component", "component_id")
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                distance: int = DISTANCE) -> DataFrame:
-    """One document of each component (its smallest id), with the columns of ``df``.
-    Repeated rows of that id count as one document."""
-    keep = (simhash_components(df, id_col, text_col, width, distance)
-            .where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_kept_id")).distinct())
-    return (df.join(keep, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([id_col]))
+    """One row of each component, with the columns of ``df``: its smallest id, nulls
+    last, then the smallest text key. Rows with that id and text count as one; rows
+    of other components stay, also where ids are null or repeated."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    keep = (simhash_components(df, id_col, text_col, width, distance).groupBy("component").agg(first)
+            .select(F.col("first.id").alias("_kept_id"), F.col("first.key").alias("_kept_key")))
+    named = df.withColumn("_text_key", text_key(text_col))
+    return (named.join(keep, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key")),
+                       "left_semi").dropDuplicates([id_col, "_text_key"]).drop("_text_key"))

@@ -145,6 +145,30 @@ def test_simhash_on_odd_rows(spark):
     assert simhash_components(empty(spark)).count() == 0
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Null and repeated ids with different texts: only the rows that should go do."""
+    from cartwise.llm.common import without
+    from cartwise.llm.decontaminate import decontaminate
+    from cartwise.llm.simhash_dedup import near_dedup
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choice(("oak", "elm", "fir", "ash", "yew", "bay", "box", "fig")) + str(rnd.randrange(99))
+                      for _ in range(60)) for _ in range(4)]
+    a, b, c, d = texts
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (9, a), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, ODD).withColumn("key", F.lit("x")).withColumn("component", F.lit(1))
+    order = lambda got: sorted((str(r.doc_id), str(r.text)) for r in got.collect())
+    kept = near_dedup(df)
+    assert kept.columns == df.columns
+    # the null and the empty text share fingerprint zero: one of the two stays
+    assert [r for r in order(kept) if r[1] not in ("", "None")] == sorted([("9", a), ("None", b), ("7", c), ("7", d)])
+    assert kept.count() == 5
+    items = spark.createDataFrame([(1, b), (2, d)], "item_id bigint, text string")
+    assert order(decontaminate(df, items)) == sorted((str(i), str(t)) for i, t in rows if t not in (b, d))
+    bad = spark.createDataFrame([(None, a), (7, c)], ODD).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    assert order(without(df, bad, "doc_id", "text")) == sorted(
+        (str(i), str(t)) for i, t in rows if (i, t) not in ((None, a), (7, c)))
+
+
 @pytest.mark.parametrize("cap", [2, 1024])
 def test_links_over_dense_groups(spark, cap):
     """Groups around common fingerprints, also beyond the cap (the two-bit index)."""
