@@ -485,11 +485,10 @@ def q_mf_hit_at_k(spark, sf_dir):
     """hit@k / revenue@k of the factorisation recommender with popularity fallback:
     every buyer and purchase of the day, no item skipped."""
     from cartwise.operators.daily import on_day
-    from cartwise.plans.factorize import recommend_fallback
+    from cartwise.plans.factorize import fallback_positions
     from cartwise.plans.recommend import hit_revenue_at_k
     purchases = on_day(_logs(spark, sf_dir).buys, TEST_ASOF)
-    ranked = recommend_fallback(purchases.select("role_id"), _factors(spark, sf_dir, TEST_ASOF),
-                                _mf_catalog(spark, sf_dir))
+    ranked = fallback_positions(purchases, _factors(spark, sf_dir, TEST_ASOF), _mf_catalog(spark, sf_dir))
     return hit_revenue_at_k(ranked, purchases, blacklist=())
 
 

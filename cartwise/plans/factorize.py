@@ -122,11 +122,8 @@ def recommend_fallback(test_roles: DataFrame, f: Factors, catalog: DataFrame,
     """
     mf_catalog = catalog.where(~F.col("item_id").isin(list(catalog_blacklist))).select("item_id")
     roles = test_roles.select("role_id").distinct()
-    known = roles.join(f.roles.select("role_id"), "role_id", "left_semi")
     unknown = roles.join(f.roles.select("role_id"), "role_id", "left_anti")
-    items = f.items.join(mf_catalog, "item_id", "left_semi")
-    grid = bucketed_grid(known, items.select("item_id"))
-    scored = pair_score(grid, f, out="score")
+    scored = known_scores(roles, f, mf_catalog)
     mf = rank_in_group(scored, "role_id", "score", "position", zero_based=True) \
         .select("role_id", "item_id", "score", "position", F.lit("mf").alias("source"))
     pop = popularity(f.train, mf_catalog)
@@ -135,6 +132,28 @@ def recommend_fallback(test_roles: DataFrame, f: Factors, catalog: DataFrame,
     return mf.unionByName(fb)
 
 
+def known_scores(roles: DataFrame, f: Factors, items: DataFrame) -> DataFrame:
+    """(role_id, item_id, score) of every role and item that have a vector. The vectors
+    go through the grid with their keys, so no pair is joined again."""
+    u = f.roles.join(roles.select("role_id"), "role_id", "left_semi").withColumnRenamed("features", "_u")
+    i = f.items.join(items.select("item_id"), "item_id", "left_semi").withColumnRenamed("features", "_i")
+    return bucketed_grid(u, i).select("role_id", "item_id", dot("_u", "_i").alias("score"))
+
+
+def fallback_positions(purchases: DataFrame, f: Factors, catalog: DataFrame,
+                       catalog_blacklist=MF_CATALOG_BLACKLIST) -> DataFrame:
+    """(role_id, item_id, position) of the purchased pairs in ``recommend_fallback``.
+    Roles without a vector look their items up in the one popularity list, which is
+    not copied per role."""
+    mf_catalog = catalog.where(~F.col("item_id").isin(list(catalog_blacklist))).select("item_id")
+    pairs = purchases.select(*PAIR).distinct()
+    scored = known_scores(pairs.select("role_id").distinct(), f, mf_catalog)
+    mf = rank_in_group(scored, "role_id", "score", "position", zero_based=True).join(pairs, PAIR, "left_semi")
+    pop = popularity(f.train, mf_catalog).select("item_id", "position")
+    fb = pairs.join(f.roles.select("role_id"), "role_id", "left_anti").join(pop, "item_id")
+    return mf.select(*PAIR, "position").unionByName(fb.select(*PAIR, "position"))
+
+
 def with_factor_features(rows: DataFrame, f: Factors, rank: int = MF_RANK, user: bool = True,
                          item: bool = True) -> DataFrame:
     """Training / test rows with the pair score ``fm`` and, when enabled, the role

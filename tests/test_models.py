@@ -85,7 +85,7 @@ def test_fm_hashed_features_bound_the_width(spark, sf_dir):
 
 
 def test_cold_start_roles_get_popularity_order(spark):
-    from cartwise.plans.factorize import fit_factors, recommend_fallback
+    from cartwise.plans.factorize import fallback_positions, fit_factors, recommend_fallback
     rows = [(1, 10, 3), (1, 11, 1), (2, 10, 2), (2, 12, 5), (3, 11, 1), (3, 12, 1), (4, 12, 2)]
     train = spark.createDataFrame([(r, i, "2024-01-20", n) for r, i, n in rows],
                                   "role_id bigint, item_id bigint, dt string, num bigint")
@@ -98,6 +98,10 @@ def test_cold_start_roles_get_popularity_order(spark):
     assert {s for (r, _), (_p, s) in out.items() if r == 1} == {"mf"}
     # unknown role: interaction rows per item, most first, ties by item: 12 (4 rows), 10, 11 (2 each)
     assert [i for (r, i), _ in sorted(out.items(), key=lambda kv: kv[1][0]) if r == 99] == [12, 10, 11]
+    # positions of purchased pairs alone: the same, without a list per unseen role
+    bought = spark.createDataFrame([(1, 11), (1, 11), (1, 13), (99, 11), (99, 13)], "role_id bigint, item_id bigint")
+    got = {(r.role_id, r.item_id): r.position for r in fallback_positions(bought, fs, catalog).collect()}
+    assert got == {k: out[k][0] for k in [(1, 11), (99, 11)]}
     assert {s for (r, _), (_p, s) in out.items() if r == 99} == {"popular"}
 
 
