@@ -456,3 +456,39 @@ def test_patterns_learned_from_seeds_find_what_the_base_misses(spark):
     out = {r.doc_id: r.text for r in redact(df).collect()}
     assert out[0] == "filler words mail me [EMAIL] today" and out[10] == "please mail me [ID] soon"
     assert out[11] == docs[6][1] and out[13] is None
+
+
+def spans_of(spark, docs):
+    from cartwise.llm.pii import KINDS, find_pii
+    rows = find_pii(spark.createDataFrame(docs, ODD), keep=["doc_id"]).collect()
+    return {r.doc_id: [(s.start, KINDS[s.k], s.stop) for s in r.spans] for r in rows}
+
+
+def test_whole_spans_without_digits_or_with_spaces_are_seeds(spark):
+    # emails without a digit, and words without one behind their pattern
+    docs = [(i, f"you can reach me at {n}@corp.com, thanks") for i, n in enumerate(["ann.lee", "bob", "cy", "dee", "eve"])]
+    docs += [(10, "or reach me at  (skype:ann-lee) now"), (11, "meet me there"), (12, "at me at")]
+    # spaced phones: five distinct ones; a copy adds nothing
+    docs += [(20 + i, f"é😀 call my desk +1 (743) 555-38{i}4 any time") for i in range(5)]
+    docs += [(30, "call  My desk x77-12, ok"), (31, "(743) 555-3 thing 8")]
+    # a seed that follows a word directly
+    docs += [(40 + i, f"now send to:z{n}@corp.com") for i, n in enumerate("abcde")] + [(50, "send to: handle")]
+    # found words lead to the other patterns they stand behind, and those to more words
+    docs += [(200 + i, f"mail them at {chr(97 + i % 26) * (1 + i // 26)}@corp.com today") for i in range(100)]
+    words = ["qq", "rr", "ss", "tt", "vv", "ww", "xx", "yy", "zz"]
+    docs += [(60 + i, f"mail them at {w} today") for i, w in enumerate(words)]
+    docs += [(80 + i, f"my nick is {w} ok") for i, w in enumerate(words + ["uu"])]
+    # three spaced phones in one place only are too few among words
+    docs += [(100 + i, f"this is the +1 (743) 555-99{i}4") for i in range(3)] + [(110, "this is the end is the day is the sea")]
+    got = spans_of(spark, docs)
+    text = dict(docs)
+    found = {i: [text[i][a:b] for a, k, b in s if k == "id"] for i, s in got.items()}
+    want = {10: ["skype:ann-lee"], 30: ["x77-12"], 50: ["handle"], 89: ["uu"],
+            **{60 + i: [w] for i, w in enumerate(words)}, **{80 + i: [w] for i, w in enumerate(words)}}
+    assert {i: f for i, f in found.items() if f} == want
+
+
+def test_a_pattern_too_wide_for_words_still_finds_tokens_with_a_digit(spark):
+    docs = [(i, f"write to {n}@corp.com") for i, n in enumerate("abcde")]
+    docs += [(10, "write to user7 now"), (11, "write to them"), (12, "write to us"), (13, "write to you")]
+    assert {i: s for i, s in spans_of(spark, docs).items() if i > 9} == {10: [(9, "id", 14)], 11: [], 12: [], 13: []}
