@@ -439,10 +439,6 @@ def q_smoothed_ctr(spark, sf_dir):
 MODEL_TRAIN_DAYS = ["2024-01-20", "2024-01-21", "2024-01-22", "2024-01-23", "2024-01-24", "2024-01-25"]
 
 
-#: Trees of the registered query; ``train_gbt`` itself allows 10,000.
-QUERY_TREES = 30
-
-
 def _factors(spark, sf_dir, asof):
     from cartwise.plans.factorize import fit_factors, interactions
     return fit_factors(interactions(_logs(spark, sf_dir).clicks, asof))
@@ -513,7 +509,7 @@ def _learned(spark, sf_dir, days, factors):
     if factors:
         rows = factor_features_days(rows, lg.clicks, days)
         cand = factor_features_days(cand.withColumn("asof", F.lit(to_day(TEST_ASOF))), lg.clicks, [TEST_ASOF]).drop("asof")
-    model, _ = train_gbt(rows, max_iter=QUERY_TREES)
+    model, _ = train_gbt(rows)
     model = load_pipeline(save_model(model, scratch_path(spark, "gbt-model")))
     return e, score(model, cand)
 

@@ -25,6 +25,8 @@ from cartwise.session import materialize
 NON_FEATURES = ("role_id", "item_id", "label", "asof", "is_val", "score", "position", "dt")
 #: Trees at most, as many as the original allows; the hold-out loss ends the fit before.
 GBT_MAX_ITER = 10_000
+#: Rounds without a gain of the hold-out loss that end the fit, as in the original.
+GBT_PATIENCE = 20
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
 
 
@@ -105,14 +107,48 @@ def with_item_onehot(rows: DataFrame, onehot: DataFrame) -> DataFrame:
     return rows.join(bounded_broadcast(side, side.count()), "item_id", "left")
 
 
-def train_gbt(rows: DataFrame, features: list[str] | None = None, **kw) -> tuple[PipelineModel, list[str]]:
+def best_trees(losses: list[float], patience: int) -> tuple[int, bool]:
+    """(trees up to the lowest hold-out loss, whether ``patience`` rounds without a gain
+    ended the fit); losses after that end do not count."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def train_gbt(rows: DataFrame, features: list[str] | None = None, max_iter: int = GBT_MAX_ITER,
+              patience: int = GBT_PATIENCE, first: int = 64, **kw) -> tuple[PipelineModel, list[str]]:
     """Fit on labelled rows; the input is written once first so the many passes of
     boosting neither recompute nor depend on the feature lineage. Numeric columns
-    and an ``item_id_vec`` one-hot, when present, are the inputs."""
+    and an ``item_id_vec`` one-hot, when present, are the inputs.
+
+    Spark stops at the first tree without a gain, so the fit runs without its rule:
+    ``first`` trees, then twice as many, until ``patience`` rounds bring no gain of the
+    hold-out loss or ``max_iter`` is reached. A fit of the same seed and rows starts with
+    the same trees, so the last fit has as many as had the lowest loss."""
     features = features or feature_columns(rows) + (["item_id_vec"] if "item_id_vec" in rows.columns else [])
     data = holdout_split(rows).select(*features, "label", "is_val")
-    data = data.withColumn("label", F.col("label").cast("double"))
-    return gbt_pipeline(features, **kw).fit(materialize(data)), features
+    data = materialize(data.withColumn("label", F.col("label").cast("double")))
+    train, held = data.where("NOT is_val"), data.where("is_val")
+    trees = min(first, max_iter)
+    while True:
+        pipe = gbt_pipeline(features, max_iter=trees, **kw)
+        pipe.getStages()[-1].clear(pipe.getStages()[-1].validationIndicatorCol)
+        model = pipe.fit(train)
+        if held.isEmpty():
+            best, done = trees, False
+        else:
+            best, done = best_trees(model.stages[-1].evaluateEachIteration(model.stages[0].transform(held)), patience)
+        if done or trees == max_iter:
+            break
+        trees = min(2 * trees, max_iter)
+    if best < trees:
+        pipe.getStages()[-1].setMaxIter(best)
+        model = pipe.fit(train)
+    return model, features
 
 
 def tree_count(model: PipelineModel) -> int:
