@@ -104,6 +104,45 @@ def op10_pii(spark, sf_dir):
                        span_text("spans").alias("spans"))
 
 
+def op12_quality_rules(spark, sf_dir):
+    """The base counts and verdict of the contract, and whether the text passes every rule of the table."""
+    from cartwise.llm.quality_rules import judge
+    rows = judge(table(spark, sf_dir, "documents").select("doc_id", "text"), out="r")
+    counts = [F.col(f"r.counts.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return rows.select("doc_id", *counts, "r.base_failed", (F.size("r.failed") == 0).alias("kept"))
+
+
+def with_planted_periods(docs):
+    """The texts of the contract: where crc32(doc_id) is a multiple of ten, the words from
+    place ``a`` on repeat the ``p`` words that begin there."""
+    spaces = r"\t\n\u000B\u000C\r "
+    words = rf"split(btrim(text, '{spaces}'), '[\\x20\\x09-\\x0D]+')"
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", h.alias("h"))
+    d = d.withColumn("w", F.expr(f"CASE WHEN h % 10 = 0 AND btrim(text, '{spaces}') <> '' THEN {words} END"))
+    d = d.withColumns({"g": F.expr("h div 10"), "n": F.size("w")}).withColumn("a", F.expr("g % n"))
+    d = d.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    return d.select("doc_id", F.expr("""CASE WHEN w IS NULL THEN text ELSE array_join(transform(
+        sequence(0, n - 1), i -> w[CAST(IF(i < a, i, a + (i - a) % p) AS INT)]), ' ') END""").alias("text"))
+
+
+#: The run of greatest length / period, compared exactly; the runs come by start, then period.
+_BEST_RUN = """aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>),
+    (a, r) -> CASE WHEN a IS NULL OR r.length * a.period > a.length * r.period THEN r ELSE a END)"""
+_RUN_LINES = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+
+
+def op13_periodic_runs(spark, sf_dir):
+    from cartwise.llm.periodic_runs import periodic_runs
+    rows = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    rows = rows.withColumn("best", F.expr(_BEST_RUN))
+    return rows.select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"),
+                       "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       F.sha2(F.expr(_RUN_LINES), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -121,6 +160,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Word windows of 13 joined by a space, against the smallest id that holds the same words.
@@ -180,7 +221,46 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> m THEN m END AS refers_to
 FROM q"""
 
+#: Counts as the rules of ``quality_rules.RULES`` take them; ratios compared in integers.
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+           FROM documents),
+     win AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s
+             FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+     rep AS (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1),
+     cov AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM win JOIN rep USING (r, s))
+             GROUP BY r),
+     c AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                  length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+                  length(t) - length(translate(t, '0123456789', '')) AS n_digits,
+                  len(list_filter(w, lambda x: list_contains(STOPS, x))) AS n_stop_words,
+                  len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                  len(list_filter(ls, lambda l: l[1:2] IN ('- ', '* ') OR l[1] = chr(8226))) AS n_bullet_lines,
+                  len(list_filter(ls, lambda l: suffix(l, '...') OR suffix(l, chr(8230)))) AS n_ellipsis_lines,
+                  coalesce(n, 0) AS n_repeat_words
+           FROM d LEFT JOIN cov USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words
+            OR word_chars * 1000 < 1500 * n_words OR word_chars * 1000 > 15000 * n_words
+            OR n_symbols * 1000 > 100 * n_words OR n_digits * 1000 > 300 * word_chars
+            OR n_stop_words * 1000 < 20 * n_words OR n_dup_lines * 1000 > 400 * n_lines
+            OR n_bullet_lines * 1000 > 900 * n_lines OR n_ellipsis_lines * 1000 > 300 * n_lines) AS kept
+FROM c"""
+
+
+def _op12_sql() -> str:
+    from cartwise.llm.quality_rules import STOP_WORDS
+    stops = ", ".join(f"'{x}'" for w in STOP_WORDS for x in (w, w.capitalize()))
+    return _OP12_SQL.replace("STOPS", f"[{stops}]")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_quality_rules": _op12_sql(),
     "op6_url_filter": _OP6_SQL,
     "op1_substring_dedup": _OP1_SQL,
     "op7_chat_format": _OP7_SQL,
