@@ -104,6 +104,12 @@ def op10_pii(spark, sf_dir):
                        span_text("spans").alias("spans"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    from cartwise.llm.ranked_search import ranked_search
+    found = ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op12_quality_rules(spark, sf_dir):
     """The base counts and verdict of the contract, and whether the text passes every rule of the table."""
     from cartwise.llm.quality_rules import judge
@@ -160,6 +166,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_pii": op10_pii,
+    "op11_ranked_search": op11_ranked_search,
     "op12_quality_rules": op12_quality_rules,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -221,6 +228,28 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> m THEN m END AS refers_to
 FROM q"""
 
+#: Every (item, document) pair that shares a term, scored.
+_OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+     n AS (SELECT r, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+     g AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM n),
+     b AS (SELECT row_number() OVER () AS k, item_id, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+     q AS (SELECT k, item_id, term, count(*) AS c FROM (SELECT k, item_id, unnest(t) AS term FROM b) GROUP BY ALL),
+     f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+           WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+     w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM f, g GROUP BY term, nn),
+     s AS (SELECT k, item_id, r, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll))))
+                  AS BIGINT) AS score
+           FROM q JOIN w USING (term) JOIN f USING (term) JOIN n USING (r), g GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10"""
+
 #: Counts as the rules of ``quality_rules.RULES`` take them; ratios compared in integers.
 _OP12_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t,
@@ -260,6 +289,7 @@ def _op12_sql() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_ranked_search": _OP11_SQL,
     "op12_quality_rules": _op12_sql(),
     "op6_url_filter": _OP6_SQL,
     "op1_substring_dedup": _OP1_SQL,
