@@ -499,9 +499,10 @@ def _learned(spark, sf_dir, days, factors):
     both sides carry the factorisation columns of their own as-of day."""
     from cartwise.functions.dates import to_day
     from cartwise.plans.factorize import factor_features_days
+    from cartwise.plans import boosting
     from cartwise.plans.models import score, train_gbt
     from cartwise.plans.training import Features, training_rows_from
-    from cartwise.sources.files import load_pipeline, save_model, scratch_path
+    from cartwise.sources.files import scratch_path
     lg = _logs(spark, sf_dir).written()
     feats = Features(lg, days + [TEST_ASOF])
     e = _evaluation(spark, sf_dir, TEST_ASOF, logs=lg, features=feats)
@@ -510,7 +511,7 @@ def _learned(spark, sf_dir, days, factors):
         rows = factor_features_days(rows, lg.clicks, days)
         cand = factor_features_days(cand.withColumn("asof", F.lit(to_day(TEST_ASOF))), lg.clicks, [TEST_ASOF]).drop("asof")
     model, _ = train_gbt(rows)
-    model = load_pipeline(save_model(model, scratch_path(spark, "gbt-model")))
+    model = boosting.load(spark, boosting.save(model, spark, scratch_path(spark, "gbt-model")))
     return e, score(model, cand)
 
 

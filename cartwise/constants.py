@@ -73,8 +73,12 @@ MF_EPOCHS = 10
 MF_BAND_DAYS = 7
 GBT_STEP = 0.02
 GBT_DEPTH = 4
-GBT_FEATURE_FRACTION = "0.4"
+GBT_LEAVES = 15
+GBT_FEATURE_FRACTION = 0.4
 GBT_SUBSAMPLE = 0.6
+GBT_BAG_ROUNDS = 17
+GBT_ROUNDS = 10_000
+GBT_PATIENCE = 20
 HOLDOUT_FRACTION = 0.2
 HOLDOUT_SEED = 21
 

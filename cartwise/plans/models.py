@@ -1,32 +1,28 @@
 """Learned scores: boosted trees, factorisation machine, one-hot encodings
 (M8-M11, P13, P15).
 
-The original trains a single-machine leaf-wise GBDT and a single-machine FM;
-here ``GBTClassifier`` and ``FMClassifier`` train data-parallel. Scores differ
-by learner; the ranking metric (hit@k / revenue@k) is the comparable output.
+The original trains a single-machine leaf-wise GBDT and a single-machine FM; here the
+trees are fitted by ``boosting`` from distributed histograms and ``FMClassifier`` trains
+data-parallel. The ranking metric (hit@k / revenue@k) is the comparable output.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier, GBTClassifier
+from pyspark.ml.classification import FMClassifier
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.constants import (GBT_DEPTH, GBT_FEATURE_FRACTION, GBT_STEP, GBT_SUBSAMPLE, HOLDOUT_FRACTION,
-                                HOLDOUT_SEED, MF_RANK)
-from cartwise.operators.joins import bounded_broadcast
+from cartwise.constants import HOLDOUT_FRACTION, HOLDOUT_SEED, MF_RANK
 from cartwise.operators.ranking import dense_index
+from cartwise.plans import boosting
+from cartwise.plans.boosting import Boosted
 from cartwise.session import materialize
 
 NON_FEATURES = ("role_id", "item_id", "label", "asof", "is_val", "score", "position", "dt")
-#: Trees at most, as many as the original allows; the hold-out loss ends the fit before.
-GBT_MAX_ITER = 10_000
-#: Rounds without a gain of the hold-out loss that end the fit, as in the original.
-GBT_PATIENCE = 20
+HOLDOUT_KEYS = ("role_id", "item_id", "asof")
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
 
 
@@ -36,7 +32,7 @@ def feature_columns(df: DataFrame, exclude=NON_FEATURES) -> list[str]:
 
 
 def holdout_split(df: DataFrame, fraction: float = HOLDOUT_FRACTION, seed: int = HOLDOUT_SEED,
-                  keys=("role_id", "item_id", "asof"), out: str = "is_val") -> DataFrame:
+                  keys=HOLDOUT_KEYS, out: str = "is_val") -> DataFrame:
     """Flag a seeded ``fraction`` of rows as validation (M9). The flag hashes the
     row keys, so it does not depend on partitioning or on re-execution."""
     cols = [F.col(k) for k in keys if k in df.columns]
@@ -86,86 +82,35 @@ def vectorize(df: DataFrame, categorical, numeric, out: str = "features", hash_d
     return asm.transform(hot).drop(*parts)
 
 
-def gbt_pipeline(features: list[str], max_iter: int = GBT_MAX_ITER, seed: int = 17,
-                 validation_tol: float = 0.0) -> Pipeline:
-    """Assembler + boosted trees (M8): up to ``max_iter`` trees, fewer only once the
-    hold-out loss no longer falls at all (``validation_tol`` 0)."""
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", lossType="logistic", maxDepth=GBT_DEPTH,
-                        stepSize=GBT_STEP, subsamplingRate=GBT_SUBSAMPLE,
-                        featureSubsetStrategy=GBT_FEATURE_FRACTION, maxIter=max_iter, seed=seed,
-                        validationIndicatorCol="is_val", validationTol=validation_tol)
-    return Pipeline(stages=[asm, gbt])
-
-
-def with_item_onehot(rows: DataFrame, onehot: DataFrame) -> DataFrame:
-    """Attach the catalog-fitted item one-hot (``item_id_vec``) as a model input,
-    as the original's item features do (P13); the catalog-sized one-hot table is
-    broadcast only under the counted bound. Trees keep a dense bin array per row, so
-    with a large catalog train them on the item features instead."""
-    side = onehot.select("item_id", "item_id_vec")
-    return rows.join(bounded_broadcast(side, side.count()), "item_id", "left")
-
-
-def best_trees(losses: list[float], patience: int) -> tuple[int, bool]:
-    """(trees up to the lowest hold-out loss, whether ``patience`` rounds without a gain
-    ended the fit); losses after that end do not count."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def train_gbt(rows: DataFrame, features: list[str] | None = None, max_iter: int = GBT_MAX_ITER,
-              patience: int = GBT_PATIENCE, first: int = 64, **kw) -> tuple[PipelineModel, list[str]]:
-    """Fit on labelled rows; the input is written once first so the many passes of
-    boosting neither recompute nor depend on the feature lineage. Numeric columns
-    and an ``item_id_vec`` one-hot, when present, are the inputs.
-
-    Spark stops at the first tree without a gain, so the fit runs without its rule:
-    ``first`` trees, then twice as many, until ``patience`` rounds bring no gain of the
-    hold-out loss or ``max_iter`` is reached. A fit of the same seed and rows starts with
-    the same trees, so the last fit has as many as had the lowest loss."""
-    features = features or feature_columns(rows) + (["item_id_vec"] if "item_id_vec" in rows.columns else [])
-    data = holdout_split(rows).select(*features, "label", "is_val")
-    data = materialize(data.withColumn("label", F.col("label").cast("double")))
-    train, held = data.where("NOT is_val"), data.where("is_val")
-    trees = min(first, max_iter)
-    while True:
-        pipe = gbt_pipeline(features, max_iter=trees, **kw)
-        pipe.getStages()[-1].clear(pipe.getStages()[-1].validationIndicatorCol)
-        model = pipe.fit(train)
-        if held.isEmpty():
-            best, done = trees, False
-        else:
-            best, done = best_trees(model.stages[-1].evaluateEachIteration(model.stages[0].transform(held)), patience)
-        if done or trees == max_iter:
-            break
-        trees = min(2 * trees, max_iter)
-    if best < trees:
-        pipe.getStages()[-1].setMaxIter(best)
-        model = pipe.fit(train)
-    return model, features
-
-
-def tree_count(model: PipelineModel) -> int:
+def train_gbt(rows: DataFrame, features: list[str] | None = None, **options) -> tuple[Boosted, list[str]]:
+    """Boosted trees on labelled rows (M8): ``boosting.fit`` over the numeric columns,
+    with the seeded hold-out of ``holdout_split``. The input is written once, so the
+    rounds neither recompute nor depend on the feature lineage."""
+    features = features or feature_columns(rows)
+    keys = [k for k in HOLDOUT_KEYS if k in rows.columns]
+    data = holdout_split(rows, keys=keys).select(*features, "label", "is_val", F.xxhash64(*keys).alias("_row_key"))
+    return boosting.fit(materialize(data), features, F.col("_row_key"), F.col("is_val"), **options), features
+
+
+def tree_count(model: Boosted) -> int:
     """Trees that the fit kept."""
-    return model.stages[-1].getNumTrees
+    return model.best_round
+
+
+def holdout_losses(model: Boosted) -> list[float]:
+    """Hold-out loss after 0 (the constant base rate), 1, 2, ... trees."""
+    return model.losses
 
 
-def holdout_losses(model: PipelineModel, rows: DataFrame) -> list[float]:
-    """Hold-out loss after each tree (``rows`` labelled as for ``train_gbt``)."""
-    held = holdout_split(rows).where("is_val").withColumn("label", F.col("label").cast("double"))
-    return model.stages[-1].evaluateEachIteration(model.stages[0].transform(held))
+def fit_report(spark: SparkSession, model: Boosted) -> DataFrame:
+    """(rounds, best_round, holdout_loss, constant_loss) of a fit."""
+    return spark.createDataFrame([(model.fitted, model.best_round, model.losses[model.best_round], model.losses[0])],
+                                 "rounds bigint, best_round bigint, holdout_loss double, constant_loss double")
 
 
-def score(model: PipelineModel, rows: DataFrame, out: str = "score") -> DataFrame:
+def score(model: Boosted, rows: DataFrame, out: str = "score") -> DataFrame:
     """Positive-class probability."""
-    return (model.transform(rows).withColumn(out, vector_to_array("probability")[1])
-            .drop("features", "rawPrediction", "probability", "prediction"))
+    return boosting.score(model, rows, out)
 
 
 def fm_classify(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), factor_size: int = MF_RANK,
