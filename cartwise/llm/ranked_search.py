@@ -131,8 +131,9 @@ def _blocks(batches):
                 continue
             if len(known) > KNOWN_TERMS:
                 known.clear()
-            for term in terms.keys() - known.keys():
-                known[term] = xxhash.xxh64_intdigest(term)
+            for term in terms:
+                if term not in known:
+                    known[term] = xxhash.xxh64_intdigest(term)
             hashes = np.fromiter(map(known.__getitem__, terms), np.uint64, len(terms))
             counts = np.fromiter(terms.values(), np.int64, len(terms))
             entries = int(np.searchsorted(LEVELS, counts, "right").sum())
