@@ -20,6 +20,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwise.constants import ITEM_RATE_PRIOR
 from cartwise.session import ensure_checkpoint_dir
 
 try:  # the training-data operators; the rest works without them
@@ -284,6 +285,15 @@ def _evaluation(spark, sf_dir, asof=TEST_ASOF, logs=None, features=None):
                 purchases=day_purchases(lg.buys, lg.active_roles, asof))
 
 
+def _evaluated(e, scored, seen=lambda df: df):
+    """hit@k and revenue@k of ``scored`` from lists of the largest k; ``seen`` maps the tables' items."""
+    from cartwise.constants import HIT_KS
+    from cartwise.plans.recommend import hit_revenue_from_top, recommend_list
+    ranked = recommend_list(scored, e["top"], e["bought"], limit=max(HIT_KS))
+    return hit_revenue_from_top(seen(ranked), seen(e["purchases"]), seen(e["logs"].catalog), seen(e["top"]),
+                                seen(e["bought"]))
+
+
 def q_candidate_grid(spark, sf_dir):
     return _evaluation(spark, sf_dir)["grid"]
 
@@ -319,9 +329,8 @@ def q_default_filled_rank(spark, sf_dir):
 
 
 def q_hit_revenue_at_k(spark, sf_dir):
-    from cartwise.plans.recommend import hit_revenue_at_k, recommend_list
     e = _evaluation(spark, sf_dir)
-    out = hit_revenue_at_k(recommend_list(e["scored"], e["top"], e["bought"]), e["purchases"])
+    out = _evaluated(e, e["scored"])
     return out.select(*[F.round(c, 2).alias(c) if c.startswith("revenue_") else F.col(c) for c in out.columns])
 
 
@@ -501,15 +510,20 @@ def _learned(spark, sf_dir, days, factors):
     from cartwise.plans.factorize import factor_features_days
     from cartwise.plans import boosting
     from cartwise.plans.models import score, train_gbt
+    from cartwise.plans.target_rate import item_rates, with_item_rate
     from cartwise.plans.training import Features, training_rows_from
+    from cartwise.session import materialize
     from cartwise.sources.files import scratch_path
     lg = _logs(spark, sf_dir).written()
     feats = Features(lg, days + [TEST_ASOF])
     e = _evaluation(spark, sf_dir, TEST_ASOF, logs=lg, features=feats)
     rows, cand = training_rows_from(feats, lg.buys, days), e["cand"]
+    rows, cand = materialize(rows), cand.withColumn("asof", F.lit(to_day(TEST_ASOF)))
+    rates = materialize(item_rates(rows, lg.catalog_table(), [TEST_ASOF]))
+    rows, cand = with_item_rate(rows, rates), with_item_rate(cand, rates)
     if factors:
-        rows = factor_features_days(rows, lg.clicks, days)
-        cand = factor_features_days(cand.withColumn("asof", F.lit(to_day(TEST_ASOF))), lg.clicks, [TEST_ASOF]).drop("asof")
+        rows, cand = factor_features_days(rows, lg.clicks, days), factor_features_days(cand, lg.clicks, [TEST_ASOF])
+    cand = cand.drop("asof")
     model, _ = train_gbt(rows)
     model = boosting.load(spark, boosting.save(model, spark, scratch_path(spark, "gbt-model")))
     return e, score(model, cand)
@@ -525,9 +539,8 @@ def q_gbt_score(spark, sf_dir):
 def q_gbt_hit_revenue_at_k(spark, sf_dir):
     """The main path whole: features and factorisation columns, boosted trees, ranked
     list, hit@k and revenue@k of the test day."""
-    from cartwise.plans.recommend import hit_revenue_at_k, recommend_list
     e, scored = _learned(spark, sf_dir, SEVERAL_DAYS, True)
-    return hit_revenue_at_k(recommend_list(scored, e["top"], e["bought"]), e["purchases"])
+    return _evaluated(e, scored)
 
 
 def q_test_rows_mf(spark, sf_dir):
@@ -604,6 +617,22 @@ def q_training_rows_days(spark, sf_dir):
     return training_rows(_logs(spark, sf_dir), SEVERAL_DAYS)
 
 
+def q_training_rows_rate(spark, sf_dir):
+    """Q10 rows of several days with the item's rate on strictly earlier as-of days."""
+    from cartwise.plans.target_rate import item_rates, with_item_rate
+    from cartwise.session import materialize
+    rows = materialize(q_training_rows_days(spark, sf_dir))
+    return with_item_rate(rows, item_rates(rows))
+
+
+def q_item_rate_test_day(spark, sf_dir):
+    """The same rate of every catalog item for the test day, from all training days."""
+    from cartwise.functions.dates import to_day
+    from cartwise.plans.target_rate import item_rates
+    rates = item_rates(q_training_rows_days(spark, sf_dir), _data(spark, sf_dir).catalog(), [TEST_ASOF])
+    return rates.where(F.col("asof") == F.lit(to_day(TEST_ASOF)))
+
+
 def q_scan_indexed_csv(spark, sf_dir):
     """The exploded clicks saved as CSV with a row index, read back without it."""
     from cartwise.operators.daily import clicked_items
@@ -666,10 +695,8 @@ def q_interaction_weight_solo(spark, sf_dir):
 
 def q_hit_revenue_skipped(spark, sf_dir):
     """List and purchases of shifted ids, some purchases blacklisted."""
-    from cartwise.plans.recommend import hit_revenue_at_k, recommend_list
     e = _evaluation(spark, sf_dir)
-    shifted = lambda df: df.withColumn("item_id", F.col("item_id") + ITEM_SHIFT)
-    out = hit_revenue_at_k(shifted(recommend_list(e["scored"], e["top"], e["bought"])), shifted(e["purchases"]))
+    out = _evaluated(e, e["scored"], lambda df: df.withColumn("item_id", F.col("item_id") + ITEM_SHIFT))
     return out.select(*[F.round(c, 2).alias(c) if c.startswith("revenue_") else F.col(c) for c in out.columns])
 
 
@@ -761,6 +788,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_sidecar_schema": q_scan_sidecar_schema,
     "split_by_day": q_split_by_day,
     "training_rows_days": q_training_rows_days,
+    "training_rows_rate": q_training_rows_rate,
+    "item_rate_test_day": q_item_rate_test_day,
     "scan_indexed_csv": q_scan_indexed_csv,
     "scan_catalog": q_scan_catalog,
     "gbt_hit_revenue_at_k": q_gbt_hit_revenue_at_k,
@@ -1173,6 +1202,9 @@ FROM s"""
 
 RI_TEST = _ri_ctes(TEST, "DATE '2024-01-01'")
 
+_DAYS_SQL = " UNION ALL ".join(
+    f"SELECT * FROM ({_with(*_pair_ctes(f"DATE '{d}'"))}SELECT * FROM trn)" for d in SEVERAL_DAYS)
+
 _SQL: dict[str, str] = {
     "role_item_features": _with(*RI_TEST) + "SELECT * FROM ri",
     "guarded_ctr": _with(*RI_TEST) + """
@@ -1294,8 +1326,21 @@ FROM active a JOIN customer ON c_custkey = a.role_id""",
     "split_by_day": _with() + """
 SELECT a.dt, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(a.role_id) AS BIGINT) AS role_sum
 FROM active a JOIN customer ON c_custkey = a.role_id GROUP BY a.dt""",
-    "training_rows_days": " UNION ALL ".join(
-        f"SELECT * FROM ({_with(*_pair_ctes(f"DATE '{d}'"))}SELECT * FROM trn)" for d in SEVERAL_DAYS),
+    "training_rows_days": _DAYS_SQL,
+    "training_rows_rate": f"""
+WITH t AS ({_DAYS_SQL}), c AS (SELECT "asof", item_id, count(*) AS n, sum(label) AS p FROM t GROUP BY ALL),
+     g AS (SELECT a."asof", sum(b.n) AS n, sum(b.p) AS p FROM (SELECT DISTINCT "asof" FROM c) a JOIN c b ON b."asof" < a."asof" GROUP BY a."asof"),
+     o AS (SELECT a."asof", a.item_id, coalesce(sum(b.n), 0) AS n, coalesce(sum(b.p), 0) AS p
+           FROM c a LEFT JOIN c b ON b."asof" < a."asof" AND b.item_id = a.item_id GROUP BY ALL)
+SELECT t.*, coalesce((CAST(o.p AS DOUBLE) + {ITEM_RATE_PRIOR}.0 * (CAST(g.p AS DOUBLE) / CAST(g.n AS DOUBLE)))
+                     / (CAST(o.n AS DOUBLE) + {ITEM_RATE_PRIOR}.0), 0.0) AS item_rate
+FROM t JOIN o USING ("asof", item_id) LEFT JOIN g USING ("asof")""",
+    "item_rate_test_day": f"""
+WITH t AS ({_DAYS_SQL}), g AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(label) AS DOUBLE) AS p FROM t),
+     k AS ({_with()}SELECT item_id FROM catalog)
+SELECT {TEST} AS asof, k.item_id, (CAST(coalesce(sum(label), 0) AS DOUBLE) + {ITEM_RATE_PRIOR}.0 * (max(g.p) / max(g.n)))
+       / (CAST(count(t.item_id) AS DOUBLE) + {ITEM_RATE_PRIOR}.0) AS item_rate
+FROM k CROSS JOIN g LEFT JOIN t USING (item_id) GROUP BY k.item_id""",
     "scan_indexed_csv": _with() + "SELECT role_id, item_id, dt, cnt FROM clog",
     "scan_catalog": _with() + "SELECT item_id FROM catalog",
     "test_rows_unseen": _with(*P_TEST, *_mf_ctes(TEST)) + """

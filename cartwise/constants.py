@@ -79,6 +79,7 @@ GBT_SUBSAMPLE = 0.6
 GBT_BAG_ROUNDS = 17
 GBT_ROUNDS = 10_000
 GBT_PATIENCE = 20
+ITEM_RATE_PRIOR = 10
 HOLDOUT_FRACTION = 0.2
 HOLDOUT_SEED = 21
 

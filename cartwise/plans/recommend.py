@@ -59,19 +59,28 @@ def candidate_prune(grid: DataFrame, top: DataFrame, bought: DataFrame) -> DataF
             .join(bought, PAIR, "left_anti"))
 
 
-def recommend_list(scored: DataFrame, top: DataFrame, bought: DataFrame) -> DataFrame:
-    """(role_id, item_id, score, position): top sellers first, then the pruned
-    candidates by score desc, item asc; zero-based positions (U3, W4, T3)."""
-    # ``top`` is the bounded top-n list: its unpartitioned window and broadcast cover n rows
-    seller = top.select("item_id", F.row_number().over(
+def sellers_ranked(top: DataFrame) -> DataFrame:
+    """(item_id, _seller_rank) of the bounded top-n list: its unpartitioned window covers n rows."""
+    return top.select("item_id", F.row_number().over(
         Window.orderBy(F.col("buy_num").desc(), F.col("item_id").asc())).alias("_seller_rank"))
-    flagged = (scored.join(F.broadcast(seller), "item_id", "left")
+
+
+def recommend_list(scored: DataFrame, top: DataFrame, bought: DataFrame, limit: int | None = None) -> DataFrame:
+    """(role_id, item_id, score, position): top sellers first, then the pruned
+    candidates by score desc, item asc; zero-based positions (U3, W4, T3).
+
+    With ``limit`` only the first positions of each role: the limit then runs inside
+    every task before the shuffle (a group limit), so no role's whole catalog is sorted.
+    """
+    flagged = (scored.join(F.broadcast(sellers_ranked(top)), "item_id", "left")
                .join(bought.withColumn("_bought", F.lit(1)), PAIR, "left"))
     kept = flagged.where(F.col("_seller_rank").isNotNull() | F.col("_bought").isNull())
     w = Window.partitionBy("role_id").orderBy(F.col("_seller_rank").asc_nulls_last(), F.col("score").desc(),
                                               F.col("item_id").asc())
-    return kept.select("role_id", "item_id", "score",
-                       (F.row_number().over(w) - 1).cast("bigint").alias("position"))
+    rows = kept.select("role_id", "item_id", "score", F.row_number().over(w).alias("_place"))
+    if limit is not None:
+        rows = rows.where(F.col("_place") <= limit)
+    return rows.select("role_id", "item_id", "score", (F.col("_place") - 1).cast("bigint").alias("position"))
 
 
 def default_filled_rank(grid: DataFrame, scored_pairs: DataFrame, default: float = DEFAULT_FILL_SCORE) -> DataFrame:
@@ -88,26 +97,45 @@ def day_purchases(buy_log: DataFrame, active_roles: DataFrame, asof) -> DataFram
     return restrict(on_day(buy_log, asof), roles_on(active_roles, shift(asof, -1)))
 
 
-def hit_revenue_at_k(ranked: DataFrame, purchases: DataFrame, ks=HIT_KS,
-                     blacklist=RANK_BLACKLIST) -> DataFrame:
-    """hit@k and revenue@k over a day's purchases.
-
-    ``total`` counts purchases found in the role's list; purchases of
-    blacklisted items are ``skipped``; purchases pruned from the list are
-    ``missed`` and count in neither.
-    """
-    p = purchases.select("role_id", "item_id", "price")
-    j = p.join(ranked.select(*PAIR, "position"), PAIR, "left")
-    skip = F.col("item_id").isin(list(blacklist))
-    found = (~skip) & F.col("position").isNotNull()
+def _report(j: DataFrame, found, missed, skip, ks) -> DataFrame:
+    """hit@k, revenue@k and the counts of the purchases ``j`` (position, price)."""
     aggs = []
     for k in ks:
         hit = found & (F.col("position") < k)
         aggs.append(F.sum(F.when(hit, 1).otherwise(0)).cast("bigint").alias(f"hit_{k}"))
         aggs.append(F.sum(F.when(hit, F.col("price")).otherwise(0.0)).alias(f"revenue_{k}"))
-    aggs += [F.sum(F.when(found, 1).otherwise(0)).cast("bigint").alias("total"),
-             F.sum(F.when((~skip) & F.col("position").isNull(), 1).otherwise(0)).cast("bigint").alias("missed"),
-             F.sum(F.when(skip, 1).otherwise(0)).cast("bigint").alias("skipped")]
+    aggs += [F.sum(F.when(c, 1).otherwise(0)).cast("bigint").alias(n)
+             for n, c in (("total", found), ("missed", missed), ("skipped", skip))]
     out = j.agg(*aggs)
     return out.withColumns({f"hit_rate_{k}": F.try_divide(F.col(f"hit_{k}") * 100.0, F.col("total"))
                             for k in ks})
+
+
+def hit_revenue_at_k(ranked: DataFrame, purchases: DataFrame, ks=HIT_KS,
+                     blacklist=RANK_BLACKLIST) -> DataFrame:
+    """hit@k and revenue@k over a day's purchases (A16, R20, R21), from whole lists.
+
+    ``total`` counts purchases found in the role's list; purchases of
+    blacklisted items are ``skipped``; purchases pruned from the list are
+    ``missed`` and count in neither.
+    """
+    j = purchases.select("role_id", "item_id", "price").join(ranked.select(*PAIR, "position"), PAIR, "left")
+    skip = F.col("item_id").isin(list(blacklist))
+    return _report(j, (~skip) & F.col("position").isNotNull(), (~skip) & F.col("position").isNull(), skip, ks)
+
+
+def hit_revenue_from_top(ranked: DataFrame, purchases: DataFrame, catalog: DataFrame, top: DataFrame,
+                         bought: DataFrame, ks=HIT_KS, blacklist=RANK_BLACKLIST) -> DataFrame:
+    """``hit_revenue_at_k`` from lists cut at the largest k (``recommend_list`` with
+    ``limit``). Whether a purchase is in the whole list is read from the sets that made it:
+    its item is a candidate, and it is a top seller or was not bought before. Only
+    purchases are joined, never the grid."""
+    mark = lambda df, name, keys: df.select(*keys).distinct().withColumn(name, F.lit(True))
+    j = (purchases.select("role_id", "item_id", "price")
+         .join(mark(catalog, "_candidate", ["item_id"]), "item_id", "left")
+         .join(F.broadcast(mark(top, "_seller", ["item_id"])), "item_id", "left")
+         .join(mark(bought, "_bought", PAIR), PAIR, "left")
+         .join(ranked.select(*PAIR, "position"), PAIR, "left"))
+    skip = F.col("item_id").isin(list(blacklist))
+    listed = F.col("_candidate").isNotNull() & (F.col("_seller").isNotNull() | F.col("_bought").isNull())
+    return _report(j, (~skip) & listed, (~skip) & ~listed, skip, ks)

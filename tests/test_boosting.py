@@ -117,3 +117,41 @@ def test_edges(spark):
     assert boosting.score(one, df).where("score > 0.01").count() == 0
     nothing, _ = train_gbt(df.withColumn("a", F.lit(None).cast("double")), features=["a"], rounds=2)
     assert all(t.leaf_count() == 1 for t in nothing.trees)
+
+
+def test_item_rate_sees_only_earlier_days(spark):
+    from cartwise.plans.target_rate import item_rates, with_item_rate
+    rng = np.random.default_rng(2)
+    rows = [(f"2024-01-{d:02d}", int(rng.integers(6)), int(rng.random() < 0.3)) for d in (3, 4, 6, 9) for _ in range(40)]
+    df = spark.createDataFrame(rows, "day string, item_id bigint, label bigint").withColumn("asof", F.col("day").cast("date"))
+    items = spark.createDataFrame([(i,) for i in range(8)], "item_id bigint")
+    got = {(str(r.asof), r.item_id): r.item_rate for r in item_rates(df, items, ["2024-01-10"]).collect()}
+
+    def plain(day, item):
+        past = [r for r in rows if r[0] < day]
+        if not past:
+            return 0.0
+        own = [r[2] for r in past if r[1] == item]
+        return (sum(own) + 10 * sum(r[2] for r in past) / len(past)) / (len(own) + 10)
+
+    want = {(d, i): plain(d, i) for d, i in {(r[0], r[1]) for r in rows} | {("2024-01-10", i) for i in range(8)}}
+    assert got == pytest.approx(want)
+    # other labels on a row's own day or later change nothing
+    turned = df.withColumn("label", F.expr("IF(day >= '2024-01-06', 1 - label, label)"))
+    again = {(str(r.asof), r.item_id): r.item_rate for r in item_rates(turned).collect()}
+    assert all(again[k] == pytest.approx(want[k]) for k in again if k[0] <= "2024-01-06")
+    out = with_item_rate(df, item_rates(df))
+    assert out.count() == len(rows) and out.where("item_rate IS NULL").count() == 0
+
+
+def test_evaluation_reads_lists_cut_before_the_shuffle(spark, sf_dir):
+    import __spark_entry__ as E
+    from cartwise.plans.recommend import hit_revenue_at_k, hit_revenue_from_top, recommend_list
+    e = E._evaluation(spark, sf_dir)
+    cut = recommend_list(e["scored"], e["top"], e["bought"], limit=25)
+    assert "WindowGroupLimit" in cut._jdf.queryExecution().executedPlan().toString()
+    whole = recommend_list(e["scored"], e["top"], e["bought"])
+    assert cut.count() == whole.where("position < 25").count()
+    a = hit_revenue_from_top(cut, e["purchases"], e["logs"].catalog, e["top"], e["bought"]).first()
+    b = hit_revenue_at_k(whole, e["purchases"]).first()
+    assert a.asDict() == pytest.approx(b.asDict())
