@@ -12,15 +12,20 @@ sqrt(M^2 - |x|^2) with M the largest norm (zero for queries).
 Equal vectors are one row of the index, with their k + 1 smallest ids (more can
 never be returned, since ties go to the smaller id), so a vector with a third of
 all rows costs one comparison per query. Neighbouring leaves share a cell of about
-``BLOCK_ROWS`` rows (a larger leaf is cut into several) and queries are dealt into
-blocks of about ``BLOCK_QUERIES``; a task compares one cell with one block, leaf by
-leaf for the queries that visit it, and returns k + 1 hits per query and cell.
-
-Defined results: vectors that are null, zero, of another length than the most
-frequent one (the smaller of two as frequent), or that hold null or non-finite
-components take no part, nor do null ids; of rows that repeat an id the smallest
-vector counts; fewer than k candidates give all of them; an empty table gives no
-rows; other columns are ignored.
+``BLOCK_ROWS`` rows (a larger leaf is cut into several). Queries are dealt in the order
+of their own leaf into blocks of about ``BLOCK_QUERIES``, so a block's queries visit much
+the same leaves, and a cell is sent only to the blocks that visit it. A task compares one
+cell with one block, leaf by leaf for the queries that visit it, and returns k + 1 hits
+per query and cell.
+
+Defined results: vectors that are null, zero or hold null or non-finite components take
+no part, nor do null ids. Every other row does: an id with several vectors is a query, and
+a candidate, with each of them (a candidate's id may then come up more than once, and an
+id's own other vectors are its candidates); rows equal in id and vector are one. An inner
+product needs equal lengths, so vectors of each length are searched among themselves. Very
+long vectors are rows of their length; fewer than k candidates give all of them; equal
+scores go to the smaller id; an empty table gives no rows; other columns are not read, so
+their names cannot clash.
 """
 
 from __future__ import annotations
@@ -33,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import record_batches, written
+from cartwise.llm.common import received, record_batches, sent, written
+from cartwise.operators.ranking import range_positions
 
 #: Distinct vectors the tree is fitted on, children per node, rows aimed at per leaf.
 FIT_ROWS = 20_000
@@ -163,12 +169,10 @@ def _best(rows: DataFrame, by: str, n: int, tie: str) -> DataFrame:
 
 
 def valid_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v): one finite non-zero vector of doubles per id, all of one length."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v")) \
+    """(id, v): the finite non-zero vectors of doubles, repeated rows once."""
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v")) \
         .where("id IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) "
-               "AND abs(x) < double('Infinity')) AND exists(v, x -> x <> 0)")
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("v") == (common[0]["d"] if common else 0)).groupBy("id").agg(F.min("v").alias("v"))
+               "AND abs(x) < double('Infinity')) AND exists(v, x -> x <> 0)").distinct()
 
 
 def _fraction(rows: DataFrame, n: int, most: int, seed: int) -> DataFrame:
@@ -178,15 +182,17 @@ def _fraction(rows: DataFrame, n: int, most: int, seed: int) -> DataFrame:
 
 
 class Index:
-    """Every vector in a leaf of the tree, and the calibrated number of visits."""
-
-    def __init__(self, df: DataFrame, id_col: str, vec_col: str, k: int, target: float = TARGET,
-                 fit_rows: int = FIT_ROWS, leaf_rows: int = LEAF_ROWS, probes: int = PROBES):
-        self.k = k
-        self.rows = written(valid_vectors(df, id_col, vec_col), "ann-rows")
-        least = Window.partitionBy("v").orderBy("id")
-        top = written(self.rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1), "ann-members")
-        distinct = top.where("n = 1").select(F.col("id").alias("key"), "v")
+    """Every vector (of one length) in a leaf of the tree, and the calibrated number of
+    visits. A distinct vector's key is its place by its smallest id, so ties by key are
+    ties by id."""
+
+    def __init__(self, rows: DataFrame, k: int, target: float = TARGET, fit_rows: int = FIT_ROWS,
+                 leaf_rows: int = LEAF_ROWS, probes: int = PROBES):
+        self.k, self.rows = k, rows
+        least = rows.groupBy("v").agg(F.min("id").alias("least"))
+        distinct = written(range_positions(least, [F.col("least").asc(), F.col("v").asc()], "key").select("key", "v"),
+                           "ann-vectors")
+        self.distinct = distinct
         facts = distinct.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"),
                              F.max(F.expr("aggregate(v, 0D, (s, x) -> s + x * x)")).alias("m")).first()
         self.n, self.dim = facts["n"], facts["d"] or 0
@@ -198,18 +204,21 @@ class Index:
             sample = np.array([distinct.first()["v"]], np.float64)
         tree = fit_tree(_lifted(sample, self.norm), max(8, int(leaf_rows * len(sample) / self.n)))
         self.leaves = tree.leaves
-        self.tree = df.sparkSession.sparkContext.broadcast(tree)
+        self.fitted, self.tree = tree, sent(rows.sparkSession, tree)
         self.leaf_rows = written(distinct.mapInArrow(self._assign(), "key bigint, v array<double>, leaf int"), "ann-index")
-        # the members of each distinct vector, by its smallest id
-        self.members = top.withColumn("key", F.min("id").over(Window.partitionBy("v"))).select("key", "id")
+        # the members of each distinct vector that can be returned; the limit also runs before the shuffle
+        first = Window.partitionBy("v").orderBy("id")
+        top = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select("id", "v")
+        self.members = written(top.join(distinct, "v").select("key", "id"), "ann-members")
         self.visits = self._calibrated(_fraction(distinct, self.n, probes, 2), target)
 
     def _assign(self):
-        tree, dim, norm = self.tree, self.dim, self.norm
+        tree_sent, dim, norm = self.tree, self.dim, self.norm
 
         def run(batches):
+            tree = received(tree_sent)
             for b in batches:
-                leaf = tree.value.leaf(_lifted(_matrix(b.column("v"), dim), norm))
+                leaf = tree.leaf(_lifted(_matrix(b.column("v"), dim), norm))
                 yield pa.RecordBatch.from_arrays([b.column("key"), b.column("v"), pa.array(leaf)], ["key", "v", "leaf"])
 
         return run
@@ -221,11 +230,11 @@ class Index:
             return self.leaves
         keys = np.array([r["key"] for r in got], np.int64)
         q = np.array([r["v"] for r in got], np.float64)
-        sent, dim, k = probes.sparkSession.sparkContext.broadcast((keys, q)), self.dim, self.k
+        probes_sent, dim, k = sent(probes.sparkSession, (keys, q)), self.dim, self.k
         schema = pa.schema([("query", pa.int64()), ("key", pa.int64()), ("leaf", pa.int32()), ("score", pa.float64())])
 
         def run(batches):
-            keys, q = sent.value
+            keys, q = received(probes_sent)
             for b in batches:
                 ids, leaf = b.column("key").to_numpy(), b.column("leaf").to_numpy()
                 for at in range(0, len(ids), BLOCK_ROWS):
@@ -239,7 +248,7 @@ class Index:
                      .where("score > double('-Infinity')"), "query", k, "key").select("query", "leaf").collect()
         if not true:
             return self.leaves
-        tree = self.tree.value
+        tree = self.fitted
         place = {int(key): {leaf: i for i, leaf in enumerate(order)}
                  for key, order in zip(keys, tree.visits(_flat(q), tree.leaves))}
         need = np.sort([place[r["query"]][r["leaf"]] for r in true])
@@ -251,44 +260,57 @@ class Index:
         out = "query_id bigint, rank int, vec_id bigint, score double"
         if not self.n:
             return spark.createDataFrame([], out)
-        first = Window.partitionBy("v")
-        queries = written(self.rows.withColumn("q", chosen).groupBy("v").agg(F.min("id").alias("key"), F.max("q").alias("q"))
-                          .where("q").select("key", "v"), "ann-queries")
+        asked = written(self.rows.where(chosen).join(self.distinct, "v").select(F.col("id").alias("query_id"), "key", "v"),
+                        "ann-asked")
+        queries = written(self.leaf_rows.join(asked.select("key").distinct(), "key", "left_semi"), "ann-queries")
         # rows per leaf: as many figures as leaves, bounded by the fitted sample
         sizes = {r["leaf"]: r["count"] for r in self.leaf_rows.groupBy("leaf").count().collect()}
         rows_of = np.array([sizes.get(i, 0) for i in range(self.leaves)], np.int64)
         cell_of = ((np.cumsum(rows_of) - rows_of) // BLOCK_ROWS).astype(np.int32)
         parts_of = -(-np.bincount(cell_of, rows_of).astype(np.int64) // (2 * BLOCK_ROWS))
-        blocks = -(-queries.count() // BLOCK_QUERIES)
+        asks_of = np.zeros(self.leaves, np.int64)
+        for r in queries.groupBy("leaf").count().collect():
+            asks_of[r["leaf"]] = r["count"]
+        # blocks follow the leaves; a leaf with very many queries fills several
+        block_of = (np.cumsum(asks_of) - asks_of) // BLOCK_QUERIES
+        more = np.maximum(1, -(-asks_of // BLOCK_QUERIES))
+        block_of = block_of + np.cumsum(more - 1) - (more - 1)
+        dealt = spark.createDataFrame([(i, int(block_of[i]), int(more[i])) for i in range(self.leaves)],
+                                      "leaf int, b0 int, more int")
         cells = spark.createDataFrame([(i, int(c), int(parts_of[c])) for i, c in enumerate(cell_of)],
                                       "leaf int, cell int, parts int")
-        asks = queries.mapInArrow(self._probe(cell_of, parts_of), "key bigint, v array<double>, cell int, part int, "
-                                                                 "leaves array<int>")
-        asks = asks.withColumn("b", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
-        rows = self.leaf_rows.join(F.broadcast(cells), "leaf") \
+        asks = (queries.join(F.broadcast(dealt), "leaf")
+                .withColumn("b", (F.col("b0") + F.pmod(F.xxhash64("key"), F.col("more"))).cast("int")).select("key", "v", "b")
+                .mapInArrow(self._probe(cell_of, parts_of), "key bigint, v array<double>, b int, cell int, part int, "
+                                                            "leaves array<int>"))
+        asks = written(asks, "ann-asks")
+        met = asks.groupBy("cell").agg(F.collect_set("b").alias("bs"))  # cells times the blocks that visit them
+        rows = self.leaf_rows.join(F.broadcast(cells), "leaf").join(met, "cell") \
             .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")) \
-            .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))))
+            .withColumn("b", F.explode("bs"))
         by = ["cell", "part", "b"]
         hits = (rows.select(*by, "key", "v", "leaf").groupBy(*by)
                 .cogroup(asks.select(*by, "key", "v", "leaves").groupBy(*by))
                 .applyInArrow(self._compare(), "query bigint, key bigint, score double"))
         near = _best(hits, "query", self.k + 1, "key").select("query", "key", "score")
-        named = _best(near.join(self.members, "key"), "query", self.k + 1, "id").select("query", "id", "score")
-        asked = self.rows.withColumn("key", F.min("id").over(first)).where(chosen).select(F.col("id").alias("query_id"), "key")
-        final = asked.join(named.withColumnRenamed("query", "key"), "key").where("query_id <> id")
-        return _best(final, "query_id", self.k, "id").select(
+        named = _best(near.join(self.members, "key"), "query", self.k + 1, "id").select(
+            F.col("query").alias("key"), F.col("key").alias("found"), "id", "score")
+        final = asked.drop("v").join(named, "key").where("NOT (query_id = id AND key = found)")
+        placed = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), F.col("id").asc(), F.col("found").asc())
+        return final.withColumn("rank", F.row_number().over(placed)).where(F.col("rank") <= self.k).select(
             "query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
 
     def _probe(self, cell_of: np.ndarray, parts_of: np.ndarray):
         """Per query and cell (and part of a large one), the leaves it visits there."""
-        tree, dim, most = self.tree, self.dim, self.visits
+        tree_sent, dim, most = self.tree, self.dim, self.visits
 
         def run(batches):
+            tree = received(tree_sent)
             for b in batches:
                 for at in range(0, b.num_rows, 256):
                     part = b.slice(at, 256)
                     row, cell, piece, leaves = [], [], [], []
-                    for i, order in enumerate(tree.value.visits(_flat(_matrix(part.column("v"), dim)), most)):
+                    for i, order in enumerate(tree.visits(_flat(_matrix(part.column("v"), dim)), most)):
                         order = np.sort(np.array(order, np.int32))
                         for own in np.split(order, np.flatnonzero(np.diff(cell_of[order])) + 1):
                             c = int(cell_of[own[0]])
@@ -299,9 +321,9 @@ class Index:
                                 leaves.append(own)
                     row = pa.array(row, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("key").take(row), part.column("v").take(row), pa.array(cell, pa.int32()),
-                         pa.array(piece, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))],
-                        ["key", "v", "cell", "part", "leaves"])
+                        [part.column("key").take(row), part.column("v").take(row), part.column("b").take(row),
+                         pa.array(cell, pa.int32()), pa.array(piece, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))],
+                        ["key", "v", "b", "cell", "part", "leaves"])
 
         return run
 
@@ -337,5 +359,11 @@ class Index:
 
 def nearest(df: DataFrame, chosen, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, **options) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found for each row
-    whose id meets ``chosen`` (a condition on the column ``id``)."""
-    return Index(df, id_col, vec_col, k, **options).search(chosen)
+    whose id meets ``chosen`` (a condition on the column ``id``). One index per length."""
+    rows = written(valid_vectors(df, id_col, vec_col), "ann-rows")
+    lengths = [r["n"] for r in rows.select(F.size("v").alias("n")).distinct().collect()]  # as many rows as lengths
+    out = df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    for n in sorted(lengths):
+        same = rows.where(F.size("v") == n) if len(lengths) > 1 else rows
+        out = out.unionByName(Index(same, k, **options).search(chosen))
+    return out

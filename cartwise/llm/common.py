@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value) -> Broadcast:
+    """``value`` broadcast with its classes by value: a plain broadcast names them by
+    module, which executors without this package cannot import."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast: Broadcast):
+    """The value of ``sent``, in a task."""
+    return pickle.loads(broadcast.value)
+
+
 def text_key(column: str):
     """A 64-bit key of a text. With the id it names a row: rows equal in both are repeats."""
     return F.xxhash64(F.col(column))

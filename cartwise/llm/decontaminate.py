@@ -5,35 +5,42 @@ digits becomes one space). An item of m characters that occurs in a text with at
 most k edits shares at least m + 1 - q - k q of its q-grams with it, and all of
 them on diagonals at most k apart. For every item the q-grams shared with a text
 are counted in overlapping diagonal bands of width 2 k + 2 at steps of k + 1, so any
-k + 1 neighbouring diagonals lie whole in some band; bands that reach the
-bound are kept as regions and verified by a banded alignment (edit distance of
-the whole item against any part of the region, at most k edits).
-
-The items are split into blocks of at most ``ITEM_BYTES`` of text and one block's
-q-gram index is broadcast at a time, so what is sent has a fixed bound however
-large the benchmark is; documents stay where they are and nothing is shuffled.
-Long texts are scanned in overlapping windows of ``SCAN_CHARS``.
-
-Defined results: null and empty texts match nothing; an item that is null, or
-normalises to fewer than ``MIN_CHARS`` characters, is too short to be evidence
-and is not searched; repeated items each match under their own id; repeated rows
-match alike; an empty table on either side gives no matches.
+k + 1 neighbouring diagonals lie whole in some band; the bands that reach the bound are
+verified by a banded alignment (edit distance of the whole item against the text, at
+most k edits), which fills the cells on the band's diagonals and k to either side.
+
+An item of fewer than ``MIN_CHARS`` characters has too few q-grams for the bound. It is
+searched with no edits: its words as they are, at word borders, all short items at once.
+
+The items are split into blocks of at most ``ITEM_BYTES`` of text. One block's index is
+sent, its matches are written, and the index is dropped before the next, so what is sent
+has a fixed bound however large the benchmark is; documents stay where they are and
+nothing is shuffled. Long texts are scanned in overlapping windows of ``SCAN_CHARS``.
+
+Defined results: null and empty texts match nothing; an item that is null or has no
+letter or digit is not searched; of equally good occurrences the first counts; repeated
+items each match under their own id; repeated rows match alike; an empty table on either
+side gives no matches; very long texts are held whole in the task that reads them; other
+columns are not read by ``matches`` and stay as they are in ``decontaminate``, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import slices, text_key, without
+from cartwise.llm.common import received, sent, slices, text_key, without, written
 
 Q = 8
 #: Edits allowed as a share of an item's normalised length.
 EDIT_RATE = 0.1
+#: Shorter items are searched without edits.
 MIN_CHARS = 32
 ITEM_BYTES = 4 << 20
 SCAN_CHARS = 1 << 16
@@ -69,7 +76,12 @@ class ItemIndex:
     bit tables that reject most q-grams of a text before the search."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, t) for i, t in ((i, normalised(t)) for i, t in items) if len(t) >= MIN_CHARS]
+        items = [(i, t) for i, t in ((i, normalised(t)) for i, t in items) if t]
+        self.items = [(i, t) for i, t in items if len(t) >= MIN_CHARS]
+        self.short: dict[str, list[int]] = {}
+        for i, t in items:
+            if len(t) < MIN_CHARS:
+                self.short.setdefault(t, []).append(i)
         codes = [_codes(t) for _, t in self.items]
         every = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
@@ -85,34 +97,48 @@ class ItemIndex:
         for t, odd in zip(self.table, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
             t[_slot(self.grams, self.bits, odd)] = True
 
-    def regions(self, texts: list[str]):
-        """(row, item, start, stop): regions of the texts whose bands reach the bound.
-        The texts are scanned as one string, in overlapping windows."""
+    def bands(self, texts: list[str]):
+        """(row, item, first, last): where the item may begin in the text, by the bands that
+        reach the bound. The texts are scanned as one string, in overlapping windows."""
         whole = "\0".join(texts)
         ends = np.cumsum([len(t) + 1 for t in texts])
-        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        found: dict[tuple[int, int], list[int]] = {}
         longest = int((self.m + self.k).max(initial=0)) + Q
-        for base in range(0, len(whole), SCAN_CHARS):
+        for base in range(0, len(whole) if self.items else 0, SCAN_CHARS):
             part = whole[base:base + SCAN_CHARS + longest]
-            for item, at, lo, hi in self._regions(part):
+            for item, at, near in self._bands(part):
                 row = int(np.searchsorted(ends, at + base, "right"))
-                start = int(ends[row]) - len(texts[row]) - 1
-                found.setdefault((row, item), []).append(
-                    (max(lo + base - start, 0), min(hi + base - start, len(texts[row]))))
+                found.setdefault((row, item), []).append(near + base - (int(ends[row]) - len(texts[row]) - 1))
             if base + len(part) >= len(whole):
                 break
-        for (row, item), spans in found.items():
-            spans.sort()
-            lo, hi = spans[0]
-            for s, e in spans[1:]:
-                if s <= hi:
-                    hi = max(hi, e)
-                else:
-                    yield row, item, lo, hi
-                    lo, hi = s, e
-            yield row, item, lo, hi
-
-    def _regions(self, text: str):
+        for (row, item), near in found.items():
+            reach = 2 * (int(self.k[item]) + 1)
+            near.sort()
+            lo = hi = near[0]
+            for n in near[1:]:
+                if n - reach > hi + reach:
+                    yield row, item, lo - reach, hi + reach
+                    lo = n
+                hi = n
+            yield row, item, lo - reach, hi + reach
+
+    def exact(self, texts: list[str]):
+        """(row, text of a short item, end): its first occurrence at word borders."""
+        if not self.short:
+            return
+        if not hasattr(self, "words"):
+            self.words = ahocorasick.Automaton()
+            for t in self.short:
+                self.words.add_word(f" {t} ", t)
+            self.words.make_automaton()
+        for row, text in enumerate(texts):
+            first: dict[str, int] = {}
+            for end, t in self.words.iter(f" {text} "):
+                first.setdefault(t, end - 1)
+            for t, end in first.items():
+                yield row, t, end
+
+    def _bands(self, text: str):
         stops = np.array([m.start() for m in _BREAK.finditer(text)], np.int64)
         codes = _codes(text)
         pos = np.flatnonzero(self.table[0][_slot(codes, self.bits, 0x9E3779B97F4A7C15)])
@@ -150,10 +176,9 @@ class ItemIndex:
             # distinct item q-grams, not repeated hits of one
             if len(np.unique(gram_at[rows])) < self.bound[it]:
                 continue
-            m, k = int(self.m[it]), int(self.k[it])
             starts = where[rows] - gram_at[rows]
             for at, near in _by_text(where[rows], starts, stops):
-                yield it, at, near - 2 * (k + 1), near + m + 2 * (k + 1)
+                yield it, at, near
 
 
 def _by_text(at: np.ndarray, starts: np.ndarray, stops: np.ndarray):
@@ -164,25 +189,39 @@ def _by_text(at: np.ndarray, starts: np.ndarray, stops: np.ndarray):
         yield int(at[mine][0]), int(np.median(starts[mine]))
 
 
-def aligned(item: str, text: str, most: int) -> tuple[int, int] | None:
-    """(edits, end) of the best occurrence of ``item`` in ``text`` with at most
-    ``most`` edits, or None. Rows are vectors over the region, which the regions
-    bound to the band of ``most`` diagonals around the item."""
-    t = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    if not len(t):
+_FAR = np.int64(1 << 40)
+
+
+def aligned(item: str, text: str, most: int, first: int = 0, last: int | None = None) -> tuple[int, int] | None:
+    """(edits, end) of the best occurrence of ``item`` that begins in ``text`` at a place
+    from ``first`` to ``last`` (any place by default), with at most ``most`` edits, or None;
+    of equally good ones the first end. Only the cells on the diagonals first - most to
+    last + most are filled: a path with more insertions or deletions has too many edits."""
+    n, m = len(text), len(item)
+    first, last = max(first, 0), n if last is None else min(last, n)
+    if not n or first > last:
         return None
-    reach = np.arange(len(t) + 1)
-    last = np.zeros(len(t) + 1, np.int64)
+    lo, width = first - most, last - first + 2 * most + 1
+    reach = np.arange(width)
+    # text characters by diagonal: row i compares item[i - 1] with ahead[i - 1:i - 1 + width]
+    ahead = np.zeros(m + width, np.uint32)
+    a, b = max(lo, 0), min(lo + m + width, n)
+    if a < b:
+        ahead[a - lo:b - lo] = np.frombuffer(text[a:b].encode("utf-32-le"), np.uint32)
+    at = lo + reach
+    row = np.where((at >= first) & (at <= last), 0, _FAR)
     for i, c in enumerate(np.frombuffer(item.encode("utf-32-le"), np.uint32), 1):
-        now = np.empty_like(last)
-        now[0] = i
-        np.minimum(last[:-1] + (t != c), last[1:] + 1, out=now[1:])
+        now = row + (ahead[i - 1:i - 1 + width] != c)
+        now[at + i < 1] = _FAR
+        np.minimum(now[:-1], row[1:] + 1, out=now[:-1])
+        now[(at + i < 0) | (at + i > n)] = _FAR
         now = np.minimum.accumulate(now - reach) + reach  # insertions run along the row
+        now[at + i > n] = _FAR
         if now.min() > most:
             return None
-        last = now
-    end = int(last.argmin())
-    return (int(last[end]), end) if last[end] <= most else None
+        row = now
+    end = int(row.argmin())
+    return (int(row[end]), lo + end + m) if row[end] <= most else None
 
 
 def _matcher(index):
@@ -190,21 +229,24 @@ def _matcher(index):
                         ("start", pa.int64()), ("stop", pa.int64())])
 
     def run(batches):
-        idx: ItemIndex = index.value
+        idx: ItemIndex = received(index)
         for batch in batches:
             rows = []
             for part in slices(batch, "t"):
                 ids, keys = part.column("id").to_pylist(), part.column("key").to_pylist()
                 texts = [normalised(t) for t in part.column("t").to_pylist()]
                 best: dict[tuple, tuple] = {}
-                for row, it, lo, hi in idx.regions(texts):
-                    item, text = idx.items[it][1], texts[row][lo:hi]
-                    got = aligned(item, text, int(idx.k[it]))
-                    if got and ((row, it) not in best or got[0] < best[row, it][0]):
-                        back = aligned(item[::-1], text[:got[1]][::-1], got[0])
-                        best[row, it] = (got[0], lo + got[1] - (back[1] if back else got[1]), lo + got[1])
-                for (row, it), (edits, start, stop) in best.items():
-                    rows.append((ids[row], keys[row], idx.items[it][0], edits, start, stop))
+                for row, it, lo, hi in idx.bands(texts):
+                    got = aligned(idx.items[it][1], texts[row], int(idx.k[it]), lo, hi)
+                    if got and ((row, it) not in best or got < best[row, it]):
+                        best[row, it] = got
+                for (row, it), (edits, stop) in best.items():
+                    item, text = idx.items[it][1], texts[row]
+                    head = text[max(0, stop - len(item) - edits):stop]
+                    back = aligned(item[::-1], head[::-1], edits, 0, 0)  # the same edits, read back from the end
+                    rows.append((ids[row], keys[row], idx.items[it][0], edits, stop - back[1], stop))
+                for row, item, stop in idx.exact(texts):
+                    rows += [(ids[row], keys[row], i, 0, stop - len(item), stop) for i in idx.short[item]]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -233,14 +275,15 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), text_key(text_col).alias("key"),
                      F.col(text_col).alias("t"))
-    out = None
+    out = spark.createDataFrame([], MATCH)
     for block in _item_blocks(items, item_id_col, item_text_col):
         index = ItemIndex(block)
-        if not index.items:
+        if not index.items and not index.short:
             continue
-        found = docs.mapInArrow(_matcher(spark.sparkContext.broadcast(index)), MATCH)
-        out = found if out is None else out.unionAll(found)
-    return out if out is not None else spark.createDataFrame([], MATCH)
+        block_sent = sent(spark, index)
+        out = out.unionAll(written(docs.mapInArrow(_matcher(block_sent), MATCH), "decontaminate-matches"))
+        block_sent.unpersist()
+    return out
 
 
 def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

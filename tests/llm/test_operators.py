@@ -86,13 +86,15 @@ def test_nearest_ties_nulls_and_recall(spark):
     x = rnd.normal(size=(1500, 8)) * rnd.uniform(0.5, 2, size=(1500, 1))
     x[100:400] = x[100]  # one vector with many ids
     rows = [(int(i), [float(c) for c in v]) for i, v in enumerate(x)]
-    bad = [(9000, None), (9020, [0.0] * 8), (9040, [float("nan")] + [1.0] * 7), (9060, [None] + [1.0] * 7), (9080, [1.0]),
+    bad = [(9000, None), (9020, [0.0] * 8), (9040, [float("nan")] + [1.0] * 7), (9060, [None] + [1.0] * 7), (9080, [1.0]), (9085, [2.0]),
            (9100, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), rows[40], rows[40]]
     df = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<double>").withColumn("key", F.lit("k")) \
         .withColumn("v", F.lit("v"))
     got = collections.defaultdict(list)
     for r in nearest(df, F.expr("pmod(id, 20) = 0")).collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
+    # vectors of another length meet only each other
+    assert got.pop(9080) == [(1, 9085, 2.0)]
     assert sorted(got) == list(range(0, 1500, 20))
     hit = total = 0
     for q, found in got.items():
@@ -109,6 +111,16 @@ def test_nearest_ties_nulls_and_recall(spark):
     assert nearest(df.limit(0), F.expr("true")).count() == 0
 
 
+def test_nearest_keeps_every_vector_of_an_id(spark):
+    from cartwise.llm.ann_tree import nearest
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [5.0, 0.0]), (1, [9.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0])],
+                               "vec_id bigint, embedding array<double>")
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(df, F.expr("id = 0")).collect()}
+    assert got == {(0, 1, 1, 9.0), (0, 2, 1, 5.0), (0, 3, 2, 2.0)}
+    both = sorted((r["rank"], r.vec_id, r.score) for r in nearest(df, F.expr("id = 1")).collect())
+    assert both == [(1, 1, 45.0), (1, 1, 45.0), (2, 2, 10.0), (2, 2, 18.0), (3, 0, 5.0), (3, 0, 9.0)]
+
+
 # ---- 3 SimHash -----------------------------------------------------------------
 
 def plain_simhash(text):
@@ -252,7 +264,7 @@ def test_matches_exact_edited_and_clean(spark):
     docs = [(1, f"{other} {item} {other}"), (2, f"{other} {''.join(edits)}"), (3, "".join(far)), (4, other), (5, None),
             (6, ""), (7, f"{filler} {item.upper().replace(' ', '!! ')} {filler}"), (8, item[:len(item) // 2]), (1, item)]
     df = spark.createDataFrame(docs, ODD).withColumn("item_id", F.lit("c")).withColumn("id", F.lit(0))
-    items = spark.createDataFrame([(1, item), (2, None), (3, "short one"), (4, item), (5, "")], "item_id bigint, text string")
+    items = spark.createDataFrame([(1, item), (2, None), (3, "Short one!"), (4, item), (5, ""), (6, "... --")], "item_id bigint, text string")
     rows = matches(df, items).collect()
     assert sorted({(r.id, r.item_id) for r in rows}) == [(i, j) for i in (1, 2, 7) for j in (1, 4)]
     text = normalised(docs[6][1])
@@ -262,6 +274,51 @@ def test_matches_exact_edited_and_clean(spark):
     assert matches(df.limit(0), items).count() == 0 and matches(df, items.limit(0)).count() == 0
 
 
+def test_match_set_equals_plain_search(spark, monkeypatch):
+    from cartwise.llm import decontaminate as D
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(1, 7)))
+    items = [" ".join(word() for _ in range(n)) for n in (1, 2, 3, 5, 9, 12, 15, 20, 30) for _ in range(2)]
+    docs = []
+    for i in range(200):
+        parts = [word() for _ in range(rnd.randrange(30))]
+        for item in rnd.sample(items, rnd.randrange(3)):
+            t = list(item)
+            for _ in range(rnd.randrange(0, max(1, len(t) // 7))):
+                p = rnd.randrange(len(t))
+                t[p:p + 1] = rnd.choice([[], ["x"], [t[p], "y"]])
+            parts.insert(rnd.randrange(len(parts) + 1), "".join(t))
+        docs.append((i, rnd.choice([" ", " .\n", "  "]).join(parts)))
+
+    def distance(item, text):
+        last = [0] * (len(text) + 1)
+        for i, c in enumerate(item, 1):
+            now = [i]
+            for j, d in enumerate(text, 1):
+                now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (c != d)))
+            last = now
+        return min(last)
+
+    want = set()
+    for i, doc in docs:
+        text = D.normalised(doc)
+        for n, item in enumerate(map(D.normalised, items)):
+            if len(item) < D.MIN_CHARS:
+                if f" {item} " in f" {text} ":
+                    want.add((i, n, 0))
+            elif text and (d := distance(item, text)) <= int(len(item) * D.EDIT_RATE):
+                want.add((i, n, d))
+    df = spark.createDataFrame(docs, ODD)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = D.matches(df, bench).collect()
+    assert {(r.id, r.item_id, r.edits) for r in rows} == want and len(want) > 100 and len(rows) == len(want)
+    texts = dict(docs)
+    for r in rows:
+        assert distance(D.normalised(items[r.item_id]), D.normalised(texts[r.id])[r.start:r.stop]) == r.edits
+    monkeypatch.setattr(D, "ITEM_BYTES", 120)  # many blocks give the same
+    assert {(r.id, r.item_id, r.edits) for r in D.matches(df, bench).collect()} == want
+
+
 def test_aligned_is_the_edit_distance(spark):
     from cartwise.llm.decontaminate import aligned
     rnd = random.Random(8)
