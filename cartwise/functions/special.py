@@ -1,4 +1,4 @@
-"""Digamma and trigamma as ``Column`` arithmetic (x > 0).
+"""Digamma, trigamma and the logarithm of gamma as ``Column`` arithmetic (x > 0).
 
 Shift the argument up by six with the recurrences
 ``psi(x) = psi(x+1) - 1/x`` and ``psi'(x) = psi'(x+1) + 1/x^2``, then use the
@@ -7,6 +7,8 @@ asymptotic series; absolute error below 1e-11 for x > 0.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,3 +42,17 @@ def trigamma(x) -> Column:
     inv2 = inv * inv
     series = inv + 0.5 * inv2 + inv * inv2 * (1.0 / 6 - inv2 * (1.0 / 30 - inv2 * (1.0 / 42 - inv2 / 30)))
     return series + head
+
+
+def log_gamma(x) -> Column:
+    """ln Gamma(x): Stirling's series after the same shift."""
+    x = _c(x).cast("double")
+    head = F.lit(0.0)
+    for k in range(SHIFT):
+        head = head + F.log(x + k)
+    y = x + SHIFT
+    inv = F.lit(1.0) / y
+    inv2 = inv * inv
+    series = ((y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi)
+              + inv * (1.0 / 12 - inv2 * (1.0 / 360 - inv2 * (1.0 / 1260 - inv2 / 1680))))
+    return series - head

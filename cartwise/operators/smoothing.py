@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.constants import SMOOTH_EPSILON, SMOOTH_MAX_ROUNDS, SMOOTH_START
-from cartwise.functions.special import digamma, trigamma
+from cartwise.functions.special import digamma, log_gamma, trigamma
 from cartwise.session import materialize
 
 
@@ -101,6 +101,23 @@ def limit_slope(hist: DataFrame) -> float:
     return (row["c2"] / mu + row["f2"] / (1 - mu) - row["n2"]) / row["rows"]
 
 
+def mean_log_likelihood(hist: DataFrame, a: float, b: float) -> float:
+    """Mean log-likelihood of a row at (a, b), without the binomial coefficients."""
+    kind, v = F.col("kind"), F.col("v")
+    base = F.when(kind == "c", F.lit(float(a))).when(kind == "f", F.lit(float(b))).otherwise(F.lit(float(a + b)))
+    gain = F.col("m") * (log_gamma(v + base) - log_gamma(base)) * F.when(kind == "n", -1).otherwise(1)
+    row = hist.agg(F.sum(gain).alias("l"), F.sum(F.when(kind == "n", F.col("m"))).alias("rows")).first()
+    return row["l"] / row["rows"]
+
+
+def limit_log_likelihood(hist: DataFrame) -> float:
+    """The same where the concentration is infinite: every row has the pooled rate."""
+    row = hist.agg(*[F.sum(F.when(F.col("kind") == k, F.col("m") * F.col("v"))).alias(k) for k in "cfn"],
+                   F.sum(F.when(F.col("kind") == "n", F.col("m"))).alias("rows")).first()
+    part = lambda x: x * math.log(x / row["n"]) if x else 0.0
+    return (part(row["c"]) + part(row["f"])) / row["rows"]
+
+
 def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method: str = "newton",
               start=None, epsilon: float = SMOOTH_EPSILON, max_rounds: int = SMOOTH_MAX_ROUNDS) -> Prior:
     """Fit (alpha, beta); converged when both move less than ``epsilon`` (relative
@@ -112,15 +129,16 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
     start is the moment estimate, or (1, 1) where that has no solution.
 
     Without over-dispersion the likelihood keeps rising with alpha + beta. That is
-    decided from the likelihood alone: ``limit_slope`` is not positive and what is
-    left to its limit at infinite concentration is below ``LIMIT_GAIN``. The result
-    then has ``finite=False``; alpha / (alpha + beta) is the pooled rate.
+    decided from the likelihood itself: ``limit_slope`` is not positive, and the point is
+    not above the limit at infinite concentration but within ``LIMIT_GAIN`` of it. A point
+    above the limit proves a finite maximum, and the fit goes on. The result without one
+    has ``finite=False``; alpha / (alpha + beta) is the pooled rate.
     """
     hist = materialize(count_histograms(counts, imps, clks))  # written once, read every round
     if start is None:
         start = (moment_start(counts, imps, clks) if method == "newton" else None) or SMOOTH_START
     a, b = start
-    slope = limit_slope(hist)
+    slope, limit = limit_slope(hist), None
     last = None  # (point, step, slope along the step) of the Newton step being judged
     for rnd in range(1, max_rounds + 1):
         s = _sums(hist, a, b, second=method != "fixed_point")
@@ -151,7 +169,11 @@ def fit_prior(counts: DataFrame, imps: str = "imps", clks: str = "clks", method:
         done = abs(na - a) < epsilon * max(1.0, abs(a)) and abs(nb - b) < epsilon * max(1.0, abs(b))
         a, b = na, nb
         if slope <= 0 and abs(slope) / (2 * (a + b)) < LIMIT_GAIN:
-            return Prior(a, b, rnd, False, method, False)
+            if limit is None:
+                limit = limit_log_likelihood(hist)
+            left = limit - mean_log_likelihood(hist, a, b)
+            if 0 <= left < LIMIT_GAIN:
+                return Prior(a, b, rnd, False, method, False)
         if done:
             return Prior(a, b, rnd, True, method, True)
     return Prior(a, b, max_rounds, False, method, slope > 0)

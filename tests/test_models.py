@@ -137,6 +137,30 @@ def test_fit_reports_no_finite_maximum(spark):
     assert prior.alpha / (prior.alpha + prior.beta) == pytest.approx(0.5025, abs=1e-3)
 
 
+def test_fit_goes_on_where_the_point_beats_the_limit(spark):
+    """Two opposite groups and one even row: the slope at infinity is near zero, the maximum far from there."""
+    rows = [(2.0, 0.0)] * 250 + [(2.0, 2.0)] * 250 + [(1000.0, 500.0)]
+    df = spark.createDataFrame(rows, "imps double, clks double")
+
+    def mean(a, b):
+        up = lambda x, n: math.lgamma(x + n) - math.lgamma(x)
+        return sum(up(a, c) + up(b, n - c) - up(a + b, n) for n, c in rows) / len(rows)
+
+    near = max(mean(x, x) for x in np.geomspace(1e-4, 1, 400))
+    for start in (None, (0.1, 0.1), (1.0, 1.0)):
+        prior = fit_prior(df, start=start)
+        assert prior.finite and prior.converged
+        assert prior.alpha == pytest.approx(prior.beta, rel=1e-3)
+        assert mean(prior.alpha, prior.beta) >= near - 1e-4
+
+
+def test_log_gamma(spark):
+    from cartwise.functions.special import log_gamma
+    xs = [0.001, 0.5, 1.0, 2.5, 40.0, 1e6]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", log_gamma("x").alias("g")).collect()
+    assert all(r.g == pytest.approx(math.lgamma(r.x), rel=1e-12, abs=1e-10) for r in got)
+
+
 def test_neighbours_of_2_53_stay_apart(spark):
     from cartwise.plans.factorize import dense_ids, fit_factors
     from cartwise.plans.models import item_onehot
