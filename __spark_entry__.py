@@ -497,6 +497,46 @@ def q_mf_hit_at_k(spark, sf_dir):
     return hit_revenue_at_k(ranked, purchases, blacklist=())
 
 
+def _ranking_factors(spark, sf_dir, asof):
+    from cartwise.plans.factorize import interactions
+    from cartwise.plans.ranking_loss import fit_ranking
+    return fit_ranking(interactions(_logs(spark, sf_dir).clicks, asof))
+
+
+def q_ranking_factors(spark, sf_dir):
+    """Vectors of the ranking-loss factorisation (the last feature is the bias)."""
+    fs = _ranking_factors(spark, sf_dir, TRAIN_ASOF)
+    return (fs.roles.select(F.lit("role").alias("entity"), F.col("role_id").alias("id"), "features")
+            .unionByName(fs.items.select(F.lit("item").alias("entity"), F.col("item_id").alias("id"), "features")))
+
+
+def q_ranking_hit_at_k(spark, sf_dir):
+    """``mf_hit_at_k`` with the vectors of the ranking loss."""
+    from cartwise.operators.daily import on_day
+    from cartwise.plans.factorize import fallback_positions
+    from cartwise.plans.recommend import hit_revenue_at_k
+    purchases = on_day(_logs(spark, sf_dir).buys, TEST_ASOF)
+    ranked = fallback_positions(purchases, _ranking_factors(spark, sf_dir, TEST_ASOF), _mf_catalog(spark, sf_dir))
+    return hit_revenue_at_k(ranked, purchases, blacklist=())
+
+
+def q_mf_top_lists(spark, sf_dir):
+    """The 25 best items of every buyer of the test day, without the buyers x items grid."""
+    from cartwise.plans.top_products import recommend_top
+    from cartwise.plans.training import day_buyers
+    lg = _logs(spark, sf_dir)
+    buyers = day_buyers(lg.buys, lg.active_roles, TEST_ASOF)
+    return recommend_top(buyers, _factors(spark, sf_dir, TEST_ASOF), _mf_catalog(spark, sf_dir))[0]
+
+
+def q_fm_mixed(spark, sf_dir):
+    """Factorisation machine over both ids and every numeric feature of the training rows."""
+    from cartwise.plans.fm import fit_fm
+    from cartwise.plans.models import feature_columns
+    rows = q_training_rows(spark, sf_dir)
+    return fit_fm(rows, numeric=feature_columns(rows), sweeps=2).rows.select("role_id", "item_id", "label", "score")
+
+
 def q_holdout_split(spark, sf_dir):
     from cartwise.plans.models import holdout_split
     return holdout_split(q_training_rows(spark, sf_dir)).select("role_id", "item_id", "asof", "label", "is_val")
@@ -633,6 +673,46 @@ def q_item_rate_test_day(spark, sf_dir):
     return rates.where(F.col("asof") == F.lit(to_day(TEST_ASOF)))
 
 
+def _stores(spark, sf_dir):
+    """The exploded clicks and the purchases as two day stores."""
+    import uuid
+
+    from cartwise.sources.day_store import DayStore
+    from cartwise.sources.files import scratch_path
+    lg = _logs(spark, sf_dir)
+    out = []
+    for name, rows in (("clicks", lg.clicks.select("role_id", "item_id", "cnt", "dt")),
+                       ("buys", lg.buys.select("role_id", "item_id", "buy_num", "dt"))):
+        store = DayStore(spark, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, f"store-{name}"))
+        out.append(store.create(rows).load(rows))
+    return out
+
+
+def q_day_store_totals(spark, sf_dir):
+    """Clicks and purchases of each role, from two day stores joined on the role; the day
+    before the as-of day is loaded a second time."""
+    from cartwise.functions.dates import shift, to_day
+    clicks, buys = _stores(spark, sf_dir)
+    again = _logs(spark, sf_dir).clicks.where(F.col("dt") == F.lit(to_day(shift(TRAIN_ASOF, -1))))
+    clicks.load(again)
+    return clicks.totals("cnt", "n_clicks").join(buys.totals("buy_num", "n_buys"), "role_id")
+
+
+def q_day_bitmaps(spark, sf_dir):
+    """Active days and recency of each pair from day bitmaps: those of the day before, moved
+    by a day, and the last day's clicks."""
+    from cartwise.functions.dates import shift, to_day
+    from cartwise.operators import day_bits as B
+    keys, days, last = ["role_id", "item_id"], 90, shift(TRAIN_ASOF, -1)
+    clicks = _logs(spark, sf_dir).clicks
+    old = B.day_words(clicks.withColumn("age", F.datediff(F.lit(last), "dt")).where("age >= 1"), keys, days)
+    new = B.day_words(clicks.where(F.col("dt") == F.lit(to_day(last))).withColumn("age", F.lit(1)), keys, days)
+    both = B.merged(old.select(*keys, B.shifted(F.col("days"), 1, days).alias("days")).unionByName(new), keys, days)
+    w = F.col("days")
+    return both.select(*keys, B.active_in(w, 7).alias("click_day_week"), B.active_in(w, 30).alias("click_day_month"),
+                       B.last_age(w, days).alias("d_dt_click_final"), B.first_age(w, days).alias("d_dt_click_first"))
+
+
 def q_scan_indexed_csv(spark, sf_dir):
     """The exploded clicks saved as CSV with a row index, read back without it."""
     from cartwise.operators.daily import clicked_items
@@ -789,9 +869,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_by_day": q_split_by_day,
     "training_rows_days": q_training_rows_days,
     "training_rows_rate": q_training_rows_rate,
+    "day_store_totals": q_day_store_totals,
+    "day_bitmaps": q_day_bitmaps,
     "item_rate_test_day": q_item_rate_test_day,
     "scan_indexed_csv": q_scan_indexed_csv,
     "scan_catalog": q_scan_catalog,
+    "ranking_factors": q_ranking_factors,
+    "ranking_hit_at_k": q_ranking_hit_at_k,
+    "mf_top_lists": q_mf_top_lists,
+    "fm_mixed": q_fm_mixed,
     "gbt_hit_revenue_at_k": q_gbt_hit_revenue_at_k,
     "test_rows_mf": q_test_rows_mf,
     "test_rows_unseen": q_test_rows_unseen,
@@ -1327,6 +1413,14 @@ FROM active a JOIN customer ON c_custkey = a.role_id""",
 SELECT a.dt, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(a.role_id) AS BIGINT) AS role_sum
 FROM active a JOIN customer ON c_custkey = a.role_id GROUP BY a.dt""",
     "training_rows_days": _DAYS_SQL,
+    "day_store_totals": _with() + """
+SELECT role_id, n_clicks, n_buys FROM (SELECT role_id, CAST(sum(cnt) AS BIGINT) AS n_clicks FROM clog GROUP BY role_id)
+JOIN (SELECT role_id, CAST(sum(buy_num) AS BIGINT) AS n_buys FROM buys GROUP BY role_id) USING (role_id)""",
+    "day_bitmaps": _with() + f"""
+SELECT role_id, item_id, CAST(count(DISTINCT CASE WHEN age <= 7 THEN age END) AS BIGINT) AS click_day_week,
+       CAST(count(DISTINCT CASE WHEN age <= 30 THEN age END) AS BIGINT) AS click_day_month,
+       CAST(min(age) AS BIGINT) AS d_dt_click_final, CAST(max(age) AS BIGINT) AS d_dt_click_first
+FROM (SELECT *, {TRAIN} - dt AS age FROM clog WHERE dt < {TRAIN} AND dt >= {TRAIN} - 90) GROUP BY role_id, item_id""",
     "training_rows_rate": f"""
 WITH t AS ({_DAYS_SQL}), c AS (SELECT "asof", item_id, count(*) AS n, sum(label) AS p FROM t GROUP BY ALL),
      g AS (SELECT a."asof", sum(b.n) AS n, sum(b.p) AS p FROM (SELECT DISTINCT "asof" FROM c) a JOIN c b ON b."asof" < a."asof" GROUP BY a."asof"),
