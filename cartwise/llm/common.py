@@ -48,12 +48,19 @@ def text_key(column: str):
     return F.xxhash64(F.col(column))
 
 
+def named_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, i, k): each row as one struct beside its id and text key, so that no column
+    of ``df`` can clash with a helper's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("i"),
+                     text_key(text_col).alias("k"))
+
+
 def without(df: DataFrame, bad: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``df`` without the rows named by ``bad`` (id, key). Each row is judged by its own
     text, also where ids are null or repeated."""
-    bad = bad.select(F.col("id").alias("_bad_id"), F.col("key").alias("_bad_key")).distinct()
-    return df.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")) & (text_key(text_col) == F.col("_bad_key")),
-                   "left_anti")
+    bad = bad.select(F.col("id").alias("bad_id"), F.col("key").alias("bad_key")).distinct()
+    return named_rows(df, id_col, text_col).join(
+        bad, F.col("i").eqNullSafe(F.col("bad_id")) & (F.col("k") == F.col("bad_key")), "left_anti").select("row.*")
 
 
 def text_bytes(df: DataFrame, column: str) -> int:

@@ -8,15 +8,18 @@ share of positives among the labelled training rows. When the bracket is negativ
 the step goes the other way on it, as the non-negative estimator asks, so U is
 not over-fitted. Negative labels are used for the prior only.
 
-Features are computed in one pass over whole texts and written once. The model is
-fitted on bounded samples (``FIT_ROWS`` rows of P and of U, chosen by a hash of the
-id); scoring is a pass over all features. Inputs of a score are text features only.
+Features are computed in one pass over whole texts and written once; their mean and
+deviation are of all rows. The gradient steps use bounded samples (``FIT_ROWS`` rows of P
+and of U, drawn row by row); scoring is a pass over all features. Inputs of a score are
+text features only.
 
 Defined results: null texts are empty; empty texts have all-zero shares and are
 scored like any other; repeated rows are scored alike, repeated labels of an id
 count once (the larger); without positives every score is the estimated prior
-(1 if nothing is labelled), so nothing is rejected unseen; an empty table gives
-no rows.
+(1 if nothing is labelled), so nothing is rejected unseen; very long texts are read
+whole, part by part; ties do not occur (rows are scored, not ordered); an empty table gives
+no rows; the result has its own columns only, and ``keep_quality`` keeps all of ``df``'s,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -94,14 +97,34 @@ def feature_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """About ``most`` rows by a hash of the id, as a matrix (all rows, if fewer)."""
+    """About ``most`` of the written rows, each drawn on its own (all rows, if fewer), as a
+    matrix; null or much repeated ids do not come together."""
     n = rows.count()
     if n > most:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * most / n))
+        rows = rows.sample(fraction=most / n, seed=17)
     got = [np.frombuffer(r["x"], np.float32) for r in rows.select("x").toLocalIterator()]
     return np.array(got, np.float64).reshape(len(got), N_FEATURES)
 
 
+def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature over all rows: sums per task, added by Spark."""
+    def run(batches):
+        n, s, q = 0, np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+        for b in batches:
+            x = np.frombuffer(b"".join(b.column("x").to_pylist()), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+            n, s, q = n + len(x), s + x.sum(axis=0), q + (x * x).sum(axis=0)
+        yield pa.record_batch([pa.array(np.arange(N_FEATURES)), pa.array(np.full(N_FEATURES, n)), pa.array(s), pa.array(q)],
+                              names=["i", "n", "s", "q"])
+
+    sums = rows.mapInArrow(run, "i bigint, n bigint, s double, q double").groupBy("i").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("i").collect()
+    n, s, q = (np.array([r[c] for r in sums], np.float64) for c in "nsq")
+    if not len(n) or not n[0]:
+        return np.zeros(N_FEATURES), np.ones(N_FEATURES)
+    mean = s / n
+    return mean, np.sqrt(np.maximum(q / n - mean * mean, 0)) + 1e-3
+
+
 class Model:
     """Logistic model over standardised features and their squares (text can be too
     short or too long, hold too few or too many of a byte class)."""
@@ -119,12 +142,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_non_negative(pos: np.ndarray, unl: np.ndarray, prior: float) -> Model:
-    """Adam over the full samples; a negative bracket is stepped back from."""
+def fit_non_negative(pos: np.ndarray, unl: np.ndarray, prior: float, mean: np.ndarray, scale: np.ndarray) -> Model:
+    """Adam over the full samples, standardised by the whole table's ``mean`` and ``scale``;
+    a negative bracket is stepped back from."""
     if not len(pos) or not len(unl) or prior >= 1:
         p = min(max(prior, 1e-6), 1 - 1e-6)
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(2 * N_FEATURES), float(np.log(p / (1 - p))))
-    mean, scale = unl.mean(axis=0), unl.std(axis=0) + 1e-3
     one = lambda x: np.hstack([Model.inputs(x, mean, scale), np.ones((len(x), 1))])
     p, u = one(pos), one(unl)
     w = np.zeros(2 * N_FEATURES + 1)
@@ -152,7 +175,7 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     prior = known.agg(F.avg("y").alias("p")).first()["p"]
     positives = rows.join(known.where("y = 1").select("id"), "id", "left_semi")
-    model = fit_non_negative(_sample(positives, fit_rows), _sample(rows, fit_rows), 1.0 if prior is None else prior)
+    model = fit_non_negative(_sample(positives, fit_rows), _sample(rows, fit_rows), 1.0 if prior is None else prior, *_moments(rows))
     schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("score", pa.float64())])
 
     def run(batches):

@@ -16,7 +16,9 @@ no link is lost and the work stays linear.
 
 Defined results: null or empty texts and texts without words have fingerprint
 zero and link like any other; repeated rows stay repeated; a null id is kept and
-never names a component unless no member has an id; an empty table gives no rows.
+never names a component unless no member has an id; very long texts are hashed whole;
+of equally small ids the smaller text key stays; an empty table gives no rows;
+``near_dedup`` keeps all columns of ``df``, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import binary_values, record_batches, text_key, word_lists, written
+from cartwise.llm.common import binary_values, named_rows, record_batches, text_key, word_lists, written
 from cartwise.llm.graph import components
 
 SEED = 42
@@ -217,7 +219,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     of other components stay, also where ids are null or repeated."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
     keep = (simhash_components(df, id_col, text_col, width, distance).groupBy("component").agg(first)
-            .select(F.col("first.id").alias("_kept_id"), F.col("first.key").alias("_kept_key")))
-    named = df.withColumn("_text_key", text_key(text_col))
-    return (named.join(keep, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key")),
-                       "left_semi").dropDuplicates([id_col, "_text_key"]).drop("_text_key"))
+            .select(F.col("first.id").alias("kept_id"), F.col("first.key").alias("kept_key")))
+    return (named_rows(df, id_col, text_col).join(
+        keep, F.col("i").eqNullSafe(F.col("kept_id")) & (F.col("k") == F.col("kept_key")), "left_semi")
+        .dropDuplicates(["i", "k"]).select("row.*"))

@@ -20,7 +20,11 @@ the documents by block (the same exchange in the plan, which Spark reuses).
 Defined results: null texts have no words; texts shorter than a window lose
 nothing; rows with the same id are one document for the rule (a window does not
 remove itself) and each keeps its own result row; a null id counts as larger than
-every id; repeats inside one document only are kept; an empty table gives no rows.
+every id; repeats inside one document only are kept; equal windows of equal ids are not
+earlier than each other; a very long text is one row of its block, whose words are held
+while it is joined; an empty table gives no rows; the result has its own columns only, so
+others cannot clash. Rows are dealt to blocks by id and text, so null or repeated ids are
+spread as well.
 """
 
 from __future__ import annotations
@@ -275,7 +279,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     blocks = max(-(-text_bytes(df, text_col) // block_bytes), shuffle_partitions(spark))
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")) \
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+        .withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(blocks)))
     send_anchors, answer_anchors, send_windows, answer_windows, finish = _functions(window, blocks)
     result = "id bigint, n_words bigint, n_removed bigint, kept_text string"
     shared = (docs.groupBy("block").applyInArrow(send_anchors, _ANCHORS)

@@ -65,8 +65,8 @@ def record_id(key: str):
 
 
 def key_of(record: str):
-    """The key that a record id names."""
-    return F.regexp_extract(record, "^<urn:x-record:(-?[0-9]+)>$", 1).cast("bigint")
+    """The key that a record id names; null for ids of other makers."""
+    return F.regexp_extract(record, "^<urn:x-record:(-?[0-9]+)>$", 1).try_cast("bigint")
 
 
 def _line(value) -> str:
