@@ -534,7 +534,7 @@ def q_fm_mixed(spark, sf_dir):
     from cartwise.plans.fm import fit_fm
     from cartwise.plans.models import feature_columns
     rows = q_training_rows(spark, sf_dir)
-    return fit_fm(rows, numeric=feature_columns(rows), sweeps=2).rows.select("role_id", "item_id", "label", "score")
+    return fit_fm(rows, numeric=feature_columns(rows), sweeps=1).rows.select("role_id", "item_id", "label", "score")
 
 
 def q_holdout_split(spark, sf_dir):
