@@ -12,7 +12,7 @@ import sys
 from collections.abc import Callable
 
 # the package sits next to this file; make it importable however this module
-# is loaded (tasks never import it: no Python runs inside Spark tasks)
+# is loaded (functions that run inside tasks are shipped by value)
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
@@ -760,9 +760,15 @@ def q_click_scan_odd(spark, sf_dir):
 
 def q_item_catalog_shifted(spark, sf_dir):
     """the catalog of shifted ids, some of which the rank blacklist removes."""
-    from cartwise.constants import RANK_BLACKLIST
-    items = _data(spark, sf_dir).items().select((F.col("item_id") + ITEM_SHIFT).alias("item_id"))
-    return items.where(~F.col("item_id").isin(list(RANK_BLACKLIST)))
+    d = _data(spark, sf_dir)
+    return d.catalog(items=d.items().select((F.col("item_id") + ITEM_SHIFT).alias("item_id")))
+
+
+def q_day_slugs(spark, sf_dir):
+    """Clicks per day under the ``MMdd`` slugs of the day and of the day before."""
+    from cartwise.functions.dates import day_slug
+    return (_logs(spark, sf_dir).clicks.groupBy(day_slug("dt").alias("slug"), day_slug("dt", 1).alias("slug_before"))
+            .agg(F.sum("cnt").cast("bigint").alias("n_clicks")))
 
 
 def q_interaction_weight_solo(spark, sf_dir):
@@ -884,6 +890,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avatar_text": q_avatar_text,
     "click_scan_odd": q_click_scan_odd,
     "item_catalog_shifted": q_item_catalog_shifted,
+    "day_slugs": q_day_slugs,
     "interaction_weight_solo": q_interaction_weight_solo,
     "hit_revenue_skipped": q_hit_revenue_skipped,
     "recommend_unseen_roles": q_recommend_unseen_roles,
@@ -1446,6 +1453,9 @@ SELECT event_id, role_id, dt, CASE WHEN n THEN CASE WHEN role_id % 2 = 0 THEN 'm
 FROM (SELECT *, role_id % 5 <> 0 AS n FROM ev)""",
     "click_scan_odd": _with() + f"""
 SELECT * FROM crec WHERE dt BETWEEN {TRAIN} - 6 AND {TRAIN} AND role_id % 7 <> 0 AND role_id % 5 <> 0""",
+    "day_slugs": _with() + """
+SELECT strftime(dt, '%m%d') AS slug, strftime(dt - 1, '%m%d') AS slug_before, CAST(sum(cnt) AS BIGINT) AS n_clicks
+FROM clog GROUP BY dt""",
     "item_catalog_shifted": _with() + f"""
 SELECT DISTINCT item_id + {ITEM_SHIFT} AS item_id FROM ev
 WHERE item_id IS NOT NULL AND item_id + {ITEM_SHIFT} NOT IN ({BLACK})""",

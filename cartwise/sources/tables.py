@@ -127,9 +127,10 @@ class ShopData:
     def items(self) -> DataFrame:
         return self.events.select(item_of().alias("item_id")).where(F.col("item_id").isNotNull()).distinct()
 
-    def catalog(self, blacklist=RANK_BLACKLIST) -> DataFrame:
-        """(item_id): distinct items less the blacklist."""
-        return self.items().where(~F.col("item_id").isin(list(blacklist)))
+    def catalog(self, blacklist=RANK_BLACKLIST, items: DataFrame | None = None) -> DataFrame:
+        """(item_id): distinct items (of the events, or ``items``) less the blacklist."""
+        items = self.items() if items is None else items.select("item_id").distinct()
+        return items.where(~F.col("item_id").isin(list(blacklist)))
 
     def new_items(self) -> DataFrame:
         """(item_id, item_name, newdt)."""
