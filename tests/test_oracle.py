@@ -13,7 +13,7 @@ from oracle_check import duck, table_hash  # noqa: E402
 
 ORACLE = sorted(E.oracle_sql())
 ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
-SLOW = {"gbt_score", "fm_classify", "beta_binomial_fit"}
+SLOW = {"gbt_score", "fm_classify", "fm_mixed", "beta_binomial_fit"}
 
 
 @pytest.fixture(scope="module")
