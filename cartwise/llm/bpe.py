@@ -29,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.llm.common import slices
@@ -202,6 +201,11 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     return df.mapInArrow(run, _schema_with(df, ids_col, T.BinaryType()))
 
 
+def _text(ids: bytes | None, tokens: dict[int, bytes]) -> str:
+    got = map(tokens.get, np.frombuffer(ids or b"", "<u4").tolist())
+    return b"".join(t for t in got if t is not None).decode("utf-8", "replace")
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with ``text_col``: the text of the ids, special tokens included."""
     source = load(df.sparkSession, path)
@@ -210,16 +214,28 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "deco
         tokens = Vocabulary(source.value).tokens
         for batch in batches:
             for part in slices(batch, ids_col):
-                texts = []
-                for ids in part.column(ids_col).to_pylist():
-                    got = map(tokens.get, np.frombuffer(ids or b"", "<u4").tolist())
-                    texts.append(b"".join(t for t in got if t is not None).decode("utf-8", "replace"))
-                yield _replaced(part, text_col, texts, pa.string())
+                yield _replaced(part, text_col, [_text(ids, tokens) for ids in part.column(ids_col).to_pylist()], pa.string())
 
     return df.mapInArrow(run, _schema_with(df, text_col, T.StringType()))
 
 
-def round_trip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``df`` with ``ids``, ``n_tokens`` and ``decoded``."""
-    out = encode(df, path, text_col).withColumn("n_tokens", F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)"))
-    return decode(out, path)
+def round_trip(df: DataFrame, path: str, text_col: str = "text", cache_size: int = CACHE_SIZE) -> DataFrame:
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded``: what ``encode`` and then ``decode``
+    give, in one Python worker a task with one vocabulary, so that texts and ids do not
+    travel to a second one."""
+    source = load(df.sparkSession, path)
+    out = T.StructType([f for f in df.schema.fields if f.name not in ("ids", "n_tokens", "decoded")]
+                       + [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+                          T.StructField("decoded", T.StringType())])
+
+    def run(batches):
+        vocab = Vocabulary(source.value)
+        encoder = Encoder(vocab, cache_size)
+        for batch in batches:
+            for part in slices(batch, text_col):
+                ids = encoder.encode(part.column(text_col).to_pylist())
+                part = _replaced(part, "ids", ids, pa.binary())
+                part = _replaced(part, "n_tokens", [len(i) // 4 for i in ids], pa.int64())
+                yield _replaced(part, "decoded", [_text(i, vocab.tokens) for i in ids], pa.string())
+
+    return df.mapInArrow(run, out)

@@ -247,6 +247,16 @@ def test_bpe_round_trip_on_odd_rows(spark):
     assert sorted(r.decoded for r in decode(ids, bpe_path()).collect()) == ["", "<|endoftext|> "]
 
 
+def test_bpe_round_trip_is_encode_then_decode_in_one_worker(spark):
+    from cartwise.llm.bpe import decode, encode, round_trip
+    df = odd(spark).selectExpr("*", "'x' AS decoded", "7 AS n_tokens")
+    both = decode(encode(df, bpe_path()), bpe_path()).selectExpr("text", "ids", "octet_length(ids) DIV 4", "decoded", "block")
+    once = round_trip(df, bpe_path())
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, once.select("text", "ids", "n_tokens", "decoded", "block").collect())) == sorted(map(key, both.collect()))
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # a second one is a second worker a task
+
+
 # ---- 5 decontamination -----------------------------------------------------------
 
 def test_matches_exact_edited_and_clean(spark):
