@@ -9,7 +9,8 @@ of a categorical field, so all its features are solved at once, each from its ow
 one map-side combined aggregate of the normal equations per feature, one small solve per
 feature inside the tasks, and one join that puts the new parameters onto the rows. The
 parameters of millions of ids are a table, never a vector on the driver or in one task; a
-value with a third of all rows is one partial sum per task.
+value with a third of all rows is one partial sum per task. A numeric column is one pass:
+each task applies the steps since the last write to its rows and gives one row of sums.
 
 The logistic loss is majorised by its quadratic bound (curvature 1/4), so each solve lowers
 the penalised loss and a sweep over the fields never raises it. Rows carry their score and
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwise.constants import MF_RANK
 from cartwise.session import materialize
@@ -38,6 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WRITE_EVERY = 8
 PENALTY = 1.0
+_LIST = T.ArrayType(T.DoubleType())
 
 
 @dataclass
@@ -114,8 +117,79 @@ def _moved(state: DataFrame, x: str, old: tuple[str, str], new: tuple[str, str])
             "q": F.expr(f"zip_with({s}, {new[1]}, (a, b) -> a + {x} * b)")}
 
 
-def _array(values) -> str:
-    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")" if len(values) else "CAST(array() AS array<double>)"
+def _arrays(column, rank: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, rank)
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    edges = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values.ravel(), pa.float64()))
+
+
+def _stepped(batch, steps, rank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Score and factor sums of a batch after the numeric ``steps`` (column, old, new)."""
+    y, q = batch.column("y").to_numpy(zero_copy_only=False), _arrays(batch.column("q"), rank)
+    for name, old, new in steps:
+        x = batch.column(name).to_numpy(zero_copy_only=False)
+        s = q - x[:, None] * old[1:]
+        y = y - x * (old[0] + s @ old[1:]) + x * (new[0] + s @ new[1:])
+        q = s + x[:, None] * new[1:]
+    return y, q
+
+
+def _started(base: float, theta: dict, categorical: list[str], rank: int):
+    """Scores and factor sums of the first parameters, whose linear parts are zero: half of
+    (sum)^2 less the squares."""
+
+    def run(batches):
+        for b in batches:
+            q, squares = np.zeros((b.num_rows, rank)), np.zeros(b.num_rows)
+            for c in categorical:
+                part = _arrays(b.column(c), rank)
+                q, squares = q + part, squares + (part * part).sum(axis=1)
+            for n, t in theta.items():
+                part = b.column(n).to_numpy(zero_copy_only=False)[:, None] * t[1:]
+                q, squares = q + part, squares + (part * part).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns, _lists(q), pa.array(base + ((q * q).sum(axis=1) - squares) / 2)],
+                                             [*b.schema.names, "q", "y"])
+
+    return run
+
+
+def _kept(steps, rank: int):
+    """The rows with ``steps`` applied."""
+
+    def run(batches):
+        for b in batches:
+            y, q = _stepped(b, steps, rank)
+            done = {"y": pa.array(y), "q": _lists(q)}
+            yield pa.RecordBatch.from_arrays([done.get(n, c) for n, c in zip(b.schema.names, b.columns)], b.schema.names)
+
+    return run
+
+
+def _number_equations(name: str, t: np.ndarray, steps, rank: int):
+    """The normal equations of a numeric column: one row of sums per task with rows. As in
+    ``_equations``, rows without a label count on the left side only."""
+    names = _names(rank)
+
+    def run(batches):
+        a, b, rows, told = np.zeros((rank + 1, rank + 1)), np.zeros(rank + 1), 0, 0
+        for batch in batches:
+            y, q = _stepped(batch, steps, rank)
+            x, label = batch.column(name).to_numpy(zero_copy_only=False), batch.column("label")
+            s = q - x[:, None] * t[1:]
+            d = np.hstack([x[:, None], x[:, None] * s])
+            with np.errstate(over="ignore"):
+                r = 4 * (label.to_numpy(zero_copy_only=False) - 1 / (1 + np.exp(-y))) + x * t[0] + x * (s @ t[1:])
+            known = label.is_valid().to_numpy(zero_copy_only=False)
+            a, b = a + d.T @ d, b + d[known].T @ r[known]
+            rows, told = rows + len(x), told + int(known.sum())
+        if rows:
+            values = [v if told else None for v in b.tolist()] + [float(a[i, j]) for i in range(rank + 1) for j in range(i + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.float64()) for v in values], names)
+
+    return run
 
 
 def fit_fm(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), rank: int = MF_RANK, sweeps: int = 3,
@@ -130,17 +204,13 @@ def fit_fm(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), rank
               for i, c in enumerate(numeric)}
     rng = np.random.default_rng(seed)
     theta = {c: np.concatenate([[0.0], (rng.random(rank) - 0.5) * 0.1]) for c in numeric}
-    state = rows.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"k{i}") for i, c in enumerate(categorical)],
-                        *[c.alias(n) for n, c in scaled.items()])
+    state = rows.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(f"k{i}") for i, c in enumerate(categorical)])
     state = state.withColumns({f"v{i}": _start(F.col(f"k{i}"), rank, seed, i) for i in range(len(categorical))})
     state = state.withColumns({f"w{i}": F.lit(0.0) for i in range(len(categorical))})
-    # all parts x v of a row; with no linear part the score is half of (sum)^2 less the squares
-    parts = [f"v{i}" for i in range(len(categorical))] + \
-        [f"transform({_array(theta[c][1:])}, a -> a * x{i})" for i, c in enumerate(numeric)]
-    q = "transform(sequence(1, {0}), i -> {1})".format(rank, " + ".join(f"element_at({e}, i)" for e in parts) or "0D")
-    state = state.withColumn("q", F.expr(q))
-    squares = " + ".join(_dot(e, e) for e in parts) or "0D"
-    state = materialize(state.withColumn("y", F.expr(f"{base!r}D + ({_dot('q', 'q')} - ({squares})) / 2D")))
+    theta = {f"x{i}": theta[c] for i, c in enumerate(numeric)}
+    state = state.select("*", *[c.alias(n) for n, c in scaled.items()])
+    state = materialize(state.mapInArrow(_started(base, theta, [f"v{i}" for i in range(len(categorical))], rank), T.StructType(
+        [*state.schema.fields, T.StructField("q", _LIST), T.StructField("y", T.DoubleType())])).drop(*scaled))
     tables = {c: materialize(state.select(F.col(f"k{i}").alias("feature"), f"w{i}", f"v{i}").distinct().select(
         "feature", F.col(f"w{i}").alias("w"), F.col(f"v{i}").alias("v"))) for i, c in enumerate(categorical)}
 
@@ -149,6 +219,7 @@ def fit_fm(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), rank
         size = sum(t.agg(F.sum(F.expr(f"w * w + {_dot('v', 'v')}")).alias("n")).first()["n"] or 0.0 for t in tables.values())
         return float(fit + penalty / 2 * (size + sum(float(t @ t) for t in theta.values())))
 
+    names = _names(rank)
     losses = [loss()]
     for _ in range(sweeps):
         for i, c in enumerate(categorical):
@@ -157,16 +228,19 @@ def fit_fm(rows: DataFrame, categorical=("role_id", "item_id"), numeric=(), rank
             joined = state.join(tables[c].select(F.col("feature").alias(f"k{i}"), F.col("w").alias("_w"), F.col("v").alias("_v")), f"k{i}")
             moved = joined.withColumns(_moved(joined, "1D", (f"w{i}", f"v{i}"), ("_w", "_v")))
             state = materialize(moved.withColumns({f"w{i}": F.col("_w"), f"v{i}": F.col("_v")}).drop("_w", "_v"))
-        for i, c in enumerate(numeric):
-            w, v = f"{float(theta[c][0])!r}D", _array(theta[c][1:])
-            sums = _equations(state, f"x{i}", w, v, [], rank).first()  # one row
-            if sums["b0"] is None:
-                continue
-            names = _names(rank)
-            theta[c] = _solved(names, rank, penalty, {n: np.array([sums[n]]) for n in names})[0]
-            state = state.withColumns(_moved(state, f"x{i}", (w, v), (f"{float(theta[c][0])!r}D", _array(theta[c][1:]))))
-            if (i + 1) % WRITE_EVERY == 0 or i + 1 == len(numeric):
-                state = materialize(state)
+        steps = []
+        for i, n in enumerate(theta):
+            read = state.select("label", "y", "q", *[scaled[m].alias(m) for m in [*(m for m, _, _ in steps), n]])
+            sums = read.mapInArrow(_number_equations(n, theta[n], steps, rank), ", ".join(f"{m} double" for m in names))
+            sums = sums.agg(*[F.sum(m).alias(m) for m in names]).first()  # one row
+            if sums["b0"] is not None:
+                new = _solved(names, rank, penalty, {m: np.array([sums[m]]) for m in names})[0]
+                steps.append((n, theta[n], new))
+                theta[n] = new
+            if steps and (len(steps) == WRITE_EVERY or i + 1 == len(theta)):
+                read = state.select("*", *[scaled[m].alias(m) for m, _, _ in steps])
+                state = materialize(read.mapInArrow(_kept(steps, rank), read.schema).drop(*[m for m, _, _ in steps]))
+                steps = []
         losses.append(loss())
     scored = state.select(*categorical, *numeric, "label", F.expr("1D / (1D + exp(-y))").alias("score"))
-    return Fitted(scored, losses, tables, theta)
+    return Fitted(scored, losses, tables, {c: theta[f"x{i}"] for i, c in enumerate(numeric)})

@@ -149,3 +149,30 @@ def test_ranking_loss_edges(spark):
     assert fit_ranking(train.limit(0), epochs=1).roles.count() == 0
     one = fit_ranking(train.limit(1), rank=3, epochs=1)
     assert one.roles.count() == one.items.count() == 1
+
+
+def test_fm_number_pass_reads_rows_once_with_the_steps_before_it():
+    """A numeric column's sums, steps of other columns since the last write included, from plain batches."""
+    import pyarrow as pa
+    from cartwise.plans.fm import _kept, _lists, _names, _number_equations
+    rng = np.random.default_rng(2)
+    n, rank = 50, 3
+    y, q, x0, x1, label = rng.normal(size=n), rng.normal(size=(n, rank)), rng.normal(size=n), rng.normal(size=n), rng.integers(0, 2, n) * 1.0
+    batch = pa.RecordBatch.from_arrays([pa.array([*label[:-1], None]), pa.array(y), _lists(q), pa.array(x0), pa.array(x1)],
+                                       ["label", "y", "q", "x0", "x1"])
+    old, new, t = (rng.normal(size=rank + 1) * 0.1 for _ in range(3))
+    s = q - x0[:, None] * old[1:]
+    y2 = y - x0 * (old[0] + s @ old[1:]) + x0 * (new[0] + s @ new[1:])
+    q2 = s + x0[:, None] * new[1:]
+    s = q2 - x1[:, None] * t[1:]
+    d = x1[:, None] * np.hstack([np.ones((n, 1)), s])
+    r = 4 * (label - 1 / (1 + np.exp(-y2))) + x1 * t[0] + x1 * (s @ t[1:])
+    (got,) = _number_equations("x1", t, [("x0", old, new)], rank)([batch.slice(0, 20), batch.slice(20)])
+    row = got.to_pylist()[0]
+    a, b = d.T @ d, d[:-1].T @ r[:-1]  # the row without a label has no response
+    assert list(row) == _names(rank)
+    assert [row[f"b{i}"] for i in range(rank + 1)] == pytest.approx(b.tolist())
+    assert all(row[f"a{i}_{j}"] == pytest.approx(a[i, j]) for i in range(rank + 1) for j in range(i + 1))
+    (kept,) = _kept([("x0", old, new)], rank)([batch])
+    assert np.allclose(kept.column("y"), y2) and np.allclose(kept.column("q").to_pylist(), q2)
+    assert not list(_number_equations("x1", t, [], rank)([]))
