@@ -63,10 +63,15 @@ class Tree:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row of bins."""
-        node, rows = np.ones(len(x), np.int64), np.arange(len(x))
+        node = np.ones(len(x), np.int64)
+        if (self.feature < 0).all():
+            return node
+        # a leaf's bound is above every bin, so that its rows stay
+        flat, start = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+        inner, here = self.feature >= 0, np.arange(len(self.feature))
+        feature, last, next_ = np.maximum(self.feature, 0), np.where(inner, self.bin, BINS), np.where(inner, 2 * here, here)
         for _ in range(GBT_DEPTH):
-            f = self.feature[node]
-            node = np.where(f >= 0, 2 * node + (x[rows, f] > self.bin[node]), node)
+            node = next_.take(node) + (flat.take(start + feature.take(node)) > last.take(node))
         return node
 
     def leaf_count(self) -> int:
@@ -142,8 +147,8 @@ def _in_bag(keys: np.ndarray, bag: int, part: float) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) < part * float(1 << 53)
 
 
-def _margin(batch, x: np.ndarray, since: list[Tree]) -> np.ndarray:
-    out = batch.column("margin").to_numpy().copy()
+def _margin(margin: np.ndarray, x: np.ndarray, since: list[Tree]) -> np.ndarray:
+    out = margin.copy()
     for tree in since:
         out += tree.value[tree.leaves(x)]
     return out
@@ -158,28 +163,33 @@ def _histograms(width: int, since: list[Tree], tree: Tree, nodes: list[int], sub
     cols, shape = np.array(subset, np.int64), (len(nodes), len(subset), BINS)
 
     def run(batches):
-        g, h, n = (np.zeros(int(np.prod(shape)), np.int64) for _ in range(3))
+        g, h, n = (np.zeros(shape, np.int64) for _ in range(3))
         loss = rows = 0
         for b in batches:
             if not b.num_rows:
                 continue
             x = _matrix(b.column("x"), width)
             y, held = b.column("label").to_numpy(), b.column("held").to_numpy(zero_copy_only=False)
-            margin = _margin(b, x, since)
-            p = 1.0 / (1.0 + np.exp(-margin))
+            start = b.column("margin").to_numpy()
             if with_loss and held.any():
-                sign = np.where(y > 0, -margin, margin)[held]
-                loss += int(np.rint(np.logaddexp(0.0, sign) * UNIT).astype(np.int64).sum())
+                margin = _margin(start[held], x[held], since)
+                loss += int(np.rint(np.logaddexp(0.0, np.where(y[held] > 0, -margin, margin)) * UNIT).astype(np.int64).sum())
                 rows += int(held.sum())
             mine = np.flatnonzero(~held & _in_bag(b.column("key").to_numpy(), bag, part))
             at = slot[tree.leaves(x[mine])]
             mine, at = mine[at >= 0], at[at >= 0]
             if not len(mine) or not len(cols):
                 continue
-            place = ((at[:, None] * len(cols) + np.arange(len(cols))) * BINS + x[mine][:, cols]).ravel()
-            for out, value in ((g, np.rint((p - y)[mine] * UNIT)), (h, np.rint((p * (1 - p))[mine] * UNIT)),
-                               (n, np.ones(len(mine)))):
-                out += np.bincount(place, np.repeat(value, len(cols)), len(out)).astype(np.int64)
+            # only rows of the nodes asked for need the trees since the last write
+            x = x[mine]
+            p = 1.0 / (1.0 + np.exp(-_margin(start[mine], x, since)))
+            values = np.rint((p - y[mine]) * UNIT), np.rint((p * (1 - p)) * UNIT), None
+            at *= BINS
+            for i, f in enumerate(cols):
+                place = at + x[:, f]
+                for out, value in zip((g, h, n), values):
+                    out[:, i] += np.bincount(place, value, len(nodes) * BINS).astype(np.int64).reshape(-1, BINS)
+        g, h, n = g.ravel(), h.ravel(), n.ravel()
         some = np.flatnonzero(n)
         node, f, z = np.unravel_index(some, shape)
         out = [np.array(nodes, np.int64)[node], cols[f], z, g[some], h[some], n[some]]
@@ -311,7 +321,7 @@ def fit(rows: DataFrame, features: list[str], key: Column, held: Column, rounds:
 def _with_margin(width: int, since: list[Tree]):
     def run(batches):
         for b in batches:
-            margin = _margin(b, _matrix(b.column("x"), width), since)
+            margin = _margin(b.column("margin").to_numpy(), _matrix(b.column("x"), width), since)
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("key", "label", "held", "x")], pa.array(margin)],
                                              ["key", "label", "held", "x", "margin"])
 

@@ -155,3 +155,34 @@ def test_evaluation_reads_lists_cut_before_the_shuffle(spark, sf_dir):
     a = hit_revenue_from_top(cut, e["purchases"], e["logs"].catalog, e["top"], e["bought"]).first()
     b = hit_revenue_at_k(whole, e["purchases"]).first()
     assert a.asDict() == pytest.approx(b.asDict())
+
+
+def test_histograms_apply_the_trees_only_to_rows_of_the_nodes_asked_for(monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    n, width = 400, 3
+    x = rng.integers(0, BINS, (n, width)).astype(np.uint8)
+    packed = pa.array([r.tobytes() for r in x], pa.binary())
+    label, held = rng.integers(0, 2, n) * 1.0, np.arange(n) % 5 == 0
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(label), pa.array(held), packed, pa.array(np.zeros(n))],
+                                       ["key", "label", "held", "x", "margin"])
+
+    def tree(feature, cut, left, right):
+        f = np.full(32, -1)
+        f[1] = feature
+        value = np.zeros(32)
+        value[2:4] = left, right
+        return Tree(f, np.full(32, cut), value)
+
+    since, now = [tree(0, 20, -0.3, 0.2)], tree(1, 9, 0, 0)
+    rows = []
+    margin = boosting._margin
+    monkeypatch.setattr(boosting, "_margin", lambda m, x, s: (rows.append(len(x)), margin(m, x, s))[1])
+    (out,) = boosting._histograms(width, since, now, [2], [0, 2], 0, 1.0, False)([batch])
+    mine = ~held & (x[:, 1] <= 9)
+    assert rows == [mine.sum()]
+    p = 1 / (1 + np.exp(-np.where(x[:, 0] <= 20, -0.3, 0.2)))
+    g = np.rint((p - label) * boosting.UNIT).astype(np.int64)
+    want = {(2, f, z): (int(g[mine & (x[:, f] == z)].sum()), int((mine & (x[:, f] == z)).sum()))
+            for f in (0, 2) for z in set(x[mine][:, f].tolist())}
+    assert {(r["node"], r["feature"], r["bin"]): (r["g"], r["n"]) for r in out.to_pylist()} == want
