@@ -49,7 +49,8 @@ def _learned(rank: int, rate: float, seed: int, items: int):
         table = table.sort_by([("kind", "ascending"), ("id", "ascending"), ("other", "ascending")])
         kind, ids = table.column("kind").to_numpy(), table.column("id").to_numpy()
         ends = np.searchsorted(kind, [1, 2])
-        state = np.array(table.column("state").slice(0, int(ends[1])).to_pylist(), np.float64).reshape(-1, 2 * rank + 2)
+        vectors = table.column("state").slice(0, int(ends[1])).combine_chunks()
+        state = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2 * rank + 2)
         x, sums = state[:, :rank + 1].copy(), state[:, rank + 1:].copy()
         role_ids, item_ids = ids[:ends[0]], ids[ends[0]:ends[1]]
         u = np.searchsorted(role_ids, ids[ends[1]:])
@@ -62,8 +63,9 @@ def _learned(rank: int, rate: float, seed: int, items: int):
                 _move(x, sums, u[order[at:at + BATCH]], v[order[at:at + BATCH]], len(role_ids), len(item_ids), known, rng, rank,
                       rate, items)
         out = np.hstack([x, sums])
+        edges = np.arange(len(out) + 1, dtype=np.int32) * (2 * rank + 2)
         return pa.Table.from_arrays([pa.array(kind[:ends[1]], pa.int32()), pa.array(ids[:ends[1]], pa.int64()),
-                                     pa.array(out.tolist(), pa.list_(pa.float64()))], schema=schema)
+                                     pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(out.ravel()))], schema=schema)
 
     return run
 
